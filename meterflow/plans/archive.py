@@ -88,13 +88,31 @@ def export_path(root: str, name: str, day: dt.date) -> str:
     return f"{root}/{day.isoformat()}/{name}"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def manifest_path(root: str, name: str, day: dt.date) -> str:
+    return f"{root}/manifests/{day.isoformat()}/{name}"
+
+
 def archive_export(
     df: DataFrame, root: str, name: str, day: dt.date, cfg: GridConfig, time: str = "window_start"
 ) -> DataFrame:
-    """Export one day of a table to `<root>/<date>/<table>`; a rerun replaces it. Returns the manifest."""
+    """Export one day of a table to `<root>/<date>/<table>`; a rerun replaces it.
+
+    Returns the manifest. It is also written, last, so its presence marks a complete export.
+    """
     spark = df.sparkSession
     source, exported = _write_verified(spark, day_slice(df, day, time), export_path(root, name, day), cfg, time)
-    return _manifest(spark, name, day, {"source_count": source, "exported_count": exported})
+    manifest = _manifest(spark, name, day, {"source_count": source, "exported_count": exported})
+    manifest.coalesce(1).write.mode("overwrite").parquet(manifest_path(root, name, day))
+    return manifest
+
+
+def is_exported(spark: SparkSession, root: str, name: str, day: dt.date) -> bool:
+    return _exists(spark, f"{manifest_path(root, name, day)}/_SUCCESS")
 
 
 def compact_day(
@@ -168,36 +186,39 @@ def exported_gigabytes(spark: SparkSession, root: str, name: str, day: dt.date)
 
 
 def nightly_archive(
-    spark: SparkSession, tables: Mapping[str, str], run_date: dt.date, root: str, cfg: GridConfig
+    spark: SparkSession,
+    tables: Mapping[str, str],
+    run_date: dt.date,
+    root: str,
+    cfg: GridConfig,
+    compact_first: bool = False,
 ) -> DataFrame:
-    """The whole night for catalog tables partitioned by `event_date`: check, compact, export, purge.
+    """The whole night for catalog tables partitioned by `event_date`: check, export, purge.
 
-    Every step can be repeated: a rerun after a failure finds the day still in its table,
-    or already purged with its export in place.
+    The export is written clustered, which makes a rewrite of the hot day before it
+    unnecessary; `compact_first` does that as well. A rerun after a failure skips tables
+    that were exported and purged already and repeats the rest.
     """
     day = run_date - dt.timedelta(days=cfg.archive_after_days)
-    times = {name: "event_time" if "event_time" in spark.table(t).columns else "window_start" for name, t in tables.items()}
 
     def day_of(name: str) -> DataFrame:
         return spark.table(tables[name]).filter(F.col("event_date") == F.lit(day)).drop("event_date")
 
-    require_valid(
-        archive_validate(
-            {
-                name: DatedTable(
-                    day_of(name), times[name], cfg.minimum_raw_rows if "raw" in name else cfg.minimum_rows
-                )
-                for name in tables
-            },
-            day,
-            cfg,
-        )
-    )
-    manifests = []
-    for name, table in tables.items():
-        compact_day(day_of(name), f"{root}/staging", name, day, cfg, times[name])
-        swap_partition(spark, table, export_path(f"{root}/staging", name, day), day)
-        manifests.append(archive_export(day_of(name), root, name, day, cfg, times[name]))
-    for name, table in tables.items():
-        purge_partition(spark, table, name, day, root)
-    return reduce(DataFrame.unionByName, manifests)
+    def time_of(name: str) -> str:
+        return "event_time" if "event_time" in spark.table(tables[name]).columns else "window_start"
+
+    pending = [name for name in tables if not (is_exported(spark, root, name, day) and day_of(name).isEmpty())]
+    dated = {
+        name: DatedTable(day_of(name), time_of(name), cfg.minimum_raw_rows if "raw" in name else cfg.minimum_rows)
+        for name in pending
+    }
+    if pending:
+        require_valid(archive_validate(dated, day, cfg))
+    for name in pending:
+        if compact_first:
+            compact_day(day_of(name), f"{root}/staging", name, day, cfg, time_of(name))
+            swap_partition(spark, tables[name], export_path(f"{root}/staging", name, day), day)
+        archive_export(day_of(name), root, name, day, cfg, time_of(name))
+    for name in pending:
+        purge_partition(spark, tables[name], name, day, root)
+    return reduce(DataFrame.unionByName, (spark.read.parquet(manifest_path(root, name, day)) for name in tables))

@@ -87,3 +87,17 @@ def actions_from_events(events: DataFrame, operators: int = 20) -> DataFrame:
         F.col("event_type").alias("action"),
         "ts",
     )
+
+
+def stream_events(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Stream a parquet event table, be it one file or a folder of files.
+
+    A plain path must be a folder for the file source, while a pattern may match either;
+    so the last letter is written as a pattern that matches only itself.
+    """
+    return spark.readStream.schema(EVENTS_SCHEMA).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
+
+
+def with_stream_time(readings: DataFrame) -> DataFrame:
+    """Event time as the zoned type that watermarks need; the session zone must be UTC."""
+    return readings.withColumn("event_time", F.col("event_time").cast("timestamp"))
