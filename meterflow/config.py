@@ -144,4 +144,5 @@ FIXTURE = GridConfig(
     rate_limit=3,
     minimum_raw_rows=100,
     minimum_rows=50,
+    row_bytes=1_000_000,
 )

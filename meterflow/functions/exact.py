@@ -31,3 +31,8 @@ def percent(part: Column, whole: Column) -> Column:
 def unsigned_zero(value: Column) -> Column:
     """Turn -0.0 into 0.0; anything else is unchanged."""
     return value + F.lit(0.0)
+
+
+def shown(value: Column, places: int) -> Column:
+    """Round for display. Binary noise goes first, so that a half is rounded up as its decimals read."""
+    return F.round(F.round(value, 9), places)

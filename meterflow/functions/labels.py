@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from meterflow.config import GridConfig
+from meterflow.functions.exact import shown
 
 # ---- Fixed values: names and texts that consumers of the results match on. ----
 
@@ -149,7 +150,7 @@ def grid_role(surplus: Column, deficit: Column, risk: Column, cfg: GridConfig) -
 def grid_command(surplus: Column, deficit: Column, cfg: GridConfig) -> Column:
     def sentence(parts: tuple[str, str], amount: Column) -> Column:
         # A decimal prints plainly at any size; a double turns to E notation from 1e7 on.
-        text = F.round(amount, 1).cast("decimal(18,1)").cast("string")
+        text = shown(amount, 1).cast("decimal(18,1)").cast("string")
         return F.concat(F.lit(parts[0]), text, F.lit(parts[1]))
 
     return (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterflow.config import GridConfig
 from meterflow.functions import labels
-from meterflow.functions.exact import to_mw
+from meterflow.functions.exact import shown, to_mw
 from meterflow.operators.history import over_history
 from meterflow.operators.loads import since
 
@@ -189,12 +189,12 @@ def imminent_overload(minute: DataFrame, cfg: GridConfig, as_of: Column | None =
     return rows.select(
         "zip_code",
         "window_start",
-        F.round(to_mw(load, cfg), 2).alias("current_load_mw"),
-        F.round(to_mw(change, cfg), 2).alias("accel_mw_per_min"),
-        F.round(to_mw(load + change * cfg.horizon_rows, cfg), 2).alias("projected_load_mw"),
-        F.round(to_mw(F.col("cumulative_15min_mw"), cfg) / capacity_mw * 100, 1).alias("capacity_pct"),
+        shown(to_mw(load, cfg), 2).alias("current_load_mw"),
+        shown(to_mw(change, cfg), 2).alias("accel_mw_per_min"),
+        shown(to_mw(load + change * cfg.horizon_rows, cfg), 2).alias("projected_load_mw"),
+        shown(to_mw(F.col("cumulative_15min_mw"), cfg) / capacity_mw * 100, 1).alias("capacity_pct"),
         "growth_regime",
-        F.round("minutes", 1).alias("mins_to_overload"),
+        shown(F.col("minutes"), 1).alias("mins_to_overload"),
         labels.minute_status(F.col("minutes"), cfg).alias("grid_alert_status"),
         labels.minute_action(F.col("minutes"), cfg).alias("recommended_action"),
     )

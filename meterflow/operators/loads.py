@@ -17,7 +17,8 @@ def _bucket(seconds: int, time: str = "event_time") -> Column:
     return F.window(time, f"{seconds} seconds")
 
 
-_EDGES = (F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"))
+def _edges() -> list[Column]:
+    return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
 
 
 def zip_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
@@ -33,7 +34,7 @@ def zip_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
         F.avg("grid_stress_indicator").alias("avg_stress"),
     )
     return grouped.select(
-        *_EDGES,
+        *_edges(),
         "zip_code",
         to_mw(F.col("total_kw"), cfg).alias("load_mw"),
         F.try_divide("total_kw", "measured").alias("avg_load_kw"),
@@ -51,7 +52,7 @@ def minute_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
     return (
         readings.groupBy(_bucket(cfg.minute_window_s), "zip_code")
         .agg(exact_total("power_kw", cfg.load_decimals).alias("minute_load_kw"))
-        .select(*_EDGES, "zip_code", "minute_load_kw")
+        .select(*_edges(), "zip_code", "minute_load_kw")
     )
 
 
@@ -63,7 +64,7 @@ def grid_wide(readings: DataFrame, cfg: GridConfig) -> DataFrame:
         F.avg("temperature_f").alias("avg_temp_f"),
     )
     return grouped.select(
-        *_EDGES,
+        *_edges(),
         "active_meters",
         "single_peak_kw",
         "avg_temp_f",
@@ -104,7 +105,7 @@ def load_history(
             F.max("minute_load_kw").alias("max_load_kw"),
         )
         .select(
-            *_EDGES,
+            *_edges(),
             "zip_code",
             "points",
             F.try_divide("total_kw", "points").alias("avg_load_kw"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterflow.config import GridConfig
 from meterflow.functions import labels
-from meterflow.functions.exact import exact_total, percent, to_mw, unsigned_zero
+from meterflow.functions.exact import exact_total, percent, shown, to_mw, unsigned_zero
 from meterflow.operators.forecast import overload_minutes, risk_score
 from meterflow.operators.loads import since
 
@@ -67,12 +67,12 @@ def reallocation_plan(state: DataFrame, cfg: GridConfig, ordered: bool = True) -
     return rows.select(
         "window_start",
         "zip_code",
-        F.round("load_mw", 2).alias("current_load"),
-        F.round("predicted_load_mw", 2).alias("predicted_load"),
-        F.round("overload_risk_score", 1).alias("risk_score"),
-        F.round("renewable_surplus_mw", 2).alias("surplus_mw"),
-        F.round("projected_deficit_mw", 2).alias("deficit_mw"),
-        F.round("reallocation_priority", 2).alias("priority_score"),
+        shown(F.col("load_mw"), 2).alias("current_load"),
+        shown(F.col("predicted_load_mw"), 2).alias("predicted_load"),
+        shown(F.col("overload_risk_score"), 1).alias("risk_score"),
+        shown(F.col("renewable_surplus_mw"), 2).alias("surplus_mw"),
+        shown(F.col("projected_deficit_mw"), 2).alias("deficit_mw"),
+        shown(F.col("reallocation_priority"), 2).alias("priority_score"),
         "grid_role",
         labels.grid_command(F.col("renewable_surplus_mw"), F.col("projected_deficit_mw"), cfg).alias("grid_command"),
     )
