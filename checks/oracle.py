@@ -522,6 +522,9 @@ QUERIES = {
         WHERE window_end <= {_WM.format(30)}""",
     "s_grid_wide": f"SELECT {_GRID} FROM grid WHERE window_end <= {_WM.format(6)}",
     "s_predictions": f"SELECT {_SCORED} FROM predicted WHERE window_end <= {_WM.format(30)}",
+    "s_late_data": f"""
+        SELECT window_start, window_end, zip_code, {_r("minute_load_kw")} FROM minute
+        WHERE window_start >= TIMESTAMP '2024-01-16 00:00:00' AND window_end <= {_WM.format(30)}""",
     "s_alerts": f"SELECT {_PAYLOAD} FROM alerts WHERE window_end <= {_WM.format(30)}",
 }
 

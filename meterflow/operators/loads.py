@@ -6,23 +6,34 @@ still sends one partial row per task and window into the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from meterflow.config import GridConfig
 from meterflow.functions.exact import exact_total, to_mw
 
 
-def _bucket(seconds: int, time: str = "event_time") -> Column:
-    return F.window(time, f"{seconds} seconds")
+def _by_window(
+    df: DataFrame, seconds: int, *keys: str, time: str = "event_time"
+) -> tuple[GroupedData, list[Column]]:
+    """Group by tumbling window and keys; also the two window columns to select afterwards.
 
-
-def _edges() -> list[Column]:
-    return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
+    A stream must group by the window itself for its watermark to apply. A batch groups by
+    the window's start, so the result is already partitioned the way later joins on
+    `window_start` need it.
+    """
+    window = F.window(time, f"{seconds} seconds")
+    if df.isStreaming:
+        edges = [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
+        return df.groupBy(window, *keys), edges
+    start = F.col("window_start")
+    edges = [start, (start + F.make_dt_interval(secs=F.lit(seconds))).alias("window_end")]
+    return df.withColumn("window_start", window.getField("start")).groupBy("window_start", *keys), edges
 
 
 def zip_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
-    grouped = readings.groupBy(_bucket(cfg.zip_window_s), "zip_code").agg(
+    windows, edges = _by_window(readings, cfg.zip_window_s, "zip_code")
+    grouped = windows.agg(
         exact_total("power_kw", cfg.load_decimals).alias("total_kw"),
         F.count("power_kw").alias("measured"),
         F.count(F.lit(1)).alias("meter_count"),
@@ -34,7 +45,7 @@ def zip_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
         F.avg("grid_stress_indicator").alias("avg_stress"),
     )
     return grouped.select(
-        *_edges(),
+        *edges,
         "zip_code",
         to_mw(F.col("total_kw"), cfg).alias("load_mw"),
         F.try_divide("total_kw", "measured").alias("avg_load_kw"),
@@ -49,22 +60,21 @@ def zip_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
 
 
 def minute_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
-    return (
-        readings.groupBy(_bucket(cfg.minute_window_s), "zip_code")
-        .agg(exact_total("power_kw", cfg.load_decimals).alias("minute_load_kw"))
-        .select(*_edges(), "zip_code", "minute_load_kw")
-    )
+    windows, edges = _by_window(readings, cfg.minute_window_s, "zip_code")
+    grouped = windows.agg(exact_total("power_kw", cfg.load_decimals).alias("minute_load_kw"))
+    return grouped.select(*edges, "zip_code", "minute_load_kw")
 
 
 def grid_wide(readings: DataFrame, cfg: GridConfig) -> DataFrame:
-    grouped = readings.groupBy(_bucket(cfg.grid_window_s)).agg(
+    windows, edges = _by_window(readings, cfg.grid_window_s)
+    grouped = windows.agg(
         exact_total("power_kw", cfg.load_decimals).alias("total_kw"),
         F.count(F.lit(1)).alias("active_meters"),
         F.max("power_kw").alias("single_peak_kw"),
         F.avg("temperature_f").alias("avg_temp_f"),
     )
     return grouped.select(
-        *_edges(),
+        *edges,
         "active_meters",
         "single_peak_kw",
         "avg_temp_f",
@@ -95,21 +105,17 @@ def load_history(
     minute: DataFrame, cfg: GridConfig, granularity_s: int, zone: str | None = None, start=None, end=None
 ) -> DataFrame:
     """Minute loads re-aggregated to a coarser grain."""
-    return (
-        in_range(minute, zone, start, end)
-        .groupBy(_bucket(granularity_s, "window_start"), "zip_code")
-        .agg(
-            exact_total("minute_load_kw", cfg.load_decimals).alias("total_kw"),
-            F.count(F.lit(1)).alias("points"),
-            F.min("minute_load_kw").alias("min_load_kw"),
-            F.max("minute_load_kw").alias("max_load_kw"),
-        )
-        .select(
-            *_edges(),
-            "zip_code",
-            "points",
-            F.try_divide("total_kw", "points").alias("avg_load_kw"),
-            "min_load_kw",
-            "max_load_kw",
-        )
+    windows, edges = _by_window(in_range(minute, zone, start, end), granularity_s, "zip_code", time="window_start")
+    return windows.agg(
+        exact_total("minute_load_kw", cfg.load_decimals).alias("total_kw"),
+        F.count(F.lit(1)).alias("points"),
+        F.min("minute_load_kw").alias("min_load_kw"),
+        F.max("minute_load_kw").alias("max_load_kw"),
+    ).select(
+        *edges,
+        "zip_code",
+        "points",
+        F.try_divide("total_kw", "points").alias("avg_load_kw"),
+        "min_load_kw",
+        "max_load_kw",
     )

@@ -27,13 +27,14 @@ def load_prediction_join(loads: DataFrame, predictions: DataFrame, cfg: GridConf
 
 def aligned_loads(loads: DataFrame, cfg: GridConfig) -> DataFrame:
     """Zone loads summed up to the bucket of the predictions, so that the two compare like with like."""
+    start = F.window("window_start", f"{cfg.minute_window_s} seconds").getField("start")
     return (
-        loads.groupBy(F.window("window_start", f"{cfg.minute_window_s} seconds"), "zip_code")
+        loads.withColumn("window_start", start)
+        .groupBy("window_start", "zip_code")
         .agg(
             exact_total("load_mw", cfg.mw_decimals).alias("load_mw"),
             (F.sum(F.col("avg_temp_f") * F.col("meter_count")) / F.sum("meter_count")).alias("avg_temp_f"),
         )
-        .select(F.col("window.start").alias("window_start"), "zip_code", "load_mw", "avg_temp_f")
     )
 
 

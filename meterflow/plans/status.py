@@ -12,10 +12,15 @@ from meterflow.operators.forecast import trend_forecast, with_capacity
 from meterflow.operators.loads import in_range
 
 
-def _latest(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Newest row per zone. An aggregate, so each task sends one row per zone on, however long the history."""
-    newest = df.groupBy("zip_code").agg(F.max_by(F.struct("window_start", *fields), "window_start").alias("newest"))
-    return newest.select("zip_code", "newest.*")
+def _latest(df: DataFrame, measures: list[str]) -> DataFrame:
+    """Newest row per zone, numeric columns only.
+
+    Each task hashes its rows down to one per zone before anything moves, however long the
+    history. (Strings or structs would make Spark sort the rows instead of hashing them.)
+    """
+    return df.groupBy("zip_code").agg(
+        F.max("window_start").alias("last_update"), *(F.max_by(m, "window_start").alias(m) for m in measures)
+    )
 
 
 def zone_capacity_pct(minute: DataFrame, capacity: DataFrame, cfg: GridConfig) -> DataFrame:
@@ -38,17 +43,19 @@ def zone_status(loads: DataFrame, predictions: DataFrame, capacity: DataFrame, c
     cards = with_capacity(
         _latest(loads, ["load_mw", "avg_temp_f", "meter_count"]), capacity, cfg.default_zone_capacity_kw
     )
-    outlook = _latest(predictions, ["load_acceleration", "alert_level"]).drop("window_start")
+    outlook = _latest(predictions, ["load_acceleration", "overload_risk_score"]).drop("last_update")
     used = percent(F.col("load_mw") * cfg.kw_per_mw, F.col("capacity_kw"))
     return cards.join(outlook, "zip_code", "left").select(
         "zip_code",
-        F.col("window_start").alias("last_update"),
+        "last_update",
         F.col("load_mw").alias("current_load_mw"),
         used.alias("capacity_utilization_pct"),
         "avg_temp_f",
         "meter_count",
         labels.trend(F.col("load_acceleration")).alias("trend"),
-        "alert_level",
+        F.when(F.col("overload_risk_score").isNotNull(), labels.risk_level(F.col("overload_risk_score"), cfg)).alias(
+            "alert_level"
+        ),
         labels.capacity_band(used, cfg).alias("capacity_band"),
         labels.temp_band(F.col("avg_temp_f"), cfg).alias("temp_band"),
     )
