@@ -35,8 +35,7 @@ class GridConfig:
     horizon_rows: int = 15
 
     # How a long ordered history is cut for the row frames (see operators.history).
-    history_chunk_s: int = 86_400
-    history_block_rows: int = 4_096
+    history_chunk_s: int = 4 * 86_400
 
     # Overload.
     overload_capacity_kw: float = 50_000.0
@@ -124,7 +123,6 @@ FIXTURE = GridConfig(
     kw_per_mw=1.0,
     load_decimals=2,
     history_chunk_s=10 * 86_400,
-    history_block_rows=48,
     overload_capacity_kw=1_000.0,
     risk_capacity_kw=2_200.0,
     slope_gate_kw=20.0,

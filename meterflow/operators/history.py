@@ -1,9 +1,9 @@
 """Row-ordered work over histories of any length.
 
 A window partitioned by zone alone puts a zone's whole past into one task. The functions
-here cut each history first, by time into chunks and by row number into blocks, and keep
-the result of every row frame exactly as it would be over the uncut history. Inputs hold
-at most one row per key and time bucket, so a chunk has a known largest size.
+here cut each history into chunks of time first and keep every result exactly as it would
+be over the uncut history. Inputs hold at most one row per key and time bucket, so a chunk
+has a known largest size. What still meets per key is a few rows of each chunk.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from meterflow.config import GridConfig
 
-_CHUNK, _INDEX, _BLOCK, _HOME = "_chunk", "_index", "_block", "_home"
+_CHUNK, _VISITS = "_chunk", "_visits"
 
 
 def _chunk_of(order: str, seconds: int) -> Column:
     return F.window(order, f"{seconds} seconds").getField("start")
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: str, chunk_s: int, name: str = _INDEX) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: str, chunk_s: int, name: str) -> DataFrame:
     """Number each key's rows from 0 in time order, without sorting a whole key in one task.
 
     Chunk sizes are summed up to give each chunk its first number. That number joins its
@@ -59,33 +59,38 @@ def over_history(
     """Add window columns that look at most `back` rows back and `ahead` rows ahead.
 
     `columns` gets the window (partition and order set) and returns the columns to add.
-    Each block of a history is given the `back` rows before it and the `ahead` rows after
-    it as visitors, which are dropped afterwards. `bounded=True` is for input whose rows
-    per key are limited already, by a look-back filter or a row limit; it is not cut.
+    Each chunk of a history is visited by the `back` rows before it and the `ahead` rows
+    after it, wherever they lie; the visitors are dropped afterwards. `bounded=True` is
+    for input whose rows per key are limited already, by a look-back filter or a row
+    limit; it is not cut.
     """
     if bounded:
         return df.withColumns(columns(Window.partitionBy(*keys).orderBy(order)))
 
-    size = cfg.history_block_rows
-    if max(back, ahead) > size:
-        raise ValueError("history_block_rows must not be smaller than the row frame")
-    numbered = number_rows(df, keys, order, cfg.history_chunk_s)
-    own = F.expr(f"{_INDEX} div {size}")
-    place = F.col(_INDEX) % size
-    hosts = F.array_compact(
-        F.array(
-            own,
-            F.when(place >= size - back, own + 1),
-            F.when((place < ahead) & (own > 0), own - 1),
-        )
-    )
-    placed = numbered.withColumn(_HOME, own).withColumn(_BLOCK, F.explode(hosts))
-    window = Window.partitionBy(*keys, _BLOCK).orderBy(order)
-    return (
-        placed.withColumns(columns(window))
-        .filter(F.col(_BLOCK) == F.col(_HOME))
-        .drop(_INDEX, _BLOCK, _HOME)
-    )
+    chunked = df.withColumn(_CHUNK, _chunk_of(order, cfg.history_chunk_s)).withColumn(_VISITS, F.lit(False))
+    gathered = chunked
+    if back:
+        gathered = gathered.unionByName(_visitors(chunked, keys, order, back, to_later=True))
+    if ahead:
+        gathered = gathered.unionByName(_visitors(chunked, keys, order, ahead, to_later=False))
+    window = Window.partitionBy(*keys, _CHUNK).orderBy(order)
+    return gathered.withColumns(columns(window)).filter(~F.col(_VISITS)).drop(_CHUNK, _VISITS)
+
+
+def _visitors(chunked: DataFrame, keys: Sequence[str], order: str, reach: int, to_later: bool) -> DataFrame:
+    """The `reach` rows at the edge of each chunk, once per neighbouring chunk whose frames reach them.
+
+    A chunk with fewer rows gives all of them, so the edge rows of a key in time order have
+    no gap next to a chunk border: the chunks met within `reach` edge rows are the hosts.
+    The rank limit also applies before the shuffle, so only edge rows move.
+    """
+    forward, backward = F.col(order).asc(), F.col(order).desc()
+    from_border = Window.partitionBy(*keys, _CHUNK).orderBy(backward if to_later else forward)
+    edge_rows = chunked.withColumn("_rank", F.row_number().over(from_border)).filter(F.col("_rank") <= reach)
+    beyond = Window.partitionBy(*keys).orderBy(forward if to_later else backward).rowsBetween(1, reach)
+    hosts = F.array_except(F.collect_set(_CHUNK).over(beyond), F.array(_CHUNK))
+    visits = edge_rows.drop("_rank").withColumn("_hosts", hosts)
+    return visits.withColumn(_CHUNK, F.explode("_hosts")).withColumn(_VISITS, F.lit(True)).drop("_hosts")
 
 
 def next_known(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, chunk_s: int) -> DataFrame:

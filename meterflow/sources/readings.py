@@ -67,7 +67,7 @@ def readings_from_events(events: DataFrame) -> DataFrame:
     """View an event table as meter readings: user → meter and zone, value → power, props.k → weather."""
     zone = F.lpad((F.col("user_id") % ADAPTER_ZONES).cast("string"), 5, "0")
     meter = F.concat(F.lit("meter_"), F.lpad(F.col("user_id").cast("string"), 10, "0"))
-    k = F.from_json("props", "k INT").getField("k")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     return events.select(
         meter.alias("meter_id"),
         zone.alias("zip_code"),
