@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow import FIXTURE as CFG
-from meterflow.functions.labels import PUBLISHED_LEVELS  # noqa: F401  (documents the severity filter)
 from meterflow.operators import forecast, loads, renewables, surge
 from meterflow.plans import archive, reports, status
 from meterflow.session import scratch_path
@@ -157,21 +156,32 @@ def savings(x: Inputs) -> DataFrame:
     return archive.cost_savings(archive.storage_tier(x.readings, ARCHIVE_RUN, CFG), CFG)
 
 
+def _stored_day(x: Inputs, root: str, name: str, table: archive.DatedTable) -> DataFrame:
+    """The archive jobs read stored tables several times, so a day that is derived here is stored first."""
+    day = archive.day_slice(table.rows, ARCHIVE_DAY, table.time)
+    if name == "raw_readings":
+        return day
+    day.write.parquet(f"{root}/hot/{name}")
+    return x.spark.read.schema(day.schema).parquet(f"{root}/hot/{name}")
+
+
 def export_day(x: Inputs) -> DataFrame:
     root = scratch_path(x.spark, "export")
     return _union(
         [
-            archive.archive_export(table.rows, root, name, ARCHIVE_DAY, CFG, table.time)
+            archive.archive_export(_stored_day(x, root, name, table), root, name, ARCHIVE_DAY, CFG, table.time)
             for name, table in x.day_tables().items()
         ]
     )
 
 
 def compacted(x: Inputs) -> DataFrame:
-    staging = scratch_path(x.spark, "compact")
+    root = scratch_path(x.spark, "compact")
     return _union(
         [
-            archive.compact_day(table.rows, staging, name, ARCHIVE_DAY, CFG, table.time)
+            archive.compact_day(
+                _stored_day(x, root, name, table), f"{root}/staging", name, ARCHIVE_DAY, CFG, table.time
+            )
             for name, table in x.day_tables().items()
         ]
     )

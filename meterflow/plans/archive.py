@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from meterflow.config import GridConfig
 from meterflow.functions import labels
+from meterflow.session import settings
 
 
 @dataclass(frozen=True)
@@ -70,8 +71,8 @@ def clustered(df: DataFrame, files: int, time: str = "window_start") -> DataFram
 
 
 def _manifest(spark: SparkSession, name: str, day: dt.date, counts: dict[str, int]) -> DataFrame:
-    fields = ", ".join(f"{key} BIGINT" for key in counts)
-    return spark.createDataFrame([(name, day, *counts.values())], f"table_name STRING, archive_date DATE, {fields}")
+    columns = [F.lit(count).cast("bigint").alias(key) for key, count in counts.items()]
+    return spark.range(1).select(F.lit(name).alias("table_name"), F.lit(day).alias("archive_date"), *columns)
 
 
 def _write_verified(spark: SparkSession, rows: DataFrame, path: str, cfg: GridConfig, time: str) -> tuple[int, int]:
@@ -107,7 +108,7 @@ def archive_export(
     spark = df.sparkSession
     source, exported = _write_verified(spark, day_slice(df, day, time), export_path(root, name, day), cfg, time)
     manifest = _manifest(spark, name, day, {"source_count": source, "exported_count": exported})
-    manifest.coalesce(1).write.mode("overwrite").parquet(manifest_path(root, name, day))
+    manifest.write.mode("overwrite").parquet(manifest_path(root, name, day))
     return manifest
 
 
@@ -125,10 +126,25 @@ def compact_day(
 
 
 def swap_partition(spark: SparkSession, table: str, staged: str, day: dt.date) -> None:
-    """Replace one day of a table partitioned by `event_date` with its compacted copy."""
-    columns = spark.table(table).columns
-    rows = spark.read.parquet(staged).withColumn("event_date", F.lit(day)).select(*columns)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    """Replace one day of a table partitioned by `event_date` with its compacted copy.
+
+    In dynamic mode only the partitions of the written rows are replaced, and only when
+    the write commits, so other days and a failed attempt leave the table as it was.
+    """
+    compacted = spark.read.parquet(staged)
+    columns = [name for name in spark.table(table).columns if name != "event_date"]
+    of_day = F.col("event_date") == F.lit(day)
+    expected = compacted.count()
+    if spark.table(table).filter(of_day).count() != expected:
+        raise RuntimeError(f"{table} {day}: changed since it was compacted; not replaced")
+    with settings(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (event_date) "
+            f"SELECT {', '.join(columns)}, DATE'{day.isoformat()}' FROM {{compacted}}",
+            compacted=compacted,
+        )
+    if spark.table(table).filter(of_day).count() != expected:
+        raise RuntimeError(f"{table} {day}: rows missing after the swap; the compacted copy is in {staged}")
 
 
 def purge_partition(spark: SparkSession, table: str, name: str, day: dt.date, root: str) -> int:

@@ -99,18 +99,29 @@ def prediction_batch(
     cfg: GridConfig,
     publish: Callable[[DataFrame, str], None] = to_files,
     bounded: bool = False,
+    files: int = 8,
 ) -> Callable[[DataFrame, int], None]:
     """The micro-batch function of the prediction stream.
 
     It runs the same transform as a batch job would, over the new minute rows and the
     carry. Every result is written before it is used again, which leaves no long lineage
-    to recompute when an executor is lost. `bounded` suits batches that hold few minutes.
+    to recompute when an executor is lost. `bounded` suits batches that hold few minutes;
+    `files` is how many files the minute rows of one batch are written to, since there
+    are far more state partitions than a minute's rows need.
     """
     reach = cfg.frame_rows - 1
 
     def process(new_minutes: DataFrame, batch: int) -> None:
         spark = new_minutes.sparkSession
-        new_minutes.write.mode("overwrite").parquet(tables.folder("minute_loads", batch))
+        spread = new_minutes.repartition(files, "zip_code", "window_start")
+        spread.write.mode("overwrite").parquet(tables.folder("minute_loads", batch))
+        # What follows reads files only. Adaptive planning, off for the stream itself, fits it to the batch's size.
+        with settings(spark, spark__sql__adaptive__enabled="true"):
+            _predict(spark, batch)
+        # Only the batch before can still be asked for, by a rerun of this one.
+        _delete(spark, tables.folder("carry", batch - 2))
+
+    def _predict(spark: SparkSession, batch: int) -> None:
         rows = spark.read.schema(MINUTE_SCHEMA).parquet(tables.folder("minute_loads", batch))
         rows = rows.withColumn("is_new", F.lit(True))
         if batch > 0:
@@ -126,8 +137,6 @@ def prediction_batch(
         newest = Window.partitionBy("zip_code").orderBy(F.col("window_start").desc())
         carry = rows.drop("is_new").withColumn("rank", F.row_number().over(newest)).filter(F.col("rank") <= reach)
         carry.drop("rank").write.mode("overwrite").parquet(tables.folder("carry", batch))
-        # Only the batch before can still be asked for, by a rerun of this one.
-        _delete(spark, tables.folder("carry", batch - 2))
 
     return process
 
