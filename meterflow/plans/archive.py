@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from meterflow.config import GridConfig
 from meterflow.functions import labels
-from meterflow.session import settings
+from meterflow.sources.tables import HotTable, exists
 
 
 @dataclass(frozen=True)
@@ -89,11 +89,6 @@ def export_path(root: str, name: str, day: dt.date) -> str:
     return f"{root}/{day.isoformat()}/{name}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def manifest_path(root: str, name: str, day: dt.date) -> str:
     return f"{root}/manifests/{day.isoformat()}/{name}"
 
@@ -113,7 +108,7 @@ def archive_export(
 
 
 def is_exported(spark: SparkSession, root: str, name: str, day: dt.date) -> bool:
-    return _exists(spark, f"{manifest_path(root, name, day)}/_SUCCESS")
+    return exists(spark, f"{manifest_path(root, name, day)}/_SUCCESS")
 
 
 def compact_day(
@@ -125,35 +120,24 @@ def compact_day(
     return _manifest(spark, name, day, {"rows_before": before, "rows_after": after})
 
 
-def swap_partition(spark: SparkSession, table: str, staged: str, day: dt.date) -> None:
-    """Replace one day of a table partitioned by `event_date` with its compacted copy.
-
-    In dynamic mode only the partitions of the written rows are replaced, and only when
-    the write commits, so other days and a failed attempt leave the table as it was.
-    """
-    compacted = spark.read.parquet(staged)
-    columns = [name for name in spark.table(table).columns if name != "event_date"]
-    of_day = F.col("event_date") == F.lit(day)
-    expected = compacted.count()
-    if spark.table(table).filter(of_day).count() != expected:
+def swap_day(table: HotTable, staged: str, day: dt.date) -> None:
+    """Replace one day of a hot table with its compacted copy."""
+    expected = table.rows(day).sparkSession.read.parquet(staged).count()
+    if table.rows(day).count() != expected:
         raise RuntimeError(f"{table} {day}: changed since it was compacted; not replaced")
-    with settings(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (event_date) "
-            f"SELECT {', '.join(columns)}, DATE'{day.isoformat()}' FROM {{compacted}}",
-            compacted=compacted,
-        )
-    if spark.table(table).filter(of_day).count() != expected:
-        raise RuntimeError(f"{table} {day}: rows missing after the swap; the compacted copy is in {staged}")
+    table.replace(day, staged)
+    if table.rows(day).count() != expected:
+        raise RuntimeError(f"{table} {day}: rows missing after the swap")
 
 
-def purge_partition(spark: SparkSession, table: str, name: str, day: dt.date, root: str) -> int:
-    """Drop one day of a table partitioned by `event_date`, if its export holds as many rows."""
-    kept = spark.table(table).filter(F.col("event_date") == F.lit(day)).count()
-    exported = spark.read.parquet(export_path(root, name, day)).count() if kept else 0
+def purge_day(table: HotTable, name: str, day: dt.date, root: str) -> int:
+    """Drop one day of a hot table, if its export holds as many rows."""
+    rows = table.rows(day)
+    kept = rows.count()
+    exported = rows.sparkSession.read.parquet(export_path(root, name, day)).count() if kept else 0
     if kept != exported:
         raise RuntimeError(f"{table} {day}: {exported} rows exported of {kept}; nothing purged")
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (event_date = DATE'{day.isoformat()}')")
+    table.drop(day)
     return kept
 
 
@@ -203,38 +187,35 @@ def exported_gigabytes(spark: SparkSession, root: str, name: str, day: dt.date)
 
 def nightly_archive(
     spark: SparkSession,
-    tables: Mapping[str, str],
+    tables: Mapping[str, HotTable],
     run_date: dt.date,
     root: str,
     cfg: GridConfig,
     compact_first: bool = False,
 ) -> DataFrame:
-    """The whole night for catalog tables partitioned by `event_date`: check, export, purge.
+    """The whole night: check, export, purge. Returns the manifests, one row per table.
 
     The export is written clustered, which makes a rewrite of the hot day before it
     unnecessary; `compact_first` does that as well. A rerun after a failure skips tables
     that were exported and purged already and repeats the rest.
     """
     day = run_date - dt.timedelta(days=cfg.archive_after_days)
-
-    def day_of(name: str) -> DataFrame:
-        return spark.table(tables[name]).filter(F.col("event_date") == F.lit(day)).drop("event_date")
-
-    def time_of(name: str) -> str:
-        return "event_time" if "event_time" in spark.table(tables[name]).columns else "window_start"
-
-    pending = [name for name in tables if not (is_exported(spark, root, name, day) and day_of(name).isEmpty())]
-    dated = {
-        name: DatedTable(day_of(name), time_of(name), cfg.minimum_raw_rows if "raw" in name else cfg.minimum_rows)
-        for name in pending
-    }
+    pending = [
+        name for name, table in tables.items() if not (is_exported(spark, root, name, day) and table.rows(day).isEmpty())
+    ]
+    dated = {}
+    for name in pending:
+        rows = tables[name].rows(day)
+        time = "event_time" if "event_time" in rows.columns else "window_start"
+        dated[name] = DatedTable(rows, time, cfg.minimum_raw_rows if "raw" in name else cfg.minimum_rows)
     if pending:
         require_valid(archive_validate(dated, day, cfg))
     for name in pending:
+        time = dated[name].time
         if compact_first:
-            compact_day(day_of(name), f"{root}/staging", name, day, cfg, time_of(name))
-            swap_partition(spark, tables[name], export_path(f"{root}/staging", name, day), day)
-        archive_export(day_of(name), root, name, day, cfg, time_of(name))
+            compact_day(tables[name].rows(day), f"{root}/staging", name, day, cfg, time)
+            swap_day(tables[name], export_path(f"{root}/staging", name, day), day)
+        archive_export(tables[name].rows(day), root, name, day, cfg, time)
     for name in pending:
-        purge_partition(spark, tables[name], name, day, root)
+        purge_day(tables[name], name, day, root)
     return reduce(DataFrame.unionByName, (spark.read.parquet(manifest_path(root, name, day)) for name in tables))

@@ -17,6 +17,7 @@ from meterflow.config import GridConfig
 from meterflow.operators import loads
 from meterflow.operators.forecast import alert_payload, overload_predictions
 from meterflow.session import ROCKSDB_PROVIDER, settings
+from meterflow.sources.tables import BATCH, DATE, delete, write_dated
 
 MINUTE_SCHEMA = "window_start TIMESTAMP, window_end TIMESTAMP, zip_code STRING, minute_load_kw DOUBLE"
 
@@ -63,6 +64,24 @@ def append_to_table(
         return _triggered(writer, trigger).toTable(table)
 
 
+def dated_batch(path: str, time: str, files: int = 8) -> Callable[[DataFrame, int], None]:
+    """Micro-batch function that stores a stream as a dated folder table, for the archive to work on."""
+
+    def process(rows: DataFrame, batch: int) -> None:
+        write_dated(rows.repartition(files), f"{path}/{BATCH}={batch}", time)
+
+    return process
+
+
+def append_dated(
+    stream: DataFrame, path: str, time: str, checkpoint: str, partitions: int | None = None, files: int = 8, **trigger
+) -> StreamingQuery:
+    """Like `append_to_path`, split by date. A repeated batch replaces its own folder, so rows are stored once."""
+    writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    with state_settings(stream.sparkSession, partitions):
+        return _triggered(writer.foreachBatch(dated_batch(path, time, files)), trigger).start()
+
+
 class PredictionTables:
     """Folders of the prediction stream: per micro-batch its minute rows, predictions, alerts and carry.
 
@@ -75,10 +94,10 @@ class PredictionTables:
         self.root = root
 
     def folder(self, table: str, batch: int | None = None) -> str:
-        return f"{self.root}/{table}" if batch is None else f"{self.root}/{table}/batch_id={batch}"
+        return f"{self.root}/{table}" if batch is None else f"{self.root}/{table}/{BATCH}={batch}"
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(self.folder(table)).drop("batch_id")
+        return spark.read.parquet(self.folder(table)).drop(BATCH, DATE)
 
 
 def to_files(payload: DataFrame, path: str) -> None:
@@ -114,24 +133,24 @@ def prediction_batch(
     def process(new_minutes: DataFrame, batch: int) -> None:
         spark = new_minutes.sparkSession
         spread = new_minutes.repartition(files, "zip_code", "window_start")
-        spread.write.mode("overwrite").parquet(tables.folder("minute_loads", batch))
+        write_dated(spread, tables.folder("minute_loads", batch), "window_start")
         # What follows reads files only. Adaptive planning, off for the stream itself, fits it to the batch's size.
         with settings(spark, spark__sql__adaptive__enabled="true"):
             _predict(spark, batch)
         # Only the batch before can still be asked for, by a rerun of this one.
-        _delete(spark, tables.folder("carry", batch - 2))
+        delete(spark, tables.folder("carry", batch - 2))
 
     def _predict(spark: SparkSession, batch: int) -> None:
         rows = spark.read.schema(MINUTE_SCHEMA).parquet(tables.folder("minute_loads", batch))
-        rows = rows.withColumn("is_new", F.lit(True))
+        rows = rows.drop(DATE).withColumn("is_new", F.lit(True))
         if batch > 0:
             carried = spark.read.schema(MINUTE_SCHEMA).parquet(tables.folder("carry", batch - 1))
             rows = rows.unionByName(carried.withColumn("is_new", F.lit(False)))
 
         predicted = overload_predictions(rows, cfg, bounded=bounded).filter("is_new").drop("is_new")
-        predicted.write.mode("overwrite").parquet(tables.folder("overload_predictions", batch))
+        write_dated(predicted, tables.folder("overload_predictions", batch), "window_start")
         written = spark.read.schema(predicted.schema).parquet(tables.folder("overload_predictions", batch))
-        publish(alert_payload(written), tables.folder("alerts", batch))
+        publish(alert_payload(written.drop(DATE)), tables.folder("alerts", batch))
 
         # A rank limit is applied before the shuffle too, so at most `reach` rows per zone and task move.
         newest = Window.partitionBy("zip_code").orderBy(F.col("window_start").desc())
@@ -141,11 +160,6 @@ def prediction_batch(
     return process
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def start_predictions(
     readings: DataFrame,
     tables: PredictionTables,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from meterflow import REFERENCE
 from meterflow.functions import labels
 from meterflow.plans import archive, reports
+from meterflow.sources.tables import CatalogTable, FolderTable, write_dated
 from tests.conftest import as_dicts
 
 CFG = REFERENCE.with_(minimum_raw_rows=100, minimum_rows=10, rows_per_file=50)
@@ -32,46 +33,75 @@ def create_table(spark, name, df, time):
 def tables(spark):
     create_table(spark, "raw_rows", rows_of(spark, 300, time="event_time"), "event_time")
     create_table(spark, "zone_rows", rows_of(spark, 120), "window_start")
-    return {"raw_readings": "raw_rows", "zip_aggregations": "zone_rows"}
+    return {"raw_readings": CatalogTable(spark, "raw_rows"), "zip_aggregations": CatalogTable(spark, "zone_rows")}
 
 
+@pytest.fixture
+def folders(spark, tmp_path):
+    """The same rows as a stream leaves them: in several batches, with the day spread over them."""
+    result = {}
+    for name, count, time in (("raw_readings", 300, "event_time"), ("zip_aggregations", 120, "window_start")):
+        rows, path = rows_of(spark, count, time=time), str(tmp_path / "hot" / name)
+        for batch, hours in enumerate(("hour({}) < 8", "hour({}) >= 8")):
+            write_dated(rows.filter(hours.format(time)), f"{path}/batch_id={batch}", time)
+        result[name] = FolderTable(spark, path, f"{time} TIMESTAMP_NTZ, zip_code STRING, load_mw DOUBLE")
+    return result
+
+
+def everything(spark, table):
+    return table.all_rows() if isinstance(table, FolderTable) else spark.table(table.name)
+
+
+@pytest.mark.parametrize("kind", ["tables", "folders"])
 @pytest.mark.parametrize("compact_first", [False, True])
-def test_nightly(spark, tables, tmp_path, compact_first):
-    root = str(tmp_path / "cold")
-    before = {name: spark.table(t).count() for name, t in tables.items()}
+def test_nightly(spark, request, tmp_path, kind, compact_first):
+    tables, root = request.getfixturevalue(kind), str(tmp_path / "cold")
+    before = {name: everything(spark, t).count() for name, t in tables.items()}
     manifest = as_dicts(archive.nightly_archive(spark, tables, RUN, root, CFG, compact_first), "table_name")
     assert [(r["table_name"], r["source_count"], r["exported_count"]) for r in manifest] == [
         ("raw_readings", 300, 300), ("zip_aggregations", 120, 120),
     ]
     for name, table in tables.items():
-        left = spark.table(table)
-        assert left.filter(F.col("event_date") == F.lit(DAY)).isEmpty()
-        assert left.count() + spark.read.parquet(archive.export_path(root, name, DAY)).count() == before[name]
+        assert table.rows(DAY).isEmpty()
+        exported = spark.read.parquet(archive.export_path(root, name, DAY))
+        assert everything(spark, table).count() + exported.count() == before[name] > exported.count()
+        assert "event_date" not in exported.columns and "batch_id" not in exported.columns
     # Nothing is left to do the second time.
     assert as_dicts(archive.nightly_archive(spark, tables, RUN, root, CFG), "table_name") == manifest
 
 
-def test_swap_leaves_other_days_alone(spark, tables, tmp_path):
-    day = spark.table("zone_rows").filter(F.col("event_date") == F.lit(DAY)).drop("event_date")
-    before = sorted(map(repr, spark.table("zone_rows").collect()))
-    archive.compact_day(day, str(tmp_path), "zones", DAY, CFG)
-    archive.swap_partition(spark, "zone_rows", archive.export_path(str(tmp_path), "zones", DAY), DAY)
-    assert sorted(map(repr, spark.table("zone_rows").collect())) == before
+@pytest.mark.parametrize("kind", ["tables", "folders"])
+def test_swap_leaves_other_days_alone(spark, request, tmp_path, kind):
+    table = request.getfixturevalue(kind)["zip_aggregations"]
+    staging = str(tmp_path / "staging")
+
+    def stored():
+        return sorted(map(repr, everything(spark, table).collect()))
+
+    before = stored()
+    archive.compact_day(table.rows(DAY), staging, "zones", DAY, CFG)
+    archive.swap_day(table, archive.export_path(staging, "zones", DAY), DAY)
+    assert stored() == before
+
+
+def test_swap_refuses_a_day_that_changed(spark, tables, tmp_path):
+    table = tables["zip_aggregations"]
+    archive.compact_day(table.rows(DAY), str(tmp_path), "zones", DAY, CFG)
     late = rows_of(spark, 1, days=2).withColumn("event_date", F.to_date("window_start"))
     late.write.insertInto("zone_rows")
     with pytest.raises(RuntimeError, match="changed since"):
-        archive.swap_partition(spark, "zone_rows", archive.export_path(str(tmp_path), "zones", DAY), DAY)
+        archive.swap_day(table, archive.export_path(str(tmp_path), "zones", DAY), DAY)
 
 
 def test_nightly_goes_on_after_a_failure(spark, tables, tmp_path):
     root = str(tmp_path / "cold")
     # As if the night had stopped between two purges.
     for name, table in tables.items():
-        day = spark.table(table).filter(F.col("event_date") == F.lit(DAY)).drop("event_date")
-        archive.archive_export(day, root, name, DAY, CFG, "event_time" if name == "raw_readings" else "window_start")
-    archive.purge_partition(spark, "raw_rows", "raw_readings", DAY, root)
+        time = "event_time" if name == "raw_readings" else "window_start"
+        archive.archive_export(table.rows(DAY), root, name, DAY, CFG, time)
+    archive.purge_day(tables["raw_readings"], "raw_readings", DAY, root)
     archive.nightly_archive(spark, tables, RUN, root, CFG)
-    assert all(spark.table(t).filter(F.col("event_date") == F.lit(DAY)).isEmpty() for t in tables.values())
+    assert all(table.rows(DAY).isEmpty() for table in tables.values())
 
 
 def test_too_few_rows_stop_the_night(spark, tables, tmp_path):
@@ -81,11 +111,10 @@ def test_too_few_rows_stop_the_night(spark, tables, tmp_path):
 
 
 def test_purge_needs_a_complete_export(spark, tables, tmp_path):
-    root = str(tmp_path)
-    short = spark.table("zone_rows").filter(F.col("event_date") == F.lit(DAY)).drop("event_date").limit(119)
-    archive.archive_export(short, root, "zip_aggregations", DAY, CFG)
+    root, table = str(tmp_path), tables["zip_aggregations"]
+    archive.archive_export(table.rows(DAY).limit(119), root, "zip_aggregations", DAY, CFG)
     with pytest.raises(RuntimeError, match="119 rows exported of 120"):
-        archive.purge_partition(spark, "zone_rows", "zip_aggregations", DAY, root)
+        archive.purge_day(table, "zip_aggregations", DAY, root)
     assert spark.table("zone_rows").count() == 360
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from meterflow import REFERENCE
 from meterflow.operators import forecast, loads
 from meterflow.sources.readings import envelope, parse_readings, unique_readings
+from meterflow.sources.tables import FolderTable
 from meterflow.streaming import jobs
 from tests.conftest import START, as_dicts
 
@@ -92,6 +93,23 @@ def test_loads_equal_batch(spark, feed, tmp_path, name):
             assert ours[column] == (pytest.approx(value) if isinstance(value, float) else value)
 
 
+def test_dated_folders(spark, feed, tmp_path):
+    rows = three_hours()
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def start():
+        return jobs.append_dated(
+            jobs.minute_load_stream(feed.stream(), CFG), path, "window_start", checkpoint, partitions=2, availableNow=True
+        )
+
+    run_slices(feed, start, rows, count=2)
+    batch = loads.minute_load(readings_of(spark, rows), CFG)
+    table = FolderTable(spark, path, jobs.MINUTE_SCHEMA)
+    assert sorted(map(repr, table.rows(START.date()).collect())) == sorted(map(repr, batch.collect()))
+    plan = table.rows(START.date())._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
 def test_append_to_table(spark, feed, tmp_path):
     rows = three_hours()
     feed.deliver(rows)
