@@ -97,22 +97,23 @@ def next_known(df: DataFrame, keys: Sequence[str], order: str, value: str, name:
     """Per row the first non-null `value` at or after it: a forward as-of lookup.
 
     Each chunk learns the first value of the next chunk that has one from a marker row
-    behind its last row, so one window per chunk finds the answer.
+    behind its last row, so one window per chunk finds the answer. The windows run
+    backward in time: their frames only grow, and each row is added to them once.
     """
     chunked = df.withColumn(_CHUNK, _chunk_of(order, chunk_s))
     firsts = chunked.groupBy(*keys, _CHUNK).agg(
         F.min_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_first")
     )
-    later = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(1, Window.unboundedFollowing)
-    markers = firsts.select(*keys, _CHUNK, F.first("_first", ignorenulls=True).over(later).alias(value))
+    later = Window.partitionBy(*keys).orderBy(F.col(_CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    markers = firsts.select(*keys, _CHUNK, F.last("_first", ignorenulls=True).over(later).alias(value))
     inside = (
         Window.partitionBy(*keys, _CHUNK)
-        .orderBy(F.col(order).asc_nulls_last())
-        .rowsBetween(0, Window.unboundedFollowing)
+        .orderBy(F.col(order).desc_nulls_first())
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         chunked.unionByName(markers, allowMissingColumns=True)
-        .withColumn(name, F.first(value, ignorenulls=True).over(inside))
+        .withColumn(name, F.last(value, ignorenulls=True).over(inside))
         .filter(F.col(order).isNotNull())
         .drop(_CHUNK)
     )

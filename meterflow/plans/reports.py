@@ -58,8 +58,8 @@ def response_times(predictions: DataFrame, actions: DataFrame, cfg: GridConfig)
     alerts = predictions.filter(F.col("alert_level").isin(*labels.PUBLISHED_LEVELS)).select(
         "zip_code", F.col("window_end").alias("at"), F.struct("alert_level", "overload_risk_score").alias("alert")
     )
-    # At most one alert and one answer per zone and edge, so this join keeps one row for each.
-    timeline = answers.join(alerts, ["zip_code", "at"], "full")
+    # One timeline with at most one alert and one answer per zone and edge.
+    timeline = answers.unionByName(alerts, allowMissingColumns=True)
     answered = next_known(timeline, ["zip_code"], "at", "answer", "reply", cfg.history_chunk_s)
     seconds = F.timestamp_diff("MICROSECOND", F.col("at"), F.col("reply.ts")) / 1e6
     return answered.filter(F.col("alert").isNotNull()).select(

@@ -17,9 +17,21 @@ from meterflow.config import GridConfig
 from meterflow.operators import loads
 from meterflow.operators.forecast import alert_payload, overload_predictions
 from meterflow.session import ROCKSDB_PROVIDER, settings
-from meterflow.sources.tables import BATCH, DATE, delete, write_dated
+from meterflow.sources.tables import BATCH, DATE, delete, exists, write_dated
 
+# The tables of the prediction stream.
 MINUTE_SCHEMA = "window_start TIMESTAMP, window_end TIMESTAMP, zip_code STRING, minute_load_kw DOUBLE"
+PREDICTION_SCHEMA = (
+    f"{MINUTE_SCHEMA}, load_acceleration DOUBLE, cumulative_15min_load DOUBLE, avg_15min_load DOUBLE, "
+    "load_trend_slope DOUBLE, predicted_next_minute DOUBLE, predicted_5min DOUBLE, predicted_15min DOUBLE, "
+    "overload_risk_score DOUBLE, alert_level STRING, recommended_action STRING, current_load_kw DOUBLE, "
+    "estimated_minutes_to_overload DOUBLE"
+)
+TABLE_SCHEMAS = {
+    "minute_loads": MINUTE_SCHEMA,
+    "overload_predictions": PREDICTION_SCHEMA,
+    "alerts": "key STRING, value STRING",
+}
 
 
 def zip_load_stream(readings: DataFrame, cfg: GridConfig) -> DataFrame:
@@ -97,7 +109,9 @@ class PredictionTables:
         return f"{self.root}/{table}" if batch is None else f"{self.root}/{table}/{BATCH}={batch}"
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(self.folder(table)).drop(BATCH, DATE)
+        if not exists(spark, self.folder(table)):
+            return spark.createDataFrame([], TABLE_SCHEMAS[table])
+        return spark.read.schema(TABLE_SCHEMAS[table]).parquet(self.folder(table)).drop(BATCH, DATE)
 
 
 def to_files(payload: DataFrame, path: str) -> None:
@@ -105,7 +119,10 @@ def to_files(payload: DataFrame, path: str) -> None:
 
 
 def to_kafka(servers: str, topic: str) -> Callable[[DataFrame, str], None]:
-    """Alert sink for a message topic. Needs the Kafka connector on the cluster's class path."""
+    """Alert sink for a message topic. Needs the Kafka connector on the cluster's class path.
+
+    A batch that is run again publishes its alerts again; they carry zone and window to tell repeats by.
+    """
 
     def publish(payload: DataFrame, _path: str) -> None:
         payload.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
@@ -141,16 +158,17 @@ def prediction_batch(
         delete(spark, tables.folder("carry", batch - 2))
 
     def _predict(spark: SparkSession, batch: int) -> None:
-        rows = spark.read.schema(MINUTE_SCHEMA).parquet(tables.folder("minute_loads", batch))
-        rows = rows.drop(DATE).withColumn("is_new", F.lit(True))
+        new = spark.read.schema(MINUTE_SCHEMA).parquet(tables.folder("minute_loads", batch)).drop(DATE)
+        rows = new.withColumn("is_new", F.lit(True))
         if batch > 0:
             carried = spark.read.schema(MINUTE_SCHEMA).parquet(tables.folder("carry", batch - 1))
             rows = rows.unionByName(carried.withColumn("is_new", F.lit(False)))
 
-        predicted = overload_predictions(rows, cfg, bounded=bounded).filter("is_new").drop("is_new")
-        write_dated(predicted, tables.folder("overload_predictions", batch), "window_start")
-        written = spark.read.schema(predicted.schema).parquet(tables.folder("overload_predictions", batch))
-        publish(alert_payload(written.drop(DATE)), tables.folder("alerts", batch))
+        if not new.isEmpty():
+            predicted = overload_predictions(rows, cfg, bounded=bounded).filter("is_new").drop("is_new")
+            write_dated(predicted, tables.folder("overload_predictions", batch), "window_start")
+            stored = spark.read.schema(PREDICTION_SCHEMA).parquet(tables.folder("overload_predictions", batch))
+            publish(alert_payload(stored), tables.folder("alerts", batch))
 
         # A rank limit is applied before the shuffle too, so at most `reach` rows per zone and task move.
         newest = Window.partitionBy("zip_code").orderBy(F.col("window_start").desc())
