@@ -87,7 +87,8 @@ def test_zone_status(spark, minutes):
     cfg = REFERENCE.with_(default_zone_capacity_kw=50.0)
     predictions = forecast.overload_predictions(loads.minute_load(readings, cfg), cfg)
     capacity = spark.createDataFrame([("b", 10.0)], "zip_code STRING, capacity_kw DOUBLE")
-    cards = {r["zip_code"]: r for r in as_dicts(status.zone_status(loads.zip_load(readings, cfg), predictions, capacity, cfg))}
+    status_rows = status.zone_status(loads.zip_load(readings, cfg), predictions, capacity, cfg)
+    cards = {r["zip_code"]: r for r in as_dicts(status_rows)}
     assert cards["a"]["last_update"] == at(60) and cards["a"]["trend"] == "UP"
     assert cards["a"]["capacity_utilization_pct"] == pytest.approx(92.0) and cards["a"]["capacity_band"] == "high"
     assert cards["b"]["trend"] == "STABLE" and cards["b"]["capacity_utilization_pct"] == pytest.approx(90.0)
