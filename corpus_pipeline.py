@@ -7,12 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm import bpe, mixing, simhash_dedup
+from meterflow.llm import bpe, language_id, mixing, quality_model, simhash_dedup
 from meterflow.llm.common import prepare, read_table, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return language_id.in_known_language(docs)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_model.good_documents(docs, read_table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     return simhash_dedup.one_of_each_group(docs)
@@ -30,6 +39,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("languages", languages),
+    ("quality", quality),
     ("near_dedup", near_dedup),
     ("mix", mix),
     ("encode", encode),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from meterflow.llm import bpe, mixing, simhash_dedup
+from meterflow.llm import bpe, language_id, mixing, quality_model, simhash_dedup
 from meterflow.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,11 +19,19 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predicted_languages(read_table(spark, sf_dir, "documents"))
+
+
 def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(read_table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return bpe.encoded_documents(read_table(spark, sf_dir, "documents"), vocabulary, with_ids=False)
@@ -31,7 +39,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_simhash_near_dedup, op3_mixing_sources, op5_byte_bpe)
+    for query in (op1_simhash_near_dedup, op2_language_id, op3_mixing_sources, op4_quality_classifier, op5_byte_bpe)
 }
 
 SQL: dict[str, str] = {"op3_mixing_sources": mixing.SQL}
