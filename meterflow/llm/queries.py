@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from meterflow.llm import bpe, language_id, mixing, quality_model, simhash_dedup
+from meterflow.llm import bpe, language_id, mixing, quality_model, simhash_dedup, token_store
 from meterflow.llm.common import read_table
+from meterflow.llm.word_tokens import WordTokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,9 +38,18 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_documents(read_table(spark, sf_dir, "documents"), vocabulary, with_ids=False)
 
 
+END_OF_DOCUMENT = 2
+
+
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as definition:
+        tokens = WordTokens(definition.read())
+    return token_store.read_store(token_store.write_store(read_table(spark, sf_dir, "documents"), tokens, END_OF_DOCUMENT))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_simhash_near_dedup, op2_language_id, op3_mixing_sources, op4_quality_classifier, op5_byte_bpe)
+    for query in (op1_simhash_near_dedup, op2_language_id, op3_mixing_sources, op4_quality_classifier, op5_byte_bpe, op7_token_ids)
 }
 
 SQL: dict[str, str] = {"op3_mixing_sources": mixing.SQL}
