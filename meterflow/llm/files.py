@@ -19,7 +19,7 @@ def open_for_writing(folder: str, suffix: str) -> tuple[str, object]:
     path = f"{folder.rstrip('/')}/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}{suffix}"
     system, inner = fs.FileSystem.from_uri(path)
     system.create_dir(inner.rpartition("/")[0], recursive=True)
-    return path, system.open_output_stream(inner)
+    return path, system.open_output_stream(inner, compression=None)
 
 
 def open_for_reading(path: str):

@@ -9,7 +9,18 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from meterflow.llm import bpe, language_id, mixing, quality_model, simhash_dedup, token_store
+from meterflow.llm import (
+    bpe,
+    doc_fingerprints,
+    language_id,
+    license_scan,
+    mixing,
+    quality_model,
+    repetition,
+    simhash_dedup,
+    token_store,
+    warc,
+)
 from meterflow.llm.common import read_table
 from meterflow.llm.word_tokens import WordTokens
 
@@ -38,6 +49,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_documents(read_table(spark, sf_dir, "documents"), vocabulary, with_ids=False)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(warc.write_archives(read_table(spark, sf_dir, "pages")))
+
+
 END_OF_DOCUMENT = 2
 
 
@@ -47,9 +62,32 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(token_store.write_store(read_table(spark, sf_dir, "documents"), tokens, END_OF_DOCUMENT))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doc_fingerprints.document_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op10_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition_rules(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_simhash_near_dedup, op2_language_id, op3_mixing_sources, op4_quality_classifier, op5_byte_bpe, op7_token_ids)
+    for query in (
+        op1_simhash_near_dedup,
+        op2_language_id,
+        op3_mixing_sources,
+        op4_quality_classifier,
+        op5_byte_bpe,
+        op6_warc,
+        op7_token_ids,
+        op8_license_scan,
+        op9_document_fingerprints,
+        op10_repetition_rules,
+    )
 }
 
-SQL: dict[str, str] = {"op3_mixing_sources": mixing.SQL}
+SQL: dict[str, str] = {"op3_mixing_sources": mixing.SQL, "op6_warc": warc.SQL}
