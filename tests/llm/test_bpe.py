@@ -1,0 +1,78 @@
+import random
+from hashlib import sha256
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+from meterflow.llm import bpe
+from meterflow.llm.memo import Memo
+from meterflow.llm.perfect_hash import PerfectHash
+from tests.llm.conftest import prose
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return bpe.load(PATH, public_tokenizers.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def library(vocabulary):
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary.ids, special_tokens={}
+    )
+
+
+PARTS = ["a", " ", "'s", "'ll", "'LL", "  ", "\n", "\r\n", "é", "中文", "²", "😀", "𝔸", " ", "\u0085", "\x1c", "The", " the", "12", "!!", "<|endoftext|>"]
+
+
+def test_ids_as_the_library(vocabulary, library):
+    rng = random.Random(1)
+    texts = ["".join(rng.choices(PARTS, k=rng.randint(0, 30))) for _ in range(1500)] + [prose(1, 2000), "ab" * 30_000, ""]
+    for text, ids in zip(texts, vocabulary.encode(texts)):
+        assert ids.tolist() == library.encode_ordinary(text), repr(text)
+        assert vocabulary.decode(ids) == text.encode()
+
+
+def test_plain_pattern_splits_alike(vocabulary):
+    rng = random.Random(2)
+    for _ in range(1500):
+        text = "".join(chr(rng.choice((rng.randrange(0x300), rng.randrange(0xD800)))) for _ in range(30))
+        assert vocabulary._plain.findall(text) == vocabulary._full.findall(text)
+
+
+def test_perfect_hash_is_minimal(vocabulary):
+    table = PerfectHash(vocabulary.tokens)
+    assert sorted(table.places(vocabulary.tokens).tolist()) == list(range(len(vocabulary.tokens)))
+    assert PerfectHash([]).places([b"x"]).tolist() == [-1]
+    others = [token + b"\xff\xfe" for token in vocabulary.tokens[:500]]
+    assert all(-1 <= p < len(vocabulary.tokens) for p in table.places(others).tolist())
+
+
+def test_memo_forgets_but_stays_right():
+    calls = []
+    memo = Memo(lambda keys: calls.append(len(keys)) or [k * 2 for k in keys], limit=3, longest=2)
+    for keys in (["a", "b"], ["a", "ccc"], ["d", "e", "f"], ["a", "g", "ccc"], []):
+        known = memo.known(keys)
+        assert [known[k] for k in keys] == [k * 2 for k in keys]
+        assert len(memo.young) <= 3 + len(keys) and "ccc" not in memo.young
+
+
+def test_odd_rows(table, odd_rows, vocabulary, library):
+    rows = bpe.encoded_documents(table(odd_rows), vocabulary).collect()
+
+    def expected(doc_id, text):
+        ids = library.encode_ordinary(text or "")
+        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        return (doc_id, len(ids), sha256(packed).hexdigest(), sha256((text or "").encode()).hexdigest(), ids)
+
+    assert sorted(map(repr, map(tuple, rows))) == sorted(repr(expected(*row[:2])) for row in odd_rows)
+    assert bpe.encoded_documents(table([]).limit(0), vocabulary).count() == 0
+
+
+def test_gaps_in_a_rank_file(tmp_path):
+    (tmp_path / "ranks").write_text("YQ== 0\nYg== 2\n")
+    with pytest.raises(ValueError, match="ranks"):
+        bpe.read_ranks(str(tmp_path / "ranks"))
