@@ -17,8 +17,8 @@ def _r(expression: str, name: str | None = None) -> str:
 
 
 def _shown(expression: str, places: int, name: str) -> str:
-    """Rounded for display: binary noise first, then the places shown."""
-    return _r(f"round(round({expression}, 9), {places})", name)
+    """Rounded for display: binary noise first, then the places shown, as decimals so that a half goes up."""
+    return _r(f"CAST(round(CAST(round({expression}, 9) AS DECIMAL(38,9)), {places}) AS DOUBLE)", name)
 
 
 # Times before which the streams have emitted every window: newest reading less the delay.
@@ -53,7 +53,7 @@ STEPS = {
         SELECT {_bucket("event_time", 3600)} AS window_start,
                {_bucket("event_time", 3600)} + INTERVAL 1 HOUR AS window_end,
                zip_code,
-               CAST(sum(CAST(power_kw AS DECIMAL(18,2))) AS DOUBLE) AS load_mw,
+               CAST(sum(CAST(power_kw AS DECIMAL(18,2))) AS DOUBLE) / 10.0 AS load_mw,
                CAST(sum(CAST(power_kw AS DECIMAL(18,2))) AS DOUBLE) / count(power_kw) AS avg_load_kw,
                count(*) AS meter_count, max(power_kw) AS peak_load_kw, stddev(power_kw) AS load_stddev,
                avg(voltage) AS avg_voltage, avg(frequency) AS avg_frequency,
@@ -68,7 +68,7 @@ STEPS = {
         SELECT {_bucket("event_time", 3600)} AS window_start,
                {_bucket("event_time", 3600)} + INTERVAL 1 HOUR AS window_end,
                count(*) AS active_meters, max(power_kw) AS single_peak_kw, avg(temperature_f) AS avg_temp_f,
-               CAST(sum(CAST(power_kw AS DECIMAL(18,2))) AS DOUBLE) AS grid_load_mw,
+               CAST(sum(CAST(power_kw AS DECIMAL(18,2))) AS DOUBLE) / 10.0 AS grid_load_mw,
                avg(temperature_f) > 55 AS heatwave_active
         FROM readings GROUP BY 1, 2""",
     "minute_recent": """
@@ -121,17 +121,17 @@ STEPS = {
         FROM minute_surge_recent""",
     "aligned": f"""
         SELECT {_bucket("window_start", 21600)} AS window_start, zip_code,
-               CAST(sum(CAST(load_mw AS DECIMAL(18,2))) AS DOUBLE) AS load_mw,
+               CAST(sum(CAST(load_mw AS DECIMAL(18,3))) AS DOUBLE) AS load_mw,
                sum(avg_temp_f * meter_count) / sum(meter_count) AS avg_temp_f
         FROM zone_loads GROUP BY 1, 2""",
     "state": """
         SELECT l.window_start, l.zip_code, l.load_mw, l.avg_temp_f, p.score AS overload_risk_score,
-               p.p15 AS predicted_load_mw, a.solar_generation_mw, a.wind_generation_mw, a.battery_soc_pct,
+               p.p15 / 10.0 AS predicted_load_mw, a.solar_generation_mw, a.wind_generation_mw, a.battery_soc_pct,
                greatest(0.0, a.solar_generation_mw + a.wind_generation_mw - l.load_mw) AS renewable_surplus_mw
         FROM zone_loads l JOIN predicted p USING (zip_code, window_start) LEFT JOIN assets a USING (zip_code)""",
     "aligned_state": """
         SELECT l.window_start, l.zip_code, l.load_mw, l.avg_temp_f, p.score AS overload_risk_score,
-               p.p15 AS predicted_load_mw,
+               p.p15 / 10.0 AS predicted_load_mw,
                greatest(0.0, a.solar_generation_mw + a.wind_generation_mw - l.load_mw) AS renewable_surplus_mw
         FROM aligned l JOIN predicted p USING (zip_code, window_start) LEFT JOIN assets a USING (zip_code)""",
     "plan": """
@@ -141,7 +141,7 @@ STEPS = {
         FROM (SELECT *, CASE WHEN predicted_load_mw > load_mw * 1.2 THEN predicted_load_mw - load_mw
                              ELSE 0.0 END AS deficit,
                      overload_risk_score * (predicted_load_mw / nullif(load_mw, 0)) + 0.0 AS priority
-              FROM state)""",
+              FROM aligned_state)""",
     "balance": """
         SELECT window_start, sum(renewable_surplus_mw) AS surplus, count(*) FILTER (WHERE deficit > 0) AS zones
         FROM plan GROUP BY 1""",
@@ -240,10 +240,10 @@ _ALERT = "zip_code, window_start, window_end, alert_level, " + _r("score", "over
 
 def _imminent(source: str) -> str:
     return f"""
-        SELECT zip_code, window_start, {_shown("minute_load_kw", 2, "current_load_mw")},
-               {_shown("diff", 2, "accel_mw_per_min")},
-               {_shown("minute_load_kw + diff * 15", 2, "projected_load_mw")},
-               {_shown("sum15 / 1000 * 100", 1, "capacity_pct")}, growth_regime,
+        SELECT zip_code, window_start, {_shown("minute_load_kw / 10.0", 2, "current_load_mw")},
+               {_shown("diff / 10.0", 2, "accel_mw_per_min")},
+               {_shown("(minute_load_kw + diff * 15) / 10.0", 2, "projected_load_mw")},
+               {_shown("sum15 / 10.0 / 100.0 * 100", 1, "capacity_pct")}, growth_regime,
                {_shown("minutes", 1, "mins_to_overload")},
                CASE WHEN minutes < 5 THEN 'critical' WHEN minutes < 15 THEN 'high' WHEN minutes < 30 THEN 'medium'
                     ELSE 'normal' END AS grid_alert_status,
@@ -254,7 +254,7 @@ def _imminent(source: str) -> str:
 
 def _surge(source: str) -> str:
     return f"""
-        SELECT window_start, count(*) AS surging_zones, {_r("sum(roc)", "total_surge_mw")},
+        SELECT window_start, count(*) AS surging_zones, {_r("sum(roc) / 10.0", "total_surge_mw")},
                string_agg(zip_code, ',' ORDER BY zip_code) AS affected_zips,
                CASE WHEN count(*) > 5 AND sum(roc) > 800 THEN 'WIDESPREAD_GRID_EMERGENCY'
                     WHEN count(*) > 3 THEN 'MULTI_ZONE_EVENT' ELSE 'LOCALIZED_EVENT' END AS event_classification
@@ -272,9 +272,9 @@ def _plan(source: str, condition: str = "TRUE") -> str:
                     WHEN deficit > 0 OR overload_risk_score > 60 THEN 'IMPORT_ZONE'
                     ELSE 'BALANCED_ZONE' END AS grid_role,
                CASE WHEN renewable_surplus_mw > 5 THEN 'TRANSFER '
-                         || CAST(CAST(round(round(renewable_surplus_mw * 0.8, 9), 1) AS DECIMAL(18,1)) AS VARCHAR)
+                         || CAST(CAST(round(CAST(round(renewable_surplus_mw * 0.8, 9) AS DECIMAL(38,9)), 1) AS DECIMAL(18,1)) AS VARCHAR)
                          || ' MW TO NEAREST IMPORT ZONE'
-                    WHEN deficit > 2 THEN 'REQUEST ' || CAST(CAST(round(round(deficit, 9), 1) AS DECIMAL(18,1)) AS VARCHAR)
+                    WHEN deficit > 2 THEN 'REQUEST ' || CAST(CAST(round(CAST(round(deficit, 9) AS DECIMAL(38,9)), 1) AS DECIMAL(18,1)) AS VARCHAR)
                          || ' MW FROM NEAREST EXPORT ZONE'
                     ELSE 'MAINTAIN_CURRENT_FLOWS' END AS grid_command
         FROM (SELECT *, CASE WHEN predicted_load_mw > load_mw * 1.2 THEN predicted_load_mw - load_mw
@@ -290,6 +290,10 @@ _ACCURACY = f"""
     SELECT 'ALL', count(error), {_r("100 * (1 - sum(error) / nullif(count(error), 0))", "accuracy_pct")} FROM compared"""
 
 _DAY = "DATE '2024-01-10'"
+_SOME = (
+    "zip_code = '00007' AND window_start >= TIMESTAMP '2024-01-05 06:00:00' "
+    "AND window_start < TIMESTAMP '2024-01-20 00:00:00'"
+)
 
 
 def _day_counts(first: str, second: str) -> str:
@@ -312,9 +316,21 @@ QUERIES = {
     "load_history": f"""
         SELECT {_bucket("window_start", 86400)} AS window_start,
                {_bucket("window_start", 86400)} + INTERVAL 1 DAY AS window_end, zip_code, count(*) AS points,
-               {_r("CAST(sum(CAST(minute_load_kw AS DECIMAL(18,2))) AS DOUBLE) / count(*)", "avg_load_kw")},
+               {_r("CAST(sum(CAST(minute_load_kw AS DECIMAL(18,2))) AS DOUBLE) / count(minute_load_kw)", "avg_load_kw")},
                {_r("min(minute_load_kw)", "min_load_kw")}, {_r("max(minute_load_kw)", "max_load_kw")}
         FROM minute GROUP BY 1, 2, 3""",
+    "load_history_zone": f"""
+        SELECT {_bucket("window_start", 86400)} AS window_start,
+               {_bucket("window_start", 86400)} + INTERVAL 1 DAY AS window_end, zip_code, count(*) AS points,
+               {_r("CAST(sum(CAST(minute_load_kw AS DECIMAL(18,2))) AS DOUBLE) / count(minute_load_kw)", "avg_load_kw")},
+               {_r("min(minute_load_kw)", "min_load_kw")}, {_r("max(minute_load_kw)", "max_load_kw")}
+        FROM minute WHERE {_SOME} GROUP BY 1, 2, 3""",
+    "rejected_readings": f"""
+        SELECT {_bucket("event_time", 21600)} AS window_start,
+               {_bucket("event_time", 21600)} + INTERVAL 6 HOUR AS window_end, zip_code, count(*) AS readings,
+               count(*) FILTER (WHERE power_kw IS NULL) AS missing,
+               count(*) FILTER (WHERE NOT coalesce(isfinite(power_kw) AND abs(power_kw) < 1e9, TRUE)) AS rejected
+        FROM readings GROUP BY 1, 2, 3""",
     "load_lag_lead": f"""
         SELECT window_start, window_end, zip_code, {_r("minute_load_kw")}, {_r("prev_load")}, {_r("load_3min_ago")},
                {_r("load_5min_ago")}, {_r("future_5min_load")} FROM lagged""",
@@ -368,9 +384,16 @@ QUERIES = {
                {_r("minute_load_kw")}
         FROM (SELECT DISTINCT run, {_bucket("window_start", 21600)} AS at FROM hot) h
              JOIN runs USING (run) JOIN minute m ON m.window_start = h.at""",
+    "event_replay_one": f"""
+        SELECT event_start, event_end, hot_windows, {_r("max_temp_f")}, m.window_start, m.zip_code,
+               {_r("minute_load_kw")}
+        FROM (SELECT DISTINCT run, {_bucket("window_start", 21600)} AS at FROM hot) h
+             JOIN runs USING (run) JOIN minute m ON m.window_start = h.at
+        WHERE event_start = (SELECT event_start FROM runs
+                             WHERE event_start >= TIMESTAMP '2024-01-03 00:00:00' ORDER BY 1 LIMIT 1)""",
     "load_prediction_join": f"""
         SELECT zip_code, window_start, {_r("load_mw")}, {_r("avg_temp_f")}, {_r("score", "overload_risk_score")},
-               {_r("p15", "predicted_load_mw")}
+               {_r("p15 / 10.0", "predicted_load_mw")}
         FROM zone_loads JOIN predicted USING (zip_code, window_start)""",
     "renewable_state": "SELECT zip_code, window_start, "
     + ", ".join(
@@ -393,33 +416,40 @@ QUERIES = {
                {_r("sum(least(gen, load_mw)) / nullif(sum(gen), 0) * 100", "utilization_pct")}
         FROM (SELECT zip_code, load_mw, solar_generation_mw + wind_generation_mw AS gen
               FROM zone_loads JOIN assets USING (zip_code))
-        WHERE gen IS NOT NULL GROUP BY zip_code""",
+        WHERE gen IS NOT NULL AND load_mw IS NOT NULL GROUP BY zip_code""",
+    "renewable_utilization_range": f"""
+        SELECT zip_code, {_r("sum(gen)", "generation_mw")}, {_r("sum(least(gen, load_mw))", "used_mw")},
+               {_r("sum(least(gen, load_mw)) / nullif(sum(gen), 0) * 100", "utilization_pct")}
+        FROM (SELECT zip_code, load_mw, solar_generation_mw + wind_generation_mw AS gen
+              FROM zone_loads JOIN assets USING (zip_code)
+              WHERE window_start >= TIMESTAMP '2024-01-05 00:00:00' AND window_start < TIMESTAMP '2024-01-12 00:00:00')
+        WHERE gen IS NOT NULL AND load_mw IS NOT NULL GROUP BY zip_code""",
     "transfer_pairs": f"SELECT window_start, source_zip, target_zip, {_r('transfer_mw')} FROM pairs",
     "transfer_impact": f"""
         SELECT window_start, source_zip, target_zip, {_r("transfer_mw")},
-               {_r("new_load", "target_new_load_mw")},
+               {_r("new_load / 10.0", "target_new_load_mw")},
                {_r("CASE WHEN diff > 0 THEN greatest(0.0, (1000 - new_load) / nullif(diff, 0)) ELSE 999.0 END",
                    "target_new_minutes_to_overload")},
-               {_r("CASE WHEN slope > 20 THEN least(100.0, (p15 - transfer_mw) / 2200.0 * 100) ELSE 0.0 END",
+               {_r("CASE WHEN slope > 20 THEN least(100.0, (p15 - transfer_mw * 10) / 2200.0 * 100) ELSE 0.0 END",
                    "target_new_risk_score")}
-        FROM (SELECT t.*, p.minute_load_kw - t.transfer_mw AS new_load, p.diff, p.slope, p.p15
+        FROM (SELECT t.*, p.minute_load_kw - t.transfer_mw * 10 AS new_load, p.diff, p.slope, p.p15
               FROM pairs t JOIN predicted p ON p.window_start = t.window_start AND p.zip_code = t.target_zip)""",
     "zone_capacity_pct": f"""
         SELECT zip_code, window_start, {_r("minute_load_kw")}, {_r("capacity_kw")},
-               {_r("minute_load_kw / capacity_kw * 100", "capacity_pct")}
+               {_r("minute_load_kw / 6.0 / capacity_kw * 100", "capacity_pct")}
         FROM minute JOIN capacity USING (zip_code)""",
     "critical_zones": f"""
         SELECT zip_code, window_start, {_r("minute_load_kw")}, {_r("capacity_kw")},
-               {_r("minute_load_kw / capacity_kw * 100", "capacity_pct")}
-        FROM minute JOIN capacity USING (zip_code) WHERE minute_load_kw / capacity_kw * 100 > 80""",
+               {_r("minute_load_kw / 6.0 / capacity_kw * 100", "capacity_pct")}
+        FROM minute JOIN capacity USING (zip_code) WHERE minute_load_kw / 6.0 / capacity_kw * 100 > 15""",
     "zone_status": f"""
         SELECT l.zip_code, l.window_start AS last_update, {_r("l.load_mw", "current_load_mw")},
-               {_r("l.load_mw / c.capacity_kw * 100", "capacity_utilization_pct")},
+               {_r("l.load_mw * 10.0 / c.capacity_kw * 100", "capacity_utilization_pct")},
                {_r("l.avg_temp_f", "avg_temp_f")}, l.meter_count,
                CASE WHEN p.diff > 0 THEN 'UP' WHEN p.diff < 0 THEN 'DOWN' ELSE 'STABLE' END AS trend, p.alert_level,
-               CASE WHEN l.load_mw / c.capacity_kw * 100 > 95 THEN 'critical'
-                    WHEN l.load_mw / c.capacity_kw * 100 > 80 THEN 'high'
-                    WHEN l.load_mw / c.capacity_kw * 100 > 60 THEN 'elevated' ELSE 'normal' END AS capacity_band,
+               CASE WHEN l.load_mw * 10.0 / c.capacity_kw * 100 > 95 THEN 'critical'
+                    WHEN l.load_mw * 10.0 / c.capacity_kw * 100 > 80 THEN 'high'
+                    WHEN l.load_mw * 10.0 / c.capacity_kw * 100 > 60 THEN 'elevated' ELSE 'normal' END AS capacity_band,
                CASE WHEN l.avg_temp_f > 95 THEN 'hot' WHEN l.avg_temp_f >= 85 THEN 'warm' ELSE 'cool' END AS temp_band
         FROM (SELECT *, row_number() OVER (PARTITION BY zip_code ORDER BY window_start DESC) AS n FROM zone_loads) l
              JOIN capacity c USING (zip_code)
@@ -431,10 +461,10 @@ QUERIES = {
                {_r("g.avg_temp_f", "avg_temp_f")}, heatwave_active,
                {_r("load / capacity * 100", "capacity_pct")}, {_r("capacity - load", "headroom_mw")},
                {_r("surplus", "renewable_surplus_mw")}, zones AS renewable_deficit_zones
-        FROM grid g JOIN (SELECT window_start, CAST(sum(CAST(load_mw AS DECIMAL(18,2))) AS DOUBLE) AS load,
-                                 sum(CAST(capacity_kw AS DOUBLE)) AS capacity
+        FROM grid g JOIN (SELECT window_start, CAST(sum(CAST(load_mw AS DECIMAL(18,3))) AS DOUBLE) AS load,
+                                 sum(CAST(capacity_kw AS DOUBLE)) / 10.0 AS capacity
                           FROM zone_loads JOIN capacity USING (zip_code) GROUP BY 1) c USING (window_start)
-             LEFT JOIN balance b USING (window_start)""",
+             LEFT JOIN balance b ON b.window_start = {_bucket("g.window_start", 21600)}""",
     "stale_zones": """
         SELECT zip_code, max(event_time) AS last_update,
                max(event_time) < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 3 HOUR AS is_stale
@@ -444,6 +474,12 @@ QUERIES = {
                {_r("minute_load_kw + slope", "predicted_next_minute")},
                {_r("minute_load_kw + slope * 5", "predicted_5min")}, {_r("p15", "predicted_15min")},
                {_r("score", "overload_risk_score")}, alert_level FROM predicted""",
+    "prediction_history_zone": f"""
+        SELECT zip_code, window_start, {_r("minute_load_kw", "current_load_kw")}, {_r("slope", "load_trend_slope")},
+               {_r("minute_load_kw + slope", "predicted_next_minute")},
+               {_r("minute_load_kw + slope * 5", "predicted_5min")}, {_r("p15", "predicted_15min")},
+               {_r("score", "overload_risk_score")}, alert_level FROM predicted WHERE {_SOME}""",
+    "alert_history_zone": f"SELECT {_ALERT} FROM predicted WHERE alert_level = 'HIGH' AND {_SOME}",
     "alert_history": f"SELECT {_ALERT} FROM predicted WHERE alert_level IN ('CRITICAL', 'HIGH', 'MEDIUM')",
     "recent_alerts": f"SELECT {_ALERT} FROM alerts ORDER BY window_end DESC, zip_code LIMIT 50",
     "grid_tail": f"""
@@ -462,6 +498,11 @@ QUERIES = {
                {_r("avg(response_seconds)", "avg_seconds")}, {_r("max(response_seconds)", "max_seconds")},
                {_r("quantile_disc(response_seconds, 0.5)", "median_seconds")}
         FROM responses GROUP BY alert_level""",
+    "response_time_stats_week": f"""
+        SELECT alert_level, count(*) AS alerts, count(response_seconds) AS answered,
+               {_r("avg(response_seconds)", "avg_seconds")}, {_r("max(response_seconds)", "max_seconds")},
+               {_r("quantile_disc(response_seconds, 0.5)", "median_seconds")}
+        FROM responses WHERE alert_time >= TIMESTAMP '2024-01-24 00:00:00' GROUP BY alert_level""",
     "action_rate": """
         SELECT operator_id, to_timestamp(second) AT TIME ZONE 'UTC' AS at, actions_in_window
         FROM (SELECT operator_id, second, CAST(sum(actions) OVER (
@@ -502,6 +543,11 @@ QUERIES = {
     "purge_retained": f"""
         SELECT window_start, zip_code, {_r("load_mw")}, meter_count
         FROM zone_loads WHERE CAST(window_start AS DATE) <> {_DAY}""",
+    "archive_late_rows": """
+        SELECT 'zip_aggregations' AS table_name, DATE '2024-01-10' AS archive_date,
+               CAST(extract(hour FROM window_start) >= 12 AS BIGINT) AS run,
+               count(*) AS source_count, count(*) AS exported_count
+        FROM zone_loads WHERE CAST(window_start AS DATE) = DATE '2024-01-10' GROUP BY ALL""",
     "history_union": f"""
         SELECT window_start, zip_code, {_r("load_mw")}, meter_count, {_r("peak_load_kw")} FROM zone_loads""",
     "storage_tier": """

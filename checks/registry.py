@@ -15,12 +15,15 @@ from meterflow.plans import archive, reports, status
 from meterflow.session import scratch_path
 from meterflow.sources import dimensions
 from meterflow.sources import readings as source
+from meterflow.sources.tables import FolderTable, write_dated
 from meterflow.streaming import jobs
 
 AS_OF = dt.datetime(2024, 1, 31)
 ARCHIVE_RUN = dt.date(2024, 2, 9)
 ARCHIVE_DAY = dt.date(2024, 1, 10)
 DETAIL_ZONE = "00007"
+SOME_DAYS = (dt.datetime(2024, 1, 5, 6), dt.datetime(2024, 1, 20))
+SOME_WEEK = (dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 12))
 PLACES = 6
 
 Query = Callable[["Inputs"], DataFrame]
@@ -84,7 +87,7 @@ class Inputs:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return renewables.transfer_pairs(renewables.plan_metrics(self.state, CFG), CFG)
+        return renewables.transfer_pairs(renewables.plan_metrics(self.aligned_state, CFG), CFG)
 
     @cached_property
     def responses(self) -> DataFrame:
@@ -98,13 +101,23 @@ class Inputs:
         events = source.stream_events(self.spark, f"{self.sf_dir}/events.parquet")
         return source.with_stream_time(source.readings_from_events(events))
 
+    def minute_since(self, seconds: int) -> DataFrame:
+        recent = loads.recent_readings(self.readings, F.lit(AS_OF), seconds, CFG.minute_window_s)
+        return loads.minute_load(recent, CFG)
+
     def day_tables(self) -> dict[str, archive.DatedTable]:
+        of_day = archive.day_slice(self.readings, ARCHIVE_DAY, "event_time")
         return {
             "raw_readings": archive.DatedTable(self.readings, "event_time", CFG.minimum_raw_rows),
-            "zip_aggregations": archive.DatedTable(self.zones),
+            "zip_aggregations": archive.DatedTable(loads.zip_load(of_day, CFG)),
             "predictions": archive.DatedTable(self.predictions),
         }
 
+    def counted_tables(self) -> dict[str, archive.DatedTable]:
+        """The same to count only: there is a prediction for every minute row, so the day's minutes are enough."""
+        of_day = archive.day_slice(self.readings, ARCHIVE_DAY, "event_time")
+        return self.day_tables() | {"predictions": archive.DatedTable(loads.minute_load(of_day, CFG))}
+
 
 def as_messages(readings: DataFrame) -> DataFrame:
     iso = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -141,6 +154,12 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 # ---- Batch keys that need more than one call ----
 
 
+def first_event(x: Inputs) -> dt.datetime:
+    """Start of the first heatwave from the third day on: one row, as a user picks it from the list of events."""
+    runs = surge.heatwave_runs(x.grid, CFG).filter(F.col("event_start") >= F.lit(dt.datetime(2024, 1, 3)))
+    return runs.agg(F.min("event_start")).first()[0]
+
+
 def archive_dates(x: Inputs) -> DataFrame:
     runs = x.readings.groupBy(F.to_date("event_time").alias("run_date")).agg(F.count(F.lit(1)).alias("readings"))
     return runs.withColumn("archive_date", archive.archive_date(F.col("run_date"), CFG))
@@ -153,7 +172,7 @@ def tier_summary(x: Inputs) -> DataFrame:
 
 
 def savings(x: Inputs) -> DataFrame:
-    return archive.cost_savings(archive.storage_tier(x.readings, ARCHIVE_RUN, CFG), CFG)
+    return archive.cost_savings(x.readings, ARCHIVE_RUN, CFG)
 
 
 def _stored_day(x: Inputs, root: str, name: str, table: archive.DatedTable) -> DataFrame:
@@ -187,14 +206,38 @@ def compacted(x: Inputs) -> DataFrame:
     )
 
 
+def _hot_zones(x: Inputs, root: str) -> FolderTable:
+    """The zone loads as a hot table whose archived day comes in two batches: before noon, and late."""
+    noon = F.lit(dt.datetime.combine(ARCHIVE_DAY, dt.time(12))).cast("timestamp_ntz")
+    late = (F.to_date("window_start") == F.lit(ARCHIVE_DAY)) & (F.col("window_start") >= noon)
+    write_dated(x.zones.filter(~late), f"{root}/hot", "window_start", 0)
+    table = FolderTable(x.spark, f"{root}/hot", x.zones.schema.toDDL())
+    archive.archive_one_day(
+        archive.ArchivedTable(table, minimum=0), "zip_aggregations", ARCHIVE_DAY, f"{root}/cold", CFG
+    )
+    write_dated(x.zones.filter(late), f"{root}/hot", "window_start", 1)
+    return table
+
+
 def hot_and_cold(x: Inputs) -> DataFrame:
+    """One day archived, the others hot, and late rows of the archived day hot as well: every row once."""
     root = scratch_path(x.spark, "history")
-    archive.archive_export(x.zones, root, "zip_aggregations", ARCHIVE_DAY, CFG)
-    cold = x.spark.read.schema(x.zones.schema).parquet(archive.export_path(root, "zip_aggregations", ARCHIVE_DAY))
-    both = archive.history_union(x.zones, cold, [ARCHIVE_DAY])
+    table = _hot_zones(x, root)
+    first = dt.date(2024, 1, 1)
+    days = [first + dt.timedelta(days=n) for n in range(30)]
+    both = archive.history_union(table, "zip_aggregations", days, f"{root}/cold")
     return both.select("window_start", "zip_code", "load_mw", "meter_count", "peak_load_kw")
 
 
+def late_segments(x: Inputs) -> DataFrame:
+    """What the archive of a day holds after its late rows came, by segment."""
+    root = scratch_path(x.spark, "late-rows")
+    table = _hot_zones(x, root)
+    archive.archive_one_day(archive.ArchivedTable(table), "zip_aggregations", ARCHIVE_DAY, f"{root}/cold", CFG)
+    found = archive.manifests(x.spark, f"{root}/cold", "zip_aggregations", ARCHIVE_DAY)
+    return found.select("table_name", "archive_date", "run", "source_count", "exported_count")
+
+
 def accuracy_csv(x: Inputs) -> DataFrame:
     path = scratch_path(x.spark, "report")
     report = reports.prediction_accuracy(x.predictions, x.minute, CFG)
@@ -211,22 +254,33 @@ def _streamed(x: Inputs, stream: DataFrame) -> DataFrame:
     return x.spark.read.parquet(f"{root}/out")
 
 
+#: The prediction stream gets the readings in this many arrivals, in the order of time.
+ARRIVALS = 3
+
+
 def _predicted(x: Inputs) -> jobs.PredictionTables:
     root = scratch_path(x.spark, "predictions")
     tables = jobs.PredictionTables(f"{root}/out")
-    jobs.start_predictions(x.stream(), tables, f"{root}/checkpoint", CFG, availableNow=True).awaitTermination()
+    needed = x.readings.select("event_time", "zip_code", "power_kw")
+    edges = [dt.datetime(2024, 1, 1) + dt.timedelta(days=10 * n) for n in range(ARRIVALS)] + [dt.datetime(2025, 1, 1)]
+    for begin, end in zip(edges, edges[1:]):
+        loads.in_range(needed, None, begin, end, "event_time").write.mode("append").parquet(f"{root}/in")
+        stream = source.with_stream_time(x.spark.readStream.schema(ARRIVING).parquet(f"{root}/in"))
+        jobs.start_predictions(stream, tables, f"{root}/checkpoint", CFG, availableNow=True).awaitTermination()
     return tables
 
 
+ARRIVING = "event_time TIMESTAMP_NTZ, zip_code STRING, power_kw DOUBLE"
+
+
 def late_data(x: Inputs) -> DataFrame:
     """Deliver the younger half of the readings first; of the older half only rows the watermark still admits count."""
     root = scratch_path(x.spark, "late")
     needed = x.readings.select("event_time", "zip_code", "power_kw")
     half = F.lit(dt.datetime(2024, 1, 16))
-    schema = "event_time TIMESTAMP_NTZ, zip_code STRING, power_kw DOUBLE"
     for arrival in (needed.filter(F.col("event_time") >= half), needed.filter(F.col("event_time") < half)):
         arrival.write.mode("append").parquet(f"{root}/in")
-        stream = source.with_stream_time(x.spark.readStream.schema(schema).parquet(f"{root}/in"))
+        stream = source.with_stream_time(x.spark.readStream.schema(ARRIVING).parquet(f"{root}/in"))
         query = jobs.append_to_path(
             jobs.minute_load_stream(stream, CFG), f"{root}/out", f"{root}/checkpoint", availableNow=True
         )
@@ -237,11 +291,13 @@ def late_data(x: Inputs) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     # readings and loads
     "readings_parse": lambda x: source.parse_readings(x.messages),
-    "recent_window": lambda x: loads.since(x.minute, F.lit(AS_OF), CFG.overload_history_s),
+    "recent_window": lambda x: x.minute_since(CFG.overload_history_s),
     "zip_load": lambda x: x.zones,
     "minute_load": lambda x: x.minute,
     "grid_wide": lambda x: x.grid,
     "load_history": lambda x: loads.load_history(x.minute, CFG, 86_400),
+    "load_history_zone": lambda x: loads.load_history(x.minute, CFG, 86_400, DETAIL_ZONE, *SOME_DAYS),
+    "rejected_readings": lambda x: loads.rejected_readings(x.readings, CFG),
     # trend, forecast, overload
     "load_lag_lead": lambda x: forecast.load_lag_lead(x.minute, CFG),
     "rolling_15": lambda x: forecast.rolling_15(x.minute, CFG),
@@ -254,7 +310,9 @@ REGISTRY: dict[str, Query] = {
     "trend_forecast": lambda x: forecast.trend_forecast(x.minute, CFG),
     "minutes_to_overload": lambda x: forecast.minutes_to_overload(x.minute, CFG),
     "imminent_overload": lambda x: forecast.imminent_overload(x.minute, CFG),
-    "imminent_overload_recent": lambda x: forecast.imminent_overload(x.minute, CFG, as_of=F.lit(AS_OF)),
+    "imminent_overload_recent": lambda x: forecast.imminent_overload(
+        x.minute_since(CFG.overload_history_s), CFG, as_of=F.lit(AS_OF)
+    ),
     "overload_predictions": lambda x: x.predictions,
     "zone_overload_predictions": lambda x: forecast.overload_predictions(x.minute, CFG, x.capacity).select(
         "zip_code", "window_start", "overload_risk_score", "alert_level", "estimated_minutes_to_overload"
@@ -266,9 +324,12 @@ REGISTRY: dict[str, Query] = {
     "zip_trend": lambda x: surge.zip_trend(x.minute, CFG),
     "surging_zones": lambda x: surge.surging_zones(x.minute, CFG),
     "correlated_surge": lambda x: joined_zips(surge.correlated_surge(x.minute, CFG)),
-    "correlated_surge_recent": lambda x: joined_zips(surge.correlated_surge(x.minute, CFG, as_of=F.lit(AS_OF))),
+    "correlated_surge_recent": lambda x: joined_zips(
+        surge.correlated_surge(x.minute_since(CFG.surge_history_s), CFG, as_of=F.lit(AS_OF))
+    ),
     "heatwave_runs": lambda x: surge.heatwave_runs(x.grid, CFG).drop("run"),
     "event_replay": lambda x: surge.event_replay(x.grid, x.minute, CFG),
+    "event_replay_one": lambda x: surge.event_replay(x.grid, x.minute, CFG, first_event(x)),
     # renewables
     "load_prediction_join": lambda x: renewables.load_prediction_join(x.zones, x.predictions, CFG),
     "renewable_state": lambda x: x.state,
@@ -277,8 +338,9 @@ REGISTRY: dict[str, Query] = {
         renewables.renewable_state(x.zones, x.predictions, x.assets, CFG, as_of=F.lit(AS_OF)), CFG
     ),
     "reallocation_plan_aligned": lambda x: renewables.reallocation_plan(x.aligned_state, CFG),
-    "renewable_balance": lambda x: renewables.renewable_balance(x.state, CFG),
+    "renewable_balance": lambda x: renewables.renewable_balance(x.aligned_state, CFG),
     "renewable_utilization": lambda x: renewables.renewable_utilization(x.zones, x.assets),
+    "renewable_utilization_range": lambda x: renewables.renewable_utilization(x.zones, x.assets, *SOME_WEEK),
     "transfer_pairs": lambda x: x.pairs,
     "transfer_impact": lambda x: renewables.transfer_impact(x.pairs, x.predictions, CFG),
     # status
@@ -286,11 +348,13 @@ REGISTRY: dict[str, Query] = {
     "critical_zones": lambda x: status.critical_zones(x.minute, x.capacity, CFG),
     "zone_status": lambda x: status.zone_status(x.zones, x.predictions, x.capacity, CFG),
     "grid_header": lambda x: status.grid_header(
-        x.grid, x.zones, renewables.renewable_balance(x.state, CFG), x.capacity, CFG
+        x.grid, x.zones, renewables.renewable_balance(x.aligned_state, CFG), x.capacity, CFG
     ),
     "stale_zones": lambda x: status.stale_zones(x.readings, F.lit(AS_OF), CFG),
     "prediction_history": lambda x: status.prediction_history(x.predictions),
+    "prediction_history_zone": lambda x: status.prediction_history(x.predictions, DETAIL_ZONE, *SOME_DAYS),
     "alert_history": lambda x: status.alert_history(x.predictions),
+    "alert_history_zone": lambda x: status.alert_history(x.predictions, *SOME_DAYS, "HIGH", DETAIL_ZONE),
     "recent_alerts": lambda x: status.recent_alerts(x.predictions, CFG),
     "grid_tail": lambda x: status.grid_tail(x.grid, CFG),
     "zone_detail": lambda x: status.zone_detail(x.minute, DETAIL_ZONE, CFG),
@@ -298,6 +362,9 @@ REGISTRY: dict[str, Query] = {
     "prediction_accuracy": lambda x: reports.prediction_accuracy(x.predictions, x.minute, CFG),
     "response_times": lambda x: x.responses,
     "response_time_stats": lambda x: reports.response_time_stats(x.responses),
+    "response_time_stats_week": lambda x: reports.response_time_stats(
+        reports.response_times(x.predictions, x.actions, CFG, F.lit(AS_OF), days=7)
+    ),
     "action_rate": lambda x: reports.action_rate(x.actions, CFG),
     "period_profile": lambda x: reports.period_profile(x.readings),
     "temp_correlation": lambda x: reports.temp_correlation(x.zones),
@@ -305,9 +372,10 @@ REGISTRY: dict[str, Query] = {
     # archive
     "archive_date": archive_dates,
     "archive_slice": lambda x: archive.day_slice(x.readings, ARCHIVE_DAY, "event_time"),
-    "archive_validate": lambda x: archive.archive_validate(x.day_tables(), ARCHIVE_DAY, CFG),
+    "archive_validate": lambda x: archive.archive_validate(x.counted_tables(), ARCHIVE_DAY, CFG),
     "compact_day": compacted,
     "archive_export": export_day,
+    "archive_late_rows": late_segments,
     "purge_retained": lambda x: archive.purge_retained(x.zones, ARCHIVE_DAY).select(
         "window_start", "zip_code", "load_mw", "meter_count"
     ),

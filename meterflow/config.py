@@ -21,10 +21,12 @@ class GridConfig:
     minute_watermark: str = "5 minutes"
     grid_watermark: str = "1 minute"
 
-    # Units. Readings carry `load_decimals` decimals, so zone totals are summed as scaled
-    # integers and do not depend on the order of addition; None sums plain doubles.
+    # Units. Totals don't depend on the order of addition. Where readings are known to carry
+    # `load_decimals` decimals they are summed as scaled integers, which is faster; None
+    # sums them as decimals that keep all digits.
     kw_per_mw: float = 1000.0
-    load_decimals: int | None = 3
+    load_decimals: int | None = None
+    reading_interval_s: int = 10
 
     # Row frames of the trend queries. They count rows, not minutes.
     frame_rows: int = 15
@@ -100,6 +102,11 @@ class GridConfig:
     row_bytes: int = 120
     rows_per_file: int = 5_000_000
 
+    @property
+    def readings_per_minute(self) -> float:
+        """Readings of one meter in a minute window; a minute load is their sum."""
+        return self.minute_window_s / self.reading_interval_s
+
     @property
     def mw_decimals(self) -> int | None:
         """Decimals of an exact load expressed in MW."""
@@ -120,8 +127,9 @@ FIXTURE = GridConfig(
     zip_watermark="3 hours",
     minute_watermark="30 hours",
     grid_watermark="6 hours",
-    kw_per_mw=1.0,
+    kw_per_mw=10.0,
     load_decimals=2,
+    reading_interval_s=3_600,
     history_chunk_s=10 * 86_400,
     overload_capacity_kw=1_000.0,
     risk_capacity_kw=2_200.0,
@@ -133,6 +141,7 @@ FIXTURE = GridConfig(
     surge_surging_kw=40.0,
     widespread_total_kw=800.0,
     heatwave_f=55.0,
+    critical_zone_pct=15.0,
     overload_history_s=20 * 60 * 360,
     overload_recent_s=5 * 60 * 360,
     surge_history_s=10 * 60 * 360,

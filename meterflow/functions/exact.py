@@ -8,16 +8,33 @@ from pyspark.sql import functions as F
 from meterflow.config import GridConfig
 
 
-def exact_total(measure: str, decimals: int | None) -> Column:
-    """Sum of a measure with a known number of decimals.
+#: Sums of doubles are kept with so many decimals, which leaves room for totals up to 1e28.
+SUM_TYPE = "decimal(38,10)"
+#: Readings from here on are no loads of a meter; the smaller one is for totals in scaled whole numbers.
+LARGEST, LARGEST_SCALED = 1e20, 1e9
 
-    The addends become integers first, so partial sums may merge in any order. Readings
-    that are not finite do not convert and are left out, as nulls are.
+
+def valid(measure: str, decimals: int | None = None) -> Column:
+    """The measure if it is a credible number, else null: not if infinite, not a number or too large to be a load.
+
+    Every measure of a load is taken over the same valid readings.
+    """
+    value = F.col(measure)
+    largest = LARGEST if decimals is None else LARGEST_SCALED
+    return F.when(F.abs(value) < largest, value)  # a NaN is larger than any number
+
+
+def exact_total(measure: Column | str, decimals: int | None = None) -> Column:
+    """Sum of a measure that doesn't depend on the order of addition.
+
+    With a known number of decimals the addends become whole numbers, the fast way.
+    Without, they become decimals that keep what a double of ordinary size holds.
     """
+    value = F.col(measure) if isinstance(measure, str) else measure
     if decimals is None:
-        return F.sum(measure)
+        return F.sum(value.cast(SUM_TYPE)).cast("double")
     scale = float(10**decimals)
-    return F.sum(F.round(F.col(measure) * scale).try_cast("long")) / F.lit(scale)
+    return F.sum(F.round(value * scale).cast("long")) / F.lit(scale)
 
 
 def to_mw(kw: Column, cfg: GridConfig) -> Column:

@@ -25,6 +25,11 @@ def _rolling(w: WindowSpec, cfg: GridConfig) -> WindowSpec:
     return w.rowsBetween(1 - cfg.frame_rows, 0)
 
 
+def forecast_reach(cfg: GridConfig) -> int:
+    """Rows that the widest of a trend's frames and lags reaches back."""
+    return max(cfg.frame_rows - 1, cfg.slope_lag, 1)
+
+
 def load_lag_lead(minute: DataFrame, cfg: GridConfig, bounded: bool = False) -> DataFrame:
     def columns(w: WindowSpec) -> dict[str, Column]:
         return {
@@ -60,7 +65,7 @@ def load_acceleration(minute: DataFrame, cfg: GridConfig, bounded: bool = False)
             "load_volatility": F.stddev(LOAD).over(_rolling(w, cfg)),
         }
 
-    rows = over_history(minute, columns, cfg, back=cfg.frame_rows - 1, bounded=bounded)
+    rows = over_history(minute, columns, cfg, back=forecast_reach(cfg), bounded=bounded)
     change = F.col(LOAD) - F.col("prev_load")
     return rows.withColumn("load_acceleration", change).withColumn(
         "growth_regime", labels.growth_regime(F.col("load_acceleration"), F.col("load_volatility"), cfg)
@@ -87,7 +92,7 @@ def trend_forecast(minute: DataFrame, cfg: GridConfig, bounded: bool = False) ->
             "load_trend_slope": (load - _lag(cfg.slope_lag, w)) / float(cfg.slope_lag),
         }
 
-    rows = over_history(minute, columns, cfg, back=cfg.frame_rows - 1, bounded=bounded)
+    rows = over_history(minute, columns, cfg, back=forecast_reach(cfg), bounded=bounded)
     load, slope = F.col(LOAD), F.col("load_trend_slope")
     return rows.withColumns(
         {

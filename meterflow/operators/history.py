@@ -102,7 +102,7 @@ def next_known(df: DataFrame, keys: Sequence[str], order: str, value: str, name:
     """
     chunked = df.withColumn(_CHUNK, _chunk_of(order, chunk_s))
     firsts = chunked.groupBy(*keys, _CHUNK).agg(
-        F.min_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_first")
+        F.min_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_first")  # a number hashes, a struct sorts
     )
     later = Window.partitionBy(*keys).orderBy(F.col(_CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     markers = firsts.select(*keys, _CHUNK, F.last("_first", ignorenulls=True).over(later).alias(value))

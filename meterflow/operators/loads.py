@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from meterflow.config import GridConfig
-from meterflow.functions.exact import exact_total, to_mw
+from meterflow.functions.exact import exact_total, to_mw, valid
 
 
 def _by_window(
@@ -31,8 +31,12 @@ def _by_window(
     return df.withColumn("window_start", window.getField("start")).groupBy("window_start", *keys), edges
 
 
+def _measured(readings: DataFrame, cfg: GridConfig) -> DataFrame:
+    return readings.withColumn("power_kw", valid("power_kw", cfg.load_decimals))
+
+
 def zip_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
-    windows, edges = _by_window(readings, cfg.zip_window_s, "zip_code")
+    windows, edges = _by_window(_measured(readings, cfg), cfg.zip_window_s, "zip_code")
     grouped = windows.agg(
         exact_total("power_kw", cfg.load_decimals).alias("total_kw"),
         F.count("power_kw").alias("measured"),
@@ -60,13 +64,13 @@ def zip_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
 
 
 def minute_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
-    windows, edges = _by_window(readings, cfg.minute_window_s, "zip_code")
+    windows, edges = _by_window(_measured(readings, cfg), cfg.minute_window_s, "zip_code")
     grouped = windows.agg(exact_total("power_kw", cfg.load_decimals).alias("minute_load_kw"))
     return grouped.select(*edges, "zip_code", "minute_load_kw")
 
 
 def grid_wide(readings: DataFrame, cfg: GridConfig) -> DataFrame:
-    windows, edges = _by_window(readings, cfg.grid_window_s)
+    windows, edges = _by_window(_measured(readings, cfg), cfg.grid_window_s)
     grouped = windows.agg(
         exact_total("power_kw", cfg.load_decimals).alias("total_kw"),
         F.count(F.lit(1)).alias("active_meters"),
@@ -83,6 +87,17 @@ def grid_wide(readings: DataFrame, cfg: GridConfig) -> DataFrame:
     )
 
 
+def rejected_readings(readings: DataFrame, cfg: GridConfig) -> DataFrame:
+    """Per zone and minute: readings, those without a load, and those whose load is not credible and left out."""
+    windows, edges = _by_window(readings, cfg.minute_window_s, "zip_code")
+    load = F.col("power_kw")
+    return windows.agg(
+        F.count(F.lit(1)).alias("readings"),
+        F.count_if(load.isNull()).alias("missing"),
+        F.count_if(load.isNotNull() & valid("power_kw", cfg.load_decimals).isNull()).alias("rejected"),
+    ).select(*edges, "zip_code", "readings", "missing", "rejected")
+
+
 def in_range(df: DataFrame, zone: str | None = None, start=None, end=None, time: str = "window_start") -> DataFrame:
     """Rows of one zone and of `start <= time < end`; each argument may be left out."""
     if zone is not None:
@@ -98,24 +113,40 @@ def since(df: DataFrame, as_of: Column | None, seconds: int, time: str = "window
     """Look-back filter; without `as_of` the whole history stays."""
     if as_of is None:
         return df
-    return df.filter(F.col(time) >= as_of - F.make_dt_interval(secs=F.lit(seconds)))
+    limit = as_of - F.make_dt_interval(secs=F.lit(seconds))
+    return df.filter(F.col(time) >= limit.cast(df.schema[time].dataType))  # of the column's own type, so that a scan can use it
+
+
+def recent_readings(
+    readings: DataFrame, as_of: Column, seconds: int, bucket_s: int, time: str = "event_time"
+) -> DataFrame:
+    """The readings of all buckets that start within a look-back.
+
+    A bucket starts within it exactly if its readings do not lie before the first bucket
+    edge in it, so the limit goes on the readings themselves, below any aggregate, and
+    reaches the scan.
+    """
+    reach = F.unix_micros((as_of - F.make_dt_interval(secs=F.lit(seconds))).cast("timestamp"))
+    edge = F.timestamp_micros(F.ceil(reach / (bucket_s * 1_000_000)) * bucket_s * 1_000_000)
+    return readings.filter(F.col(time) >= edge.cast(readings.schema[time].dataType))
 
 
 def load_history(
     minute: DataFrame, cfg: GridConfig, granularity_s: int, zone: str | None = None, start=None, end=None
 ) -> DataFrame:
-    """Minute loads re-aggregated to a coarser grain."""
+    """Minute loads re-aggregated to a coarser grain. Minutes without a load count as points, not in the average."""
     windows, edges = _by_window(in_range(minute, zone, start, end), granularity_s, "zip_code", time="window_start")
     return windows.agg(
         exact_total("minute_load_kw", cfg.load_decimals).alias("total_kw"),
         F.count(F.lit(1)).alias("points"),
+        F.count("minute_load_kw").alias("known"),
         F.min("minute_load_kw").alias("min_load_kw"),
         F.max("minute_load_kw").alias("max_load_kw"),
     ).select(
         *edges,
         "zip_code",
         "points",
-        F.try_divide("total_kw", "points").alias("avg_load_kw"),
+        F.try_divide("total_kw", "known").alias("avg_load_kw"),
         "min_load_kw",
         "max_load_kw",
     )

@@ -9,7 +9,7 @@ from meterflow.config import GridConfig
 from meterflow.functions import labels
 from meterflow.functions.exact import exact_total, percent, shown, to_mw, unsigned_zero
 from meterflow.operators.forecast import overload_minutes, risk_score
-from meterflow.operators.loads import since
+from meterflow.operators.loads import in_range, since
 
 
 def load_prediction_join(loads: DataFrame, predictions: DataFrame, cfg: GridConfig) -> DataFrame:
@@ -91,13 +91,14 @@ def renewable_balance(state: DataFrame, cfg: GridConfig) -> DataFrame:
     )
 
 
-def renewable_utilization(loads: DataFrame, assets: DataFrame) -> DataFrame:
-    """Share of each zone's known generation that its own load took up."""
+def renewable_utilization(loads: DataFrame, assets: DataFrame, start=None, end=None) -> DataFrame:
+    """Share of each zone's known generation that its own load took up, in windows with a known load."""
     generation = F.col("solar_generation_mw") + F.col("wind_generation_mw")
     return (
-        loads.join(assets, "zip_code")
+        in_range(loads, None, start, end)
+        .join(assets, "zip_code")
         .withColumn("generation_mw", generation)
-        .filter(F.col("generation_mw").isNotNull())
+        .filter(F.col("generation_mw").isNotNull() & F.col("load_mw").isNotNull())
         .groupBy("zip_code")
         .agg(
             F.sum("generation_mw").alias("generation_mw"),

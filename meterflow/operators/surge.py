@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,14 +90,18 @@ def heatwave_runs(grid: DataFrame, cfg: GridConfig) -> DataFrame:
     )
 
 
-def event_replay(grid: DataFrame, minute: DataFrame, cfg: GridConfig) -> DataFrame:
-    """Every minute row in which a heatwave was on, under the event it belongs to.
+def event_replay(
+    grid: DataFrame, minute: DataFrame, cfg: GridConfig, event_start: dt.datetime | None = None
+) -> DataFrame:
+    """Every minute row in which a heatwave was on, under the event it belongs to; or those of one event.
 
     Hot windows name the minute they fall into, so the lookup is an equality join. A
     minute that touches two events is replayed in both.
     """
     windows = heatwave_windows(grid, cfg)
     runs = heatwave_runs(grid, cfg)
+    if event_start is not None:
+        runs = runs.filter(F.col("event_start") == F.lit(event_start))
     minutes = windows.select("run", _bucket_start("window_start", cfg.minute_window_s).alias("window_start")).distinct()
     return (
         minutes.join(runs, "run")

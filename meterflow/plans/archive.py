@@ -1,21 +1,25 @@
 """Nightly table maintenance: date, check, compact, export, purge, tier, cost.
 
-Data leaves the hot tables only after its copy has been read back and counted.
+An export is a segment: rows in a folder of its own, and a manifest, written last, with
+their number, an order-free checksum, their bytes and the files they came from. A segment
+with a manifest is never written again, and only the files it names are purged. So a
+night that stops anywhere is resumed by the next one, and rows that come late make a
+further segment.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.config import GridConfig
 from meterflow.functions import labels
-from meterflow.sources.tables import HotTable, exists
+from meterflow.sources.tables import HotTable, bytes_of, delete, exists, files_below, listed, move
 
 
 @dataclass(frozen=True)
@@ -27,6 +31,18 @@ class DatedTable:
     minimum: int | None = None
 
 
+@dataclass(frozen=True)
+class ArchivedTable:
+    """A hot table for the night: the column that dates its rows, and the fewest rows a whole day has."""
+
+    hot: HotTable
+    time: str = "window_start"
+    minimum: int | None = None
+
+    def least(self, cfg: GridConfig) -> int:
+        return self.minimum if self.minimum is not None else cfg.minimum_rows
+
+
 def archive_date(run_date: Column, cfg: GridConfig) -> Column:
     return F.date_sub(run_date, cfg.archive_after_days)
 
@@ -70,75 +86,153 @@ def clustered(df: DataFrame, files: int, time: str = "window_start") -> DataFram
     return df.repartitionByRange(files, "zip_code", time).sortWithinPartitions("zip_code", time)
 
 
-def _manifest(spark: SparkSession, name: str, day: dt.date, counts: dict[str, int]) -> DataFrame:
-    columns = [F.lit(count).cast("bigint").alias(key) for key, count in counts.items()]
-    return spark.range(1).select(F.lit(name).alias("table_name"), F.lit(day).alias("archive_date"), *columns)
+CHECKSUM = "decimal(38,0)"
+
+
+def _checked(rows: DataFrame) -> list[Column]:
+    """Number of rows and a sum of their hashes, which don't depend on the order of rows."""
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.xxhash64(*rows.columns).cast(CHECKSUM)), F.lit(0).cast(CHECKSUM)).alias("checksum"),
+    ]
+
+
+def _write_verified(rows: DataFrame, path: str, cfg: GridConfig, time: str) -> tuple[int, object]:
+    """Write rows clustered and ZSTD-packed, read them back and compare; their number and checksum."""
+    spark = rows.sparkSession
+    seen = Observation()
+    files = files_for(rows.count(), cfg)  # needs no column, so parquet answers it from footers
+    clustered(rows, files, time).observe(seen, *_checked(rows)).write.mode("overwrite").parquet(path, compression="zstd")
+    back = spark.read.schema(rows.schema).parquet(path)
+    written = back.agg(*_checked(back)).first()
+    source = seen.get
+    if (source["rows"], source["checksum"]) != (written.rows, written.checksum):
+        raise RuntimeError(f"{path}: {written.rows} rows written of {source['rows']}, or their content differs")
+    return written.rows, written.checksum
+
+
+def export_path(root: str, name: str, day: dt.date, run: int = 0) -> str:
+    return f"{root}/{day.isoformat()}/{name}/run={run}"
+
+
+def manifest_path(root: str, name: str, day: dt.date, run: int = 0) -> str:
+    return f"{root}/manifests/{day.isoformat()}/{name}/run={run}"
+
+
+MANIFEST = (
+    "table_name string, archive_date date, run int, source_count bigint, exported_count bigint, "
+    f"checksum {CHECKSUM}, bytes bigint, files array<string>"
+)
+
 
+def is_exported(spark: SparkSession, root: str, name: str, day: dt.date, run: int = 0) -> bool:
+    return exists(spark, f"{manifest_path(root, name, day, run)}/_SUCCESS")
 
-def _write_verified(spark: SparkSession, rows: DataFrame, path: str, cfg: GridConfig, time: str) -> tuple[int, int]:
-    """Write a day clustered and ZSTD-packed, and count the source and what was written."""
-    source = rows.count()
-    clustered(rows, files_for(source, cfg), time).write.mode("overwrite").parquet(path, compression="zstd")
-    written = spark.read.schema(rows.schema).parquet(path).count()
-    if source != written:
-        raise RuntimeError(f"{path}: {written} rows written of {source}")
-    return source, written
 
+def exported_runs(spark: SparkSession, root: str, name: str, day: dt.date) -> list[int]:
+    """Numbers of the finished segments of a day."""
+    names = (found.getPath().getName() for found in listed(spark, f"{root}/manifests/{day.isoformat()}/{name}"))
+    runs = sorted(int(name.removeprefix("run=")) for name in names if name.startswith("run="))
+    return [run for run in runs if is_exported(spark, root, name, day, run)]
 
-def export_path(root: str, name: str, day: dt.date) -> str:
-    return f"{root}/{day.isoformat()}/{name}"
 
+def manifests(spark: SparkSession, root: str, name: str, day: dt.date) -> DataFrame:
+    """The manifests of a day's finished segments."""
+    paths = [manifest_path(root, name, day, run) for run in exported_runs(spark, root, name, day)]
+    return spark.read.schema(MANIFEST).parquet(*paths) if paths else spark.createDataFrame([], MANIFEST)
 
-def manifest_path(root: str, name: str, day: dt.date) -> str:
-    return f"{root}/manifests/{day.isoformat()}/{name}"
+
+def export_segment(
+    rows: DataFrame, root: str, name: str, day: dt.date, run: int, cfg: GridConfig, time: str, files: Sequence[str] = ()
+) -> DataFrame:
+    """Write one segment and its manifest. A finished one stays as it is; an unfinished one is written anew."""
+    spark = rows.sparkSession
+    path = export_path(root, name, day, run)
+    if not is_exported(spark, root, name, day, run):
+        count, checksum = _write_verified(rows, path, cfg, time)
+        size = bytes_of(spark, files_below(spark, path))
+        entry = [(name, day, run, count, count, checksum, size, list(files))]
+        spark.createDataFrame(entry, MANIFEST).coalesce(1).write.mode("overwrite").parquet(
+            manifest_path(root, name, day, run)
+        )
+    return spark.read.schema(MANIFEST).parquet(manifest_path(root, name, day, run))
 
 
 def archive_export(
     df: DataFrame, root: str, name: str, day: dt.date, cfg: GridConfig, time: str = "window_start"
 ) -> DataFrame:
-    """Export one day of a table to `<root>/<date>/<table>`; a rerun replaces it.
-
-    Returns the manifest. It is also written, last, so its presence marks a complete export.
-    """
-    spark = df.sparkSession
-    source, exported = _write_verified(spark, day_slice(df, day, time), export_path(root, name, day), cfg, time)
-    manifest = _manifest(spark, name, day, {"source_count": source, "exported_count": exported})
-    manifest.write.mode("overwrite").parquet(manifest_path(root, name, day))
-    return manifest
+    """Export one day of a frame as a first segment, unless that is finished already; returns its manifest."""
+    found = export_segment(day_slice(df, day, time), root, name, day, 0, cfg, time)
+    return found.select("table_name", "archive_date", "source_count", "exported_count")
 
 
-def is_exported(spark: SparkSession, root: str, name: str, day: dt.date) -> bool:
-    return exists(spark, f"{manifest_path(root, name, day)}/_SUCCESS")
+def segment_paths(spark: SparkSession, root: str, name: str, day: dt.date) -> list[str]:
+    return [export_path(root, name, day, run) for run in exported_runs(spark, root, name, day)]
 
 
 def compact_day(
     df: DataFrame, staging: str, name: str, day: dt.date, cfg: GridConfig, time: str = "window_start"
 ) -> DataFrame:
-    """Rewrite one day of a table into few files clustered by zone, in a staging folder."""
-    spark = df.sparkSession
-    before, after = _write_verified(spark, day_slice(df, day, time), export_path(staging, name, day), cfg, time)
-    return _manifest(spark, name, day, {"rows_before": before, "rows_after": after})
-
+    """Rewrite one day of a frame into few files clustered by zone, in a staging folder."""
+    found = export_segment(day_slice(df, day, time), staging, name, day, 0, cfg, time)
+    return found.select(
+        "table_name",
+        "archive_date",
+        F.col("source_count").alias("rows_before"),
+        F.col("exported_count").alias("rows_after"),
+    )
 
-def swap_day(table: HotTable, staged: str, day: dt.date) -> None:
-    """Replace one day of a hot table with its compacted copy."""
-    expected = table.rows(day).sparkSession.read.parquet(staged).count()
-    if table.rows(day).count() != expected:
-        raise RuntimeError(f"{table} {day}: changed since it was compacted; not replaced")
-    table.replace(day, staged)
-    if table.rows(day).count() != expected:
-        raise RuntimeError(f"{table} {day}: rows missing after the swap")
 
+def swap_day(table: HotTable, name: str, day: dt.date, staging: str) -> None:
+    """Put a staged copy in the place of the files it was made from, or finish a swap that was stopped.
 
-def purge_day(table: HotTable, name: str, day: dt.date, root: str) -> int:
-    """Drop one day of a hot table, if its export holds as many rows."""
-    rows = table.rows(day)
-    kept = rows.count()
-    exported = rows.sparkSession.read.parquet(export_path(root, name, day)).count() if kept else 0
-    if kept != exported:
-        raise RuntimeError(f"{table} {day}: {exported} rows exported of {kept}; nothing purged")
-    table.drop(day)
-    return kept
+    The staged manifest names both sides until the swap is done: first the copy's files
+    move in, then the sources go, then the manifest. Repeating any step is harmless.
+    """
+    spark = table.spark
+    found = manifests(spark, staging, name, day).first()
+    if found is None:
+        return
+    staged, home = export_path(staging, name, day), table.home(day)
+    for path in files_below(spark, staged):
+        move(spark, path, f"{home}/{path.rpartition('/')[2]}")
+    for path in found.files:
+        delete(spark, path)
+    table.changed()
+    delete(spark, manifest_path(staging, name, day))
+
+
+def visible_files(table: HotTable, name: str, day: dt.date, root: str) -> list[str]:
+    """Files that hold each hot row of a day once: without those exported, nor those that a stopped swap replaces."""
+    spark = table.spark
+    gone = {path for row in manifests(spark, root, name, day).collect() for path in row.files}
+    staging = f"{root}/staging"
+    staged: list[str] = []
+    for row in manifests(spark, staging, name, day).collect():
+        gone |= set(row.files)
+        staged = files_below(spark, export_path(staging, name, day))
+    return [path for path in table.files(day) if path not in gone] + staged
+
+
+def compact_hot_day(table: ArchivedTable, name: str, day: dt.date, root: str, cfg: GridConfig) -> None:
+    """Rewrite the files of one hot day into few, after finishing a swap that was stopped."""
+    staging = f"{root}/staging"
+    swap_day(table.hot, name, day, staging)
+    files = table.hot.files(day)
+    if files:
+        export_segment(table.hot.read(files), staging, name, day, 0, cfg, table.time, files)
+        swap_day(table.hot, name, day, staging)
+
+
+def purge_segments(table: HotTable, name: str, day: dt.date, root: str) -> int:
+    """Delete the hot files that a day's finished segments name; the rows that these hold."""
+    spark, purged = table.spark, 0
+    for row in manifests(spark, root, name, day).collect():  # a row per segment
+        for path in row.files:
+            delete(spark, path)
+        purged += row.exported_count
+    table.changed()
+    return purged
 
 
 def purge_retained(df: DataFrame, day: dt.date, time: str = "window_start") -> DataFrame:
@@ -146,13 +240,12 @@ def purge_retained(df: DataFrame, day: dt.date, time: str = "window_start") -> D
     return df.filter(~F.to_date(time).eqNullSafe(F.lit(day)))
 
 
-def history_union(
-    hot: DataFrame, cold: DataFrame, archived_days: list[dt.date], time: str = "window_start"
-) -> DataFrame:
-    """Hot rows and archived rows as one history. Days already archived come from the archive only."""
-    if archived_days:
-        hot = hot.filter(F.coalesce(~F.to_date(time).isin(archived_days), F.lit(True)))
-    return hot.unionByName(cold)
+def history_union(table: HotTable, name: str, days: Sequence[dt.date], root: str) -> DataFrame:
+    """Every row of some days once, wherever it is: the hot files that no segment names, and the segments."""
+    files = [path for day in days for path in visible_files(table, name, day, root)]
+    hot = table.read(files)
+    cold = [path for day in days for path in segment_paths(table.spark, root, name, day)]
+    return hot.unionByName(table.spark.read.schema(hot.schema).parquet(*cold)) if cold else hot
 
 
 def storage_tier(df: DataFrame, as_of: dt.date, cfg: GridConfig, time: str = "event_time") -> DataFrame:
@@ -160,14 +253,21 @@ def storage_tier(df: DataFrame, as_of: dt.date, cfg: GridConfig, time: str = "ev
     return df.withColumn("age_days", age).withColumn("tier", labels.storage_tier(F.col("age_days"), cfg))
 
 
-def cost_savings(tiered: DataFrame, cfg: GridConfig, time: str = "event_time") -> DataFrame:
-    """What archiving the rows old enough for it saves, by month of the rows."""
+def cost_savings(
+    df: DataFrame, as_of: dt.date, cfg: GridConfig, time: str = "event_time", bytes_per_row: float | None = None
+) -> DataFrame:
+    """What archiving the rows old enough for it saves, by month of the rows.
+
+    `bytes_per_row` is measured (`stored_bytes`); without it the configured size is assumed.
+    """
     price_gap = cfg.hot_price_gb_month - cfg.archive_price_gb_month
+    size = cfg.row_bytes if bytes_per_row is None else bytes_per_row
+    newest = as_of - dt.timedelta(days=cfg.archive_after_days)
     return (
-        tiered.filter(F.col("age_days") >= cfg.archive_after_days)
+        df.filter(F.to_date(time) <= F.lit(newest))
         .groupBy(F.date_format(time, "yyyy-MM").alias("month"))
         .agg(F.count(F.lit(1)).alias("archived_rows"))
-        .withColumn("gb", F.col("archived_rows") * cfg.row_bytes / F.lit(1e9))
+        .withColumn("gb", F.col("archived_rows") * size / F.lit(1e9))
         .withColumn("monthly_savings", F.col("gb") * price_gap)
         .withColumn("annual_savings", F.col("monthly_savings") * 12)
     )
@@ -179,43 +279,60 @@ def savings_for(gb: float, cfg: GridConfig) -> tuple[float, float]:
     return monthly, monthly * 12
 
 
-def exported_gigabytes(spark: SparkSession, root: str, name: str, day: dt.date) -> DataFrame:
-    """Volume of an export, from the sizes of its files."""
-    files = spark.read.parquet(export_path(root, name, day)).select("_metadata.file_path", "_metadata.file_size")
-    return files.distinct().agg((F.sum("file_size") / F.lit(1e9)).alias("gb"), F.count(F.lit(1)).alias("files"))
+def stored_bytes(spark: SparkSession, root: str, name: str, day: dt.date) -> DataFrame:
+    """Volume of a day's segments as their manifests state it, with what keeping them cold saves."""
+    return manifests(spark, root, name, day).agg(
+        (F.coalesce(F.sum("bytes"), F.lit(0)) / F.lit(1e9)).alias("gb"),
+        F.coalesce(F.sum("exported_count"), F.lit(0)).alias("rows"),
+        F.count(F.lit(1)).alias("segments"),
+    )
+
+
+def archive_one_day(
+    table: ArchivedTable, name: str, day: dt.date, root: str, cfg: GridConfig, compact_first: bool = False
+) -> str | None:
+    """Resume, export and purge one day of one table; what is wrong with it, if anything."""
+    spark, hot = table.hot.spark, table.hot
+    purge_segments(hot, name, day, root)  # what an earlier night exported but didn't finish purging
+    swap_day(hot, name, day, f"{root}/staging")
+    files, runs = hot.files(day), exported_runs(spark, root, name, day)
+    if not files and runs:
+        return None
+    if not runs and (count := hot.read(files).count()) < table.least(cfg):
+        return f"{name} {day}: {count} of {table.least(cfg)}"
+    if compact_first:
+        compact_hot_day(table, name, day, root, cfg)
+        files = hot.files(day)
+    export_segment(hot.read(files), root, name, day, runs[-1] + 1 if runs else 0, cfg, table.time, files)
+    purge_segments(hot, name, day, root)
+    return None
 
 
 def nightly_archive(
     spark: SparkSession,
-    tables: Mapping[str, HotTable],
+    tables: Mapping[str, ArchivedTable],
     run_date: dt.date,
     root: str,
     cfg: GridConfig,
     compact_first: bool = False,
 ) -> DataFrame:
-    """The whole night: check, export, purge. Returns the manifests, one row per table.
+    """The whole night: check, export and purge every day that is old enough and still has hot files.
 
-    The export is written clustered, which makes a rewrite of the hot day before it
-    unnecessary; `compact_first` does that as well. A rerun after a failure skips tables
-    that were exported and purged already and repeats the rest.
+    Days that earlier nights missed are caught up. Rows that came late to an archived day
+    become a further segment, however few they are. A first export needs the table's
+    minimum: days with fewer rows stay hot, and the night ends with an error that names
+    them, after it has done the others. Returns the manifests of the days it worked on.
     """
-    day = run_date - dt.timedelta(days=cfg.archive_after_days)
-    pending = [
-        name for name, table in tables.items() if not (is_exported(spark, root, name, day) and table.rows(day).isEmpty())
-    ]
-    dated = {}
-    for name in pending:
-        rows = tables[name].rows(day)
-        time = "event_time" if "event_time" in rows.columns else "window_start"
-        dated[name] = DatedTable(rows, time, cfg.minimum_raw_rows if "raw" in name else cfg.minimum_rows)
-    if pending:
-        require_valid(archive_validate(dated, day, cfg))
-    for name in pending:
-        time = dated[name].time
-        if compact_first:
-            compact_day(tables[name].rows(day), f"{root}/staging", name, day, cfg, time)
-            swap_day(tables[name], export_path(f"{root}/staging", name, day), day)
-        archive_export(tables[name].rows(day), root, name, day, cfg, time)
-    for name in pending:
-        purge_day(tables[name], name, day, root)
-    return reduce(DataFrame.unionByName, (spark.read.parquet(manifest_path(root, name, day)) for name in tables))
+    last = run_date - dt.timedelta(days=cfg.archive_after_days)
+    short, worked = [], []
+    for name, table in tables.items():
+        for day in sorted({*table.hot.days(last), last}):
+            if day != last and not table.hot.files(day):
+                continue  # purged by an earlier night
+            problem = archive_one_day(table, name, day, root, cfg, compact_first)
+            short += [problem] if problem else []
+            worked.append((name, day))
+    if short:
+        raise ValueError("too few rows to archive: " + "; ".join(short))
+    found = [manifests(spark, root, name, day) for name, day in worked]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], MANIFEST)

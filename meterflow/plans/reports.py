@@ -42,33 +42,43 @@ def prediction_accuracy(
     )
 
 
-def response_times(predictions: DataFrame, actions: DataFrame, cfg: GridConfig) -> DataFrame:
-    """Each published alert with the first action taken in its zone from then on.
+def response_times(
+    predictions: DataFrame, actions: DataFrame, cfg: GridConfig, as_of: Column | None = None, days: int = 7
+) -> DataFrame:
+    """Each published alert with the first action taken in its zone from then on; with `as_of`, alerts of the last days.
 
     An alert is known at the end of its minute. That is a bucket edge, so of all actions
     in a minute only the first can answer an alert: actions are reduced to one per zone
     and minute before anything is ordered.
     """
     edge = F.window("ts", f"{cfg.minute_window_s} seconds").getField("start")
-    answers = (
-        actions.withColumn("at", edge)
-        .groupBy("zip_code", "at")
-        .agg(F.min_by(F.struct("ts", "operator_id"), F.struct("ts", "operator_id")).alias("answer"))
+    taken = since(actions, as_of, days * 86_400, "ts").select(
+        "zip_code", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "ts", "operator_id", edge.alias("at")
     )
-    alerts = predictions.filter(F.col("alert_level").isin(*labels.PUBLISHED_LEVELS)).select(
-        "zip_code", F.col("window_end").alias("at"), F.struct("alert_level", "overload_risk_score").alias("alert")
+    # Numbers can be hashed. The operator, a text, is looked up at the end, for the actions that answered.
+    answers = taken.groupBy("zip_code", "at").agg(F.min("us").alias("answer"))
+    published = since(predictions, as_of, days * 86_400, "window_end")
+    alerts = published.filter(F.col("alert_level").isin(*labels.PUBLISHED_LEVELS)).select(
+        "zip_code", F.col("window_end").alias("at"), "alert_level"
     )
     # One timeline with at most one alert and one answer per zone and edge.
     timeline = answers.unionByName(alerts, allowMissingColumns=True)
-    answered = next_known(timeline, ["zip_code"], "at", "answer", "reply", cfg.history_chunk_s)
-    seconds = F.timestamp_diff("MICROSECOND", F.col("at"), F.col("reply.ts")) / 1e6
-    return answered.filter(F.col("alert").isNotNull()).select(
-        "zip_code",
-        "alert.alert_level",
-        F.col("at").alias("alert_time"),
-        F.col("reply.ts").alias("action_time"),
-        "reply.operator_id",
-        seconds.alias("response_seconds"),
+    answered = next_known(timeline, ["zip_code"], "at", "answer", "us", cfg.history_chunk_s)
+    one_of = Window.partitionBy("zip_code", "alert_time").orderBy("operator_id")
+    return (
+        answered.filter(F.col("alert_level").isNotNull())
+        .select("zip_code", "alert_level", F.col("at").alias("alert_time"), "us")
+        .join(taken.drop("at"), ["zip_code", "us"], "left")
+        .withColumn("nth", F.row_number().over(one_of))
+        .filter(F.col("nth") == 1)
+        .select(
+            "zip_code",
+            "alert_level",
+            "alert_time",
+            F.col("ts").alias("action_time"),
+            "operator_id",
+            (F.timestamp_diff("MICROSECOND", F.col("alert_time"), F.col("ts")) / 1e6).alias("response_seconds"),
+        )
     )
 
 

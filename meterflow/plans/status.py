@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterflow.config import GridConfig
 from meterflow.functions import labels
 from meterflow.functions.exact import exact_total, percent
-from meterflow.operators.forecast import trend_forecast, with_capacity
+from meterflow.operators.forecast import forecast_reach, trend_forecast, with_capacity
 from meterflow.operators.loads import in_range
 
 
@@ -24,13 +24,14 @@ def _latest(df: DataFrame, measures: list[str]) -> DataFrame:
 
 
 def zone_capacity_pct(minute: DataFrame, capacity: DataFrame, cfg: GridConfig) -> DataFrame:
+    """Mean load of a minute against capacity. A minute load sums several readings of each meter."""
     rows = with_capacity(minute, capacity, cfg.default_zone_capacity_kw)
     return rows.select(
         "zip_code",
         "window_start",
         "minute_load_kw",
         "capacity_kw",
-        percent(F.col("minute_load_kw"), F.col("capacity_kw")).alias("capacity_pct"),
+        percent(F.col("minute_load_kw") / cfg.readings_per_minute, F.col("capacity_kw")).alias("capacity_pct"),
     )
 
 
@@ -64,7 +65,7 @@ def zone_status(loads: DataFrame, predictions: DataFrame, capacity: DataFrame, c
 def grid_header(
     grid: DataFrame, loads: DataFrame, balance: DataFrame, capacity: DataFrame, cfg: GridConfig
 ) -> DataFrame:
-    """Grid totals per window with capacity use, headroom and, where predictions exist, the renewable balance."""
+    """Grid totals per window with capacity use, headroom and the renewable balance of the minute it lies in, if known."""
     reporting = (
         with_capacity(loads, capacity, cfg.default_zone_capacity_kw)
         .groupBy("window_start")
@@ -75,7 +76,8 @@ def grid_header(
     )
     return (
         grid.join(reporting, "window_start")
-        .join(balance, "window_start", "left")
+        .withColumn("_minute", F.window("window_start", f"{cfg.minute_window_s} seconds").getField("start"))
+        .join(balance.withColumnRenamed("window_start", "_minute"), "_minute", "left")
         .select(
             "window_start",
             F.col("grid_load_mw").alias("total_grid_load_mw"),
@@ -142,10 +144,10 @@ def grid_tail(grid: DataFrame, cfg: GridConfig) -> DataFrame:
 def zone_detail(minute: DataFrame, zone: str, cfg: GridConfig) -> DataFrame:
     """The trend arithmetic behind one zone's newest forecasts.
 
-    A frame reaches `frame_rows - 1` rows back, so the newest rows plus that many give
-    the same result as the whole history.
+    The newest rows, plus as many as their frames reach back, give the same result as the
+    whole history.
     """
-    newest = cfg.detail_rows + cfg.frame_rows - 1
+    newest = cfg.detail_rows + forecast_reach(cfg)
     rows = in_range(minute, zone).orderBy(F.col("window_start").desc()).limit(newest)
     return (
         trend_forecast(rows, cfg, bounded=True)

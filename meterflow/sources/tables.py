@@ -1,4 +1,8 @@
-"""Hot tables, stored by `event_date` so that a day is read, replaced and dropped on its own."""
+"""Hot tables, stored by `event_date` so that a day is read, compacted and purged on its own.
+
+A day is known by its files. Jobs that move data out list the files they read and later
+remove exactly those, so rows that arrive in between are never touched.
+"""
 
 from __future__ import annotations
 
@@ -14,17 +18,40 @@ DATE, BATCH = "event_date", "batch_id"
 
 
 class HotTable(Protocol):
+    spark: SparkSession
+
+    def days(self, last: dt.date) -> list[dt.date]:
+        """Days up to `last` that the table may hold rows of."""
+
+    def files(self, day: dt.date) -> list[str]:
+        """The data files of one day."""
+
+    def home(self, day: dt.date) -> str:
+        """The folder that new files of a day go to."""
+
+    def read(self, files: list[str]) -> DataFrame:
+        """The rows of some files, without the storage columns."""
+
     def rows(self, day: dt.date) -> DataFrame:
         """The rows of one day, without the storage columns."""
 
-    def replace(self, day: dt.date, staged: str) -> None:
-        """Put the files of a compacted copy in the place of one day."""
+    def changed(self) -> None:
+        """Forget what is cached about the files."""
+
 
-    def drop(self, day: dt.date) -> None:
-        """Drop one day."""
+class _ByFiles:
+    spark: SparkSession
 
+    def rows(self, day: dt.date) -> DataFrame:
+        return self.read(self.files(day))
+
+    def read(self, files: list[str]) -> DataFrame:
+        if not files:
+            return self.spark.createDataFrame([], self._stored_schema())
+        return self.spark.read.schema(self._stored_schema()).parquet(*files)
 
-class CatalogTable:
+
+class CatalogTable(_ByFiles):
     """A parquet table of the catalog, partitioned by `event_date`."""
 
     def __init__(self, spark: SparkSession, name: str):
@@ -33,25 +60,31 @@ class CatalogTable:
     def __str__(self) -> str:
         return self.name
 
-    def rows(self, day: dt.date) -> DataFrame:
-        return self.spark.table(self.name).filter(F.col(DATE) == F.lit(day)).drop(DATE)
+    def _stored_schema(self):
+        return self.spark.table(self.name).drop(DATE).schema
+
+    def days(self, last: dt.date) -> list[dt.date]:
+        found = self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()
+        dates = (dates_in(row.partition) for row in found)
+        return sorted(day for day in dates if day is not None and day <= last)
+
+    def files(self, day: dt.date) -> list[str]:
+        self.changed()
+        return sorted(self.spark.table(self.name).filter(F.col(DATE) == F.lit(day)).inputFiles())
+
+    def home(self, day: dt.date) -> str:
+        root = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").filter("col_name = 'Location'").first().data_type
+        return f"{root}/{DATE}={day.isoformat()}"
 
-    def replace(self, day: dt.date, staged: str) -> None:
-        """In dynamic mode only the partitions of the written rows are replaced, and only when the write commits."""
-        columns = ", ".join(name for name in self.spark.table(self.name).columns if name != DATE)
-        with settings(self.spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-            self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self.name} PARTITION ({DATE}) "
-                f"SELECT {columns}, DATE'{day.isoformat()}' FROM {{compacted}}",
-                compacted=self.spark.read.parquet(staged),
-            )
+    def changed(self) -> None:
+        self.spark.catalog.refreshTable(self.name)
 
-    def drop(self, day: dt.date) -> None:
-        self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({DATE} = DATE'{day.isoformat()}')")
 
+class FolderTable(_ByFiles):
+    """What a stream wrote with `dated_batch`: `<path>/event_date=<day>/batch_id=<n>/` parquet files.
 
-class FolderTable:
-    """What a stream wrote with `dated_batch`: `<path>/batch_id=<n>/event_date=<day>/` parquet files."""
+    The date comes first, so a day's read lists that day's folders only.
+    """
 
     COMPACTED = -1
 
@@ -61,32 +94,36 @@ class FolderTable:
     def __str__(self) -> str:
         return self.path
 
+    def _stored_schema(self) -> str:
+        return self.schema
+
     def all_rows(self) -> DataFrame:
-        """Every row. Filters on `event_date` skip the folders of other days."""
+        """Every row, with its `event_date`."""
         stored = self.spark.read.schema(f"{self.schema}, {BATCH} BIGINT, {DATE} DATE").parquet(self.path)
         return stored.drop(BATCH)
 
-    def rows(self, day: dt.date) -> DataFrame:
-        return self.all_rows().filter(F.col(DATE) == F.lit(day)).drop(DATE)
+    def days(self, last: dt.date) -> list[dt.date]:
+        names = (found.getPath().getName() for found in listed(self.spark, self.path))
+        dates = (dates_in(name) for name in names)
+        return sorted(day for day in dates if day is not None and day <= last)
+
+    def files(self, day: dt.date) -> list[str]:
+        return files_below(self.spark, f"{self.path}/{DATE}={day.isoformat()}")
+
+    def home(self, day: dt.date) -> str:
+        return f"{self.path}/{DATE}={day.isoformat()}/{BATCH}={self.COMPACTED}"
 
-    def replace(self, day: dt.date, staged: str) -> None:
-        """Drop the day's folders of all batches, then move the compacted files in.
+    def changed(self) -> None:
+        pass
 
-        The two steps are not one: a reader in between misses the day, and after a crash
-        there the compacted copy is still in its staging folder.
-        """
-        self.drop(day)
-        home = f"{self.path}/{BATCH}={self.COMPACTED}/{DATE}={day.isoformat()}"
-        files = file_system(self.spark, self.path)
-        files.mkdirs(hadoop_path(self.spark, home).getParent())
-        if not files.rename(hadoop_path(self.spark, staged), hadoop_path(self.spark, home)):
-            raise RuntimeError(f"{staged} could not be moved to {home}")
 
-    def drop(self, day: dt.date) -> None:
-        files = file_system(self.spark, self.path)
-        pattern = hadoop_path(self.spark, f"{self.path}/{BATCH}=*/{DATE}={day.isoformat()}")
-        for found in files.globStatus(pattern) or []:
-            files.delete(found.getPath(), True)
+def dates_in(partition: str) -> dt.date | None:
+    """The day that a partition's name states; None for other names and for rows without a date."""
+    key, _, value = partition.partition("=")
+    try:
+        return dt.date.fromisoformat(value) if key == DATE else None
+    except ValueError:
+        return None
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -105,6 +142,47 @@ def delete(spark: SparkSession, path: str) -> None:
     file_system(spark, path).delete(hadoop_path(spark, path), True)
 
 
-def write_dated(rows: DataFrame, path: str, time: str) -> None:
-    """Write one batch's rows, split by the date of `time`; writing it again replaces it."""
-    rows.withColumn(DATE, F.to_date(time)).write.mode("overwrite").partitionBy(DATE).parquet(path)
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, creating the folder it goes to."""
+    files = file_system(spark, target)
+    files.mkdirs(hadoop_path(spark, target).getParent())
+    if not files.rename(hadoop_path(spark, source), hadoop_path(spark, target)):
+        raise RuntimeError(f"{source} could not be moved to {target}")
+
+
+def listed(spark: SparkSession, folder: str) -> list:
+    """What lies directly in a folder."""
+    return list(file_system(spark, folder).listStatus(hadoop_path(spark, folder))) if exists(spark, folder) else []
+
+
+def files_below(spark: SparkSession, folder: str) -> list[str]:
+    """Data files at any depth; hidden ones and markers don't count."""
+    found = []
+    for status in listed(spark, folder):
+        path, name = status.getPath().toString(), status.getPath().getName()
+        if status.isDirectory():
+            found += files_below(spark, path)
+        elif not name.startswith(("_", ".")):
+            found.append(path)
+    return sorted(found)
+
+
+def bytes_of(spark: SparkSession, files: list[str]) -> int:
+    return sum(file_system(spark, path).getFileStatus(hadoop_path(spark, path)).getLen() for path in files)
+
+
+def write_dated(rows: DataFrame, path: str, time: str, batch: int) -> None:
+    """Store one batch's rows by the date of `time`; writing the batch again replaces its own folders.
+
+    Rows without a time are kept apart, under the date of no day. Adaptive execution
+    chooses the number of files by the size of the batch.
+    """
+    with settings(rows.sparkSession, spark__sql__adaptive__enabled="true"):
+        (
+            rows.withColumns({DATE: F.to_date(time), BATCH: F.lit(batch)})
+            .hint("rebalance", DATE)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(DATE, BATCH)
+            .parquet(path)
+        )

@@ -15,9 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterflow.config import GridConfig
 from meterflow.operators import loads
-from meterflow.operators.forecast import alert_payload, overload_predictions
+from meterflow.operators.forecast import alert_payload, forecast_reach, overload_predictions
 from meterflow.session import ROCKSDB_PROVIDER, settings
-from meterflow.sources.tables import BATCH, DATE, delete, exists, write_dated
+from meterflow.sources.tables import BATCH, DATE, delete, exists, file_system, hadoop_path, write_dated
 
 # The tables of the prediction stream.
 MINUTE_SCHEMA = "window_start TIMESTAMP, window_end TIMESTAMP, zip_code STRING, minute_load_kw DOUBLE"
@@ -76,26 +76,26 @@ def append_to_table(
         return _triggered(writer, trigger).toTable(table)
 
 
-def dated_batch(path: str, time: str, files: int = 8) -> Callable[[DataFrame, int], None]:
+def dated_batch(path: str, time: str) -> Callable[[DataFrame, int], None]:
     """Micro-batch function that stores a stream as a dated folder table, for the archive to work on."""
 
     def process(rows: DataFrame, batch: int) -> None:
-        write_dated(rows.repartition(files), f"{path}/{BATCH}={batch}", time)
+        write_dated(rows, path, time, batch)
 
     return process
 
 
 def append_dated(
-    stream: DataFrame, path: str, time: str, checkpoint: str, partitions: int | None = None, files: int = 8, **trigger
+    stream: DataFrame, path: str, time: str, checkpoint: str, partitions: int | None = None, **trigger
 ) -> StreamingQuery:
-    """Like `append_to_path`, split by date. A repeated batch replaces its own folder, so rows are stored once."""
+    """Like `append_to_path`, split by date. A repeated batch replaces its own folders, so rows are stored once."""
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     with state_settings(stream.sparkSession, partitions):
-        return _triggered(writer.foreachBatch(dated_batch(path, time, files)), trigger).start()
+        return _triggered(writer.foreachBatch(dated_batch(path, time)), trigger).start()
 
 
 class PredictionTables:
-    """Folders of the prediction stream: per micro-batch its minute rows, predictions, alerts and carry.
+    """Folders of the prediction stream: minute rows and predictions by date, alerts and carry by micro-batch.
 
     The carry holds each zone's newest rows, as many as a trend frame reaches back, so a
     batch reads one small folder instead of the history. A batch that is run again writes
@@ -108,6 +108,14 @@ class PredictionTables:
     def folder(self, table: str, batch: int | None = None) -> str:
         return f"{self.root}/{table}" if batch is None else f"{self.root}/{table}/{BATCH}={batch}"
 
+    def of_batch(self, spark: SparkSession, table: str, batch: int) -> DataFrame:
+        """The rows that one micro-batch stored in a dated table."""
+        schema = TABLE_SCHEMAS[table]
+        pattern = f"{self.folder(table)}/{DATE}=*/{BATCH}={batch}"
+        if not file_system(spark, pattern).globStatus(hadoop_path(spark, pattern)):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(pattern)
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         if not exists(spark, self.folder(table)):
             return spark.createDataFrame([], TABLE_SCHEMAS[table])
@@ -135,22 +143,18 @@ def prediction_batch(
     cfg: GridConfig,
     publish: Callable[[DataFrame, str], None] = to_files,
     bounded: bool = False,
-    files: int = 8,
 ) -> Callable[[DataFrame, int], None]:
     """The micro-batch function of the prediction stream.
 
     It runs the same transform as a batch job would, over the new minute rows and the
     carry. Every result is written before it is used again, which leaves no long lineage
-    to recompute when an executor is lost. `bounded` suits batches that hold few minutes;
-    `files` is how many files the minute rows of one batch are written to, since there
-    are far more state partitions than a minute's rows need.
+    to recompute when an executor is lost. `bounded` suits batches that hold few minutes.
     """
-    reach = cfg.frame_rows - 1
+    reach = forecast_reach(cfg)
 
     def process(new_minutes: DataFrame, batch: int) -> None:
         spark = new_minutes.sparkSession
-        spread = new_minutes.repartition(files, "zip_code", "window_start")
-        write_dated(spread, tables.folder("minute_loads", batch), "window_start")
+        write_dated(new_minutes, tables.folder("minute_loads"), "window_start", batch)
         # What follows reads files only. Adaptive planning, off for the stream itself, fits it to the batch's size.
         with settings(spark, spark__sql__adaptive__enabled="true"):
             _predict(spark, batch)
@@ -158,7 +162,7 @@ def prediction_batch(
         delete(spark, tables.folder("carry", batch - 2))
 
     def _predict(spark: SparkSession, batch: int) -> None:
-        new = spark.read.schema(MINUTE_SCHEMA).parquet(tables.folder("minute_loads", batch)).drop(DATE)
+        new = tables.of_batch(spark, "minute_loads", batch)
         rows = new.withColumn("is_new", F.lit(True))
         if batch > 0:
             carried = spark.read.schema(MINUTE_SCHEMA).parquet(tables.folder("carry", batch - 1))
@@ -166,8 +170,8 @@ def prediction_batch(
 
         if not new.isEmpty():
             predicted = overload_predictions(rows, cfg, bounded=bounded).filter("is_new").drop("is_new")
-            write_dated(predicted, tables.folder("overload_predictions", batch), "window_start")
-            stored = spark.read.schema(PREDICTION_SCHEMA).parquet(tables.folder("overload_predictions", batch))
+            write_dated(predicted, tables.folder("overload_predictions"), "window_start", batch)
+            stored = tables.of_batch(spark, "overload_predictions", batch)
             publish(alert_payload(stored), tables.folder("alerts", batch))
 
         # A rank limit is applied before the shuffle too, so at most `reach` rows per zone and task move.

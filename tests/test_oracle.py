@@ -29,7 +29,7 @@ def test_every_query_has_sql():
         ("imminent_overload", 841),
         ("alert_payload", 182),
         ("load_prediction_join", 1062),
-        ("transfer_pairs", 287),
+        ("transfer_pairs", 799),
         ("archive_slice", 330),
     ],
 )

@@ -13,7 +13,7 @@ from tests.conftest import SMALL
 BATCH = [
     name
     for name in registry.REGISTRY
-    if not name.startswith("s_") and name not in ("archive_export", "compact_day", "history_union", "report_csv")
+    if not name.startswith("s_") and name not in ("archive_export", "archive_late_rows", "compact_day", "history_union", "report_csv")
 ]
 
 
@@ -62,6 +62,22 @@ def test_day_slice_reaches_the_scan(x):
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts,2024-01-10T00:00\).*LessThan\(ts,2024-01-11T00:00\)", plan)
 
 
+@pytest.mark.parametrize("name", ["recent_window", "imminent_overload_recent", "correlated_surge_recent"])
+def test_look_backs_reach_the_scan(spark, name):
+    plan = planned(registry.run(name, spark, SMALL))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts,", plan)
+
+
+def test_day_counts_and_costs_scan_their_days_only(spark):
+    plan = planned(registry.run("archive_validate", spark, SMALL))
+    assert plan.count("FileScan") == len(re.findall(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,", plan)) == 3
+    assert "LessThan(ts," in planned(registry.run("cost_savings", spark, SMALL))
+
+
+def test_response_times_are_hashed(x):
+    assert "SortAggregate" not in executed(x.responses)
+
+
 def test_zone_filter_of_the_detail_view_is_below_the_windows(x):
     plan = planned(status.zone_detail(x.minute, registry.DETAIL_ZONE, CFG))
     assert "TakeOrderedAndProject" in plan
