@@ -36,7 +36,7 @@ def learn(docs: DataFrame, labels: DataFrame, how: Boosting = Boosting()) -> Tre
     marks = marks.groupBy("doc_id").agg((F.avg("quality") >= 0.5).alias("good"))
     # Only documents that exist count, and the smallest hashes of their ids are chosen before any text is read.
     known = docs.select("doc_id").distinct().join(marks, "doc_id")
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    chosen = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))  # so many rows at most
     texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "good", F.xxhash64("text").alias("h"), "text")
     # A repeated id counts once, with one of its texts.
     once = texts.groupBy("doc_id").agg(F.min(F.struct("h", "good", "text")).alias("t"))
