@@ -105,7 +105,7 @@ class _Source:
     """A file read forward in pieces, from a place on."""
 
     def __init__(self, file, at: int):
-        self.file, self.at, self.held = file, at, b""
+        self.file, self.at, self.held = file, at, b""  # `held` begins at `at` and ends where the file was read to
         file.seek(at)
 
     def fill(self) -> bool:
@@ -189,8 +189,8 @@ def _read_record(source: _Source) -> dict:
             raise ValueError(f"record at {place} is cut off")
         source.held = packed
         data = inflate.decompress(packed, READ_BYTES)
-    source.at = place + 0
     source.held = inflate.unused_data
+    source.at = source.file.tell() - len(source.held)
     return fields | {"http": headers, "payload_digest": digest.hexdigest(), "payload_bytes": size, "block_bytes": seen, "length": length}
 
 
@@ -208,8 +208,6 @@ def records_in(file, start: int, end: int) -> Iterator[dict]:
             source.held, source.at = max(source.held, held, key=len), at
             source.skip(1)
             continue
-        # What is left unused tells how far the file was read.
-        source.at = file.tell() - len(source.held)
         if found["block_bytes"] != found["length"]:
             raise ValueError(f"record at {at}: {found['block_bytes']} bytes of {found['length']}")
         yield found
