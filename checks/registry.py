@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from meterflow import FIXTURE as CFG
 from meterflow.operators import forecast, loads, renewables, surge
 from meterflow.plans import archive, reports, status
-from meterflow.session import scratch_path
+from meterflow.plans.live import LiveFrames, rolled_up
+from meterflow.session import scratch_path, stored
 from meterflow.sources import dimensions
 from meterflow.sources import readings as source
 from meterflow.sources.tables import FolderTable, write_dated
@@ -76,14 +77,19 @@ class Inputs:
     def capacity(self) -> DataFrame:
         return dimensions.fixture_capacity(self.spark)
 
+    @cached_property
+    def rolled(self) -> LiveFrames:
+        """The load tables rolled up from zone parts stored once, for products that join several of them."""
+        return rolled_up(stored(loads.zone_parts(self.readings, CFG), "zone-parts"), CFG)
+
     @cached_property
     def state(self) -> DataFrame:
-        return renewables.renewable_state(self.zones, self.predictions, self.assets, CFG)
+        return renewables.renewable_state(self.rolled.zones, self.rolled.predictions, self.assets, CFG)
 
     @cached_property
     def aligned_state(self) -> DataFrame:
-        aligned = renewables.aligned_loads(self.zones, CFG)
-        return renewables.renewable_state(aligned, self.predictions, self.assets, CFG)
+        aligned = renewables.aligned_loads(self.rolled.zones, CFG)
+        return renewables.renewable_state(aligned, self.rolled.predictions, self.assets, CFG)
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -156,7 +162,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def first_event(x: Inputs) -> dt.datetime:
     """Start of the first heatwave from the third day on: one row, as a user picks it from the list of events."""
-    runs = surge.heatwave_runs(x.grid, CFG).filter(F.col("event_start") >= F.lit(dt.datetime(2024, 1, 3)))
+    runs = surge.heatwave_runs(x.rolled.grid, CFG).filter(F.col("event_start") >= F.lit(dt.datetime(2024, 1, 3)))
     return runs.agg(F.min("event_start")).first()[0]
 
 
@@ -328,27 +334,27 @@ REGISTRY: dict[str, Query] = {
         surge.correlated_surge(x.minute_since(CFG.surge_history_s), CFG, as_of=F.lit(AS_OF))
     ),
     "heatwave_runs": lambda x: surge.heatwave_runs(x.grid, CFG).drop("run"),
-    "event_replay": lambda x: surge.event_replay(x.grid, x.minute, CFG),
-    "event_replay_one": lambda x: surge.event_replay(x.grid, x.minute, CFG, first_event(x)),
+    "event_replay": lambda x: surge.event_replay(x.rolled.grid, x.rolled.minute, CFG),
+    "event_replay_one": lambda x: surge.event_replay(x.rolled.grid, x.rolled.minute, CFG, first_event(x)),
     # renewables
     "load_prediction_join": lambda x: renewables.load_prediction_join(x.zones, x.predictions, CFG),
     "renewable_state": lambda x: x.state,
     "reallocation_plan": lambda x: renewables.reallocation_plan(x.state, CFG),
     "reallocation_plan_recent": lambda x: renewables.reallocation_plan(
-        renewables.renewable_state(x.zones, x.predictions, x.assets, CFG, as_of=F.lit(AS_OF)), CFG
+        renewables.renewable_state(x.rolled.zones, x.rolled.predictions, x.assets, CFG, as_of=F.lit(AS_OF)), CFG
     ),
     "reallocation_plan_aligned": lambda x: renewables.reallocation_plan(x.aligned_state, CFG),
     "renewable_balance": lambda x: renewables.renewable_balance(x.aligned_state, CFG),
     "renewable_utilization": lambda x: renewables.renewable_utilization(x.zones, x.assets),
     "renewable_utilization_range": lambda x: renewables.renewable_utilization(x.zones, x.assets, *SOME_WEEK),
     "transfer_pairs": lambda x: x.pairs,
-    "transfer_impact": lambda x: renewables.transfer_impact(x.pairs, x.predictions, CFG),
+    "transfer_impact": lambda x: renewables.transfer_impact(x.pairs, x.rolled.predictions, CFG),
     # status
     "zone_capacity_pct": lambda x: status.zone_capacity_pct(x.minute, x.capacity, CFG),
     "critical_zones": lambda x: status.critical_zones(x.minute, x.capacity, CFG),
-    "zone_status": lambda x: status.zone_status(x.zones, x.predictions, x.capacity, CFG),
+    "zone_status": lambda x: status.zone_status(x.rolled.zones, x.rolled.predictions, x.capacity, CFG),
     "grid_header": lambda x: status.grid_header(
-        x.grid, x.zones, renewables.renewable_balance(x.aligned_state, CFG), x.capacity, CFG
+        x.rolled.grid, x.rolled.zones, renewables.renewable_balance(x.aligned_state, CFG), x.capacity, CFG
     ),
     "stale_zones": lambda x: status.stale_zones(x.readings, F.lit(AS_OF), CFG),
     "prediction_history": lambda x: status.prediction_history(x.predictions),

@@ -35,7 +35,8 @@ def _measured(readings: DataFrame, cfg: GridConfig) -> DataFrame:
     return readings.withColumn("power_kw", valid("power_kw", cfg.load_decimals))
 
 
-def zip_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
+def zone_parts(readings: DataFrame, cfg: GridConfig) -> DataFrame:
+    """Per zone and short window all that zone loads, minute loads and grid totals are made of."""
     windows, edges = _by_window(_measured(readings, cfg), cfg.zip_window_s, "zip_code")
     grouped = windows.agg(
         exact_total("power_kw", cfg.load_decimals).alias("total_kw"),
@@ -47,9 +48,21 @@ def zip_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
         F.avg("frequency").alias("avg_frequency"),
         F.avg("temperature_f").alias("avg_temp_f"),
         F.avg("grid_stress_indicator").alias("avg_stress"),
+        F.sum("temperature_f").alias("temp_sum"),
+        F.count("temperature_f").alias("temp_count"),
     )
-    return grouped.select(
-        *edges,
+    names = [name for name in grouped.columns if name not in ("window", "window_start", "zip_code")]
+    return grouped.select(*edges, "zip_code", *names)
+
+
+def zip_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
+    return zip_load_of(zone_parts(readings, cfg), cfg)
+
+
+def zip_load_of(parts: DataFrame, cfg: GridConfig) -> DataFrame:
+    return parts.select(
+        "window_start",
+        "window_end",
         "zip_code",
         to_mw(F.col("total_kw"), cfg).alias("load_mw"),
         F.try_divide("total_kw", "measured").alias("avg_load_kw"),
@@ -63,6 +76,32 @@ def zip_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
     )
 
 
+def _whole_windows(cfg: GridConfig, seconds: int) -> None:
+    if seconds % cfg.zip_window_s:
+        raise ValueError(f"{seconds} s is no multiple of the zone windows of {cfg.zip_window_s} s")
+
+
+def minute_load_of(parts: DataFrame, cfg: GridConfig) -> DataFrame:
+    """Minute loads rolled up from stored zone parts instead of the readings."""
+    _whole_windows(cfg, cfg.minute_window_s)
+    windows, edges = _by_window(parts, cfg.minute_window_s, "zip_code", time="window_start")
+    grouped = windows.agg(exact_total("total_kw", cfg.load_decimals).alias("minute_load_kw"))
+    return grouped.select(*edges, "zip_code", "minute_load_kw")
+
+
+def grid_wide_of(parts: DataFrame, cfg: GridConfig) -> DataFrame:
+    """Grid totals rolled up from stored zone parts instead of the readings."""
+    _whole_windows(cfg, cfg.grid_window_s)
+    windows, edges = _by_window(parts, cfg.grid_window_s, time="window_start")
+    grouped = windows.agg(
+        exact_total("total_kw", cfg.load_decimals).alias("total_kw"),
+        F.sum("meter_count").alias("active_meters"),
+        F.max("peak_load_kw").alias("single_peak_kw"),
+        F.try_divide(F.sum("temp_sum"), F.sum("temp_count")).alias("avg_temp_f"),
+    )
+    return _grid_columns(grouped, edges, cfg)
+
+
 def minute_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
     windows, edges = _by_window(_measured(readings, cfg), cfg.minute_window_s, "zip_code")
     grouped = windows.agg(exact_total("power_kw", cfg.load_decimals).alias("minute_load_kw"))
@@ -77,6 +116,10 @@ def grid_wide(readings: DataFrame, cfg: GridConfig) -> DataFrame:
         F.max("power_kw").alias("single_peak_kw"),
         F.avg("temperature_f").alias("avg_temp_f"),
     )
+    return _grid_columns(grouped, edges, cfg)
+
+
+def _grid_columns(grouped: DataFrame, edges: list[Column], cfg: GridConfig) -> DataFrame:
     return grouped.select(
         *edges,
         "active_meters",

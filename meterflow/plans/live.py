@@ -36,3 +36,14 @@ def live_frames(readings: DataFrame, cfg: GridConfig, as_of: Column | None = Non
         grid=loads.grid_wide(within(cfg.grid_window_s), cfg),
         predictions=forecast.overload_predictions(minute, cfg, bounded=as_of is not None),
     )
+
+
+def rolled_up(parts: DataFrame, cfg: GridConfig) -> LiveFrames:
+    """The same frames from stored `loads.zone_parts`: however many of them a product joins, the readings are read once."""
+    minute = loads.minute_load_of(parts, cfg)
+    return LiveFrames(
+        zones=loads.zip_load_of(parts, cfg),
+        minute=minute,
+        grid=loads.grid_wide_of(parts, cfg),
+        predictions=forecast.overload_predictions(minute, cfg),
+    )

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -48,6 +48,13 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame into the scratch folder and read it back, so that what is built on it computes it once."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: str):
     """Set SQL options for the duration of a block (dots written as double underscores)."""

@@ -74,6 +74,13 @@ def test_day_counts_and_costs_scan_their_days_only(spark):
     assert "LessThan(ts," in planned(registry.run("cost_savings", spark, SMALL))
 
 
+@pytest.mark.parametrize("name", ["grid_header", "transfer_impact", "event_replay", "reallocation_plan", "zone_status"])
+def test_products_of_several_tables_do_not_read_the_readings_again(spark, name):
+    """They work on zone parts, for which the readings were read once."""
+    plan = planned(registry.run(name, spark, SMALL))
+    assert "events.parquet" not in plan and "zone-parts" in plan
+
+
 def test_response_times_are_hashed(x):
     assert "SortAggregate" not in executed(x.responses)
 

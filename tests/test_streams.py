@@ -205,3 +205,17 @@ def test_messages_to_loads(spark, tmp_path):
     # The broken message stays a row of nulls, which no window takes in.
     assert rows.filter("event_time IS NULL").count() == 1
     assert rows.filter("event_time IS NOT NULL").count() == 200
+
+
+def test_a_failed_query_ends_the_wait(spark, feed, tmp_path):
+    feed.deliver(three_hours()[:10])
+
+    def fail(rows, batch):
+        raise ValueError("sink is gone")
+
+    writer = feed.stream().writeStream.option("checkpointLocation", str(tmp_path / "checkpoint")).foreachBatch(fail)
+    spark.streams.resetTerminated()
+    writer.start()
+    with pytest.raises(Exception, match="sink is gone"):
+        jobs.run_until_failure(spark)
+    spark.streams.resetTerminated()

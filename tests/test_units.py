@@ -131,3 +131,14 @@ def test_look_backs_of_live_views_reach_the_scan(spark, tmp_path, constant, view
     plan = plan_of(F.lit(START + dt.timedelta(minutes=25)))
     assert plan.count("FileScan") == plan.count("GreaterThanOrEqual(event_time,") // 1 >= 1
     assert "GreaterThanOrEqual" not in plan_of(None)
+
+
+@pytest.mark.parametrize("cfg", [REFERENCE, SCALED])
+def test_rolled_up_loads_equal_those_of_readings(spark, cfg):
+    readings = readings_of(spark, [10.25, None, 20.5, float("nan"), 7.125] * 30, step_s=7)
+    parts = loads.zone_parts(readings, cfg)
+    assert as_dicts(loads.zip_load_of(parts, cfg), "window_start") == as_dicts(loads.zip_load(readings, cfg), "window_start")
+    assert as_dicts(loads.minute_load_of(parts, cfg), "window_start") == as_dicts(loads.minute_load(readings, cfg), "window_start")
+    assert as_dicts(loads.grid_wide_of(parts, cfg), "window_start") == as_dicts(loads.grid_wide(readings, cfg), "window_start")
+    with pytest.raises(ValueError, match="no multiple"):
+        loads.minute_load_of(parts, cfg.with_(minute_window_s=15))
