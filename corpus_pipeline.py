@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from meterflow.llm import bpe, language_id, mixing, quality_model, simhash_dedup
+from meterflow.llm.alike_texts import Alike
 from meterflow.llm.common import prepare, read_table, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return simhash_dedup.one_of_each_group(docs)
+    return simhash_dedup.one_of_each_group(docs, alike=Alike())
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,183 @@
+"""Links between texts whose sets of word shingles are alike: an exact prefix filter, then the Jaccard similarity itself.
+
+Two sets with a similarity of t or more share one of the first n - ceil(t * n) + 1 members of
+each (n its size), in whatever order, so long as it is the same for all. The order puts
+shingles that are common in a sample last: the sample decides how many pairs meet, not which are found.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from meterflow.llm.common import stored
+from meterflow.llm.components import components
+
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: Shingles that so many of the sampled texts have come last in the order; so many of them at most.
+SAMPLED, OFTEN, MOST_COMMON = 5_000, 4, 50_000
+KEYED = "key bigint, size bigint, shingles array<bigint>"
+WHOLE = "key bigint, size bigint, shingles array<int>"
+
+
+@dataclass(frozen=True)
+class Alike:
+    """Shingles of `width` words, and a similarity of `part / whole` or more."""
+
+    width: int = 5
+    part: int = 4
+    whole: int = 5
+
+    def reach(self, size: int) -> int:
+        """How many first members of a set of that size are searched."""
+        return size + 1 + (-self.part * size) // self.whole
+
+
+def shingle_set(text: str, width: int) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles; fewer words than a shingle has are one, and no words none."""
+    words = text.encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    seen: dict[bytes, int] = {}
+    ids = np.fromiter((seen.setdefault(word, len(seen)) for word in words), np.int64, len(words))
+    values = np.fromiter(map(xxhash.xxh64_intdigest, seen), np.uint64, len(seen))[ids]
+    width = min(width, len(words))
+    count = len(words) - width + 1
+    hashes = values[:count]
+    for i in range(1, width):
+        hashes = (hashes ^ (hashes >> np.uint64(32))) * MULTIPLIER + values[i : count + i]
+    hashes = (hashes ^ (hashes >> np.uint64(29))) * MULTIPLIER
+    return np.unique(hashes ^ (hashes >> np.uint64(32)))
+
+
+def first_shingles(found: np.ndarray, common: np.ndarray, alike: Alike) -> np.ndarray:
+    often = np.isin(found, common, assume_unique=True)
+    return np.concatenate([found[~often], found[often]])[: alike.reach(len(found))]
+
+
+def _searched(texts: DataFrame, alike: Alike, common: np.ndarray | None) -> DataFrame:
+    """`(key, size, shingles)` of `(key, text)`: what is searched of each set, or the whole set if nothing is known as common."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(text.as_py() or "", alike.width) for text in batch["text"]]
+            kept = found if common is None else [first_shingles(one, common, alike) for one in found]
+            yield _lists(batch["key"], map(len, found), kept, np.uint64, np.int64)
+
+    return texts.select("key", "text").mapInArrow(build, KEYED)
+
+
+def _whole(texts: DataFrame, alike: Alike) -> DataFrame:
+    """`(key, size, shingles)`: the true size of each set, and 32 bits of each of its hashes."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(text.as_py() or "", alike.width) for text in batch["text"]]
+            short = [np.unique((one >> np.uint64(32)).astype(np.uint32)) for one in found]
+            yield _lists(batch["key"], map(len, found), short, np.uint32, np.int32)
+
+    return texts.select("key", "text").mapInArrow(build, WHOLE)
+
+
+def _lists(keys: pa.Array, sizes, values: list[np.ndarray], kind, signed) -> pa.RecordBatch:
+    ends = np.cumsum([0, *map(len, values)])
+    flat = pa.array(np.concatenate([np.zeros(0, kind), *values]).view(signed))
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+    return pa.RecordBatch.from_arrays([keys, pa.array(list(sizes), pa.int64()), lists], ["key", "size", "shingles"])
+
+
+def _common(texts: DataFrame, alike: Alike) -> np.ndarray:
+    places = texts.select(F.xxhash64("key").alias("place")).distinct().orderBy("place").limit(SAMPLED)
+    last = places.agg(F.max("place")).first()[0]
+    sample = texts.filter(F.xxhash64("key") <= F.lit(last)).dropDuplicates(["key"])
+    shingles = _searched(sample, alike, None).select(F.explode("shingles").alias("s"))
+    often = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
+    rows = often.orderBy(F.desc("n"), "s").limit(MOST_COMMON).select("s").collect()
+    return np.array([row.s for row in rows], np.int64).view(np.uint64)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, alike: Alike) -> DataFrame:
+    """Of pairs `(a, b, root_a, root_b)`, the roots of those that are alike.
+
+    Shared shingles are counted by 32 bits of their hashes. Two that agree in them by chance
+    can only add to the count, and those that agree inside one set are added too, so no pair
+    is missed; one may pass that lacks a shingle or so.
+    """
+    of_a = sets.select(F.col("key").alias("a"), F.col("size").alias("size_a"), F.col("shingles").alias("set_a"))
+    of_b = sets.select(F.col("key").alias("b"), F.col("size").alias("size_b"), F.col("shingles").alias("set_b"))
+    both = pairs.join(of_a, "a").join(of_b, "b")
+    merged = F.least(F.col("size_a") - F.size("set_a"), F.col("size_b") - F.size("set_b"))
+    shared = F.size(F.array_intersect("set_a", "set_b")) + merged
+    enough = shared * (alike.part + alike.whole) >= (F.col("size_a") + F.col("size_b")) * alike.part
+    return both.filter(enough).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct()
+
+
+def alike_links(texts: DataFrame, roots: DataFrame, alike: Alike = Alike()) -> DataFrame:
+    """Links `(a, b)` between roots that, with those there are, connect all texts that are alike.
+
+    `texts` has `key` (the same for equal texts) and `text`; `roots` has one row `(key, root)`
+    per key: texts with one root hang together already. Texts without words are not linked.
+
+    Where texts meet under a shingle, each is first compared with the next smaller one. Only
+    those that still don't hang together then meet all others there of a fitting size.
+    """
+    searched = _searched(texts, alike, _common(texts, alike)).dropDuplicates(["key"])
+    meeting = Window.partitionBy("shingle")
+    entries = (
+        searched.select("key", "size", F.posexplode("shingles").alias("place", "shingle"))
+        .withColumn("least", F.min("key").over(meeting))
+        .withColumn("most", F.max("key").over(meeting))
+        .filter(F.col("least") < F.col("most"))
+        .select("shingle", "key", "size", "place")
+    )
+    rooted = stored(stored(entries, "alike-met").join(roots, "key"), "alike-rooted")
+    met = stored(_apart(rooted), "alike-entries")
+    needed = met.select("key").distinct()
+    sets = stored(_whole(texts.join(needed, "key", "left_semi").dropDuplicates(["key"]), alike), "alike-sets")
+
+    # The first shingle that two alike sets share has all that they share at or after its place in each.
+    need = (F.col("size_a") + F.col("size_b")) * alike.part
+    first_of_all = [(F.col(f"size_{x}") - F.col(f"place_{x}")) * (alike.part + alike.whole) >= need for x in "ab"]
+    fitting = (F.col("root_a") != F.col("root_b")) & first_of_all[0] & first_of_all[1]
+    of_b = [F.col(name).alias(f"{name}_b") for name in ("size", "root", "place")]
+
+    by_size = meeting.orderBy("size", "key")
+    chained = (
+        met.select(
+            "shingle", F.col("key").alias("b"), *of_b,
+            F.lag("key").over(by_size).alias("a"),
+            *[F.lag(name).over(by_size).alias(f"{name}_a") for name in ("size", "root", "place")],
+        )
+        .filter(fitting)
+        .select("a", "b", "root_a", "root_b")
+        .distinct()
+    )
+    chained = stored(chained, "alike-chained")
+    first = stored(_verified(chained, sets, alike), "alike-links")
+    joined = components(first).select(F.col("node").alias("old"), F.col("root").alias("new"))
+    still = met.join(joined, met["root"] == joined["old"], "left")
+    still = still.select("shingle", "key", "size", "place", F.coalesce("new", "root").alias("root"))
+    still = stored(_apart(still), "alike-apart")
+    left = still.select("shingle", F.col("key").alias("a"), *[F.col(n).alias(f"{n}_a") for n in ("size", "root", "place")])
+    ahead = F.struct("size_a", "a") < F.struct("size_b", "b")
+    crossed = (
+        left.join(still.select("shingle", F.col("key").alias("b"), *of_b), "shingle")
+        .filter(ahead & fitting)
+        .select("a", "b", "root_a", "root_b")
+        .distinct()
+        .join(chained.select("a", "b"), ["a", "b"], "left_anti")
+    )
+    return first.unionByName(stored(_verified(crossed, sets, alike), "alike-links"))
+
+
+def _apart(entries: DataFrame) -> DataFrame:
+    """Entries under shingles where texts of several roots meet."""
+    meeting = Window.partitionBy("shingle")
+    ends = {"least": F.min("root").over(meeting), "most": F.max("root").over(meeting)}
+    return entries.withColumns(ends).filter(F.col("least") < F.col("most")).drop("least", "most")

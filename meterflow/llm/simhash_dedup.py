@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from meterflow.llm.alike_texts import Alike, alike_links
 from meterflow.llm.common import empty_if_null, fresh, stored
 from meterflow.llm.components import components
 from meterflow.llm.gray_index import GrayIndex
@@ -25,7 +26,7 @@ HASHES = 65_536
 DEPTH = 4
 
 
-def fingerprint(text: str) -> int:
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     """A bit is 1 if it is set in more than half of the hashes of the word shingles; no words give 0."""
     words = text.encode().lower().split()
     if not words:
@@ -33,7 +34,7 @@ def fingerprint(text: str) -> int:
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
-    reach = min(SHINGLE, len(words)) - 1
+    reach = min(shingle, len(words)) - 1
     begins, ends = (ends - lengths)[: len(words) - reach].tolist(), ends[reach:].tolist()
     del words
     ones = np.zeros(64, np.int64)
@@ -44,10 +45,13 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(ones * 2 > len(begins), bitorder="little").view("<u8")[0])
 
 
-@F.arrow_udf(LongType())
-def fingerprint_of(texts: pa.Array) -> pa.Array:
-    values = np.array([fingerprint(text) for text in empty_if_null(texts)], np.uint64)
-    return pa.array(values.view(np.int64))
+def fingerprint_of(text: str, shingle: int = SHINGLE) -> Column:
+    @F.arrow_udf(LongType())
+    def codes(texts: pa.Array) -> pa.Array:
+        values = np.array([fingerprint(text, shingle) for text in empty_if_null(texts)], np.uint64)
+        return pa.array(values.view(np.int64))
+
+    return codes(text)
 
 
 def hex_digits(code: Column) -> Column:
@@ -163,10 +167,14 @@ def near_links(codes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return ordered.mapInArrow(search, "a long, b long")
 
 
-def groups_of(prints: DataFrame) -> DataFrame:
-    """`(code, root, component_id)` for each distinct fingerprint of `prints` (`doc_id`, `code`)."""
+def groups_of(prints: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """`(code, root, component_id)` for each distinct fingerprint of `prints` (`doc_id`, `code`).
+
+    `links` between fingerprints replace those of the near ones.
+    """
     classes = prints.groupBy("code").agg(F.min("doc_id").alias("first_id"))
-    roots = components(near_links(classes.select("code"))).withColumnRenamed("node", "code")
+    links = near_links(classes.select("code")) if links is None else links
+    roots = components(links).withColumnRenamed("node", "code")
     rooted = classes.join(roots, "code", "left").withColumn("root", F.coalesce("root", "code"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return rooted.join(least, "root").select("code", "root", "component_id")
@@ -187,13 +195,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The documents, less all but one of every component: the one with the smallest id (nulls last) stays."""
+def one_of_each_group(
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, alike: Alike | None = None
+) -> DataFrame:
+    """The documents, less all but one of every component: the one with the smallest id (nulls last) stays.
+
+    With `alike`, documents whose shingle sets are that alike are linked too, however far
+    apart their fingerprints are.
+    """
     key, nth = fresh(docs, "_dedup_key", "_dedup_nth")
     identity = F.xxhash64("doc_id", "text")
-    prints = stored(docs.select("doc_id", identity.alias("key"), fingerprint_of("text").alias("code")), "fingerprints")
+    prints = stored(
+        docs.select(
+            "doc_id",
+            identity.alias("key"),
+            F.xxhash64("text").alias("text_key"),
+            fingerprint_of("text", shingle).alias("code"),
+        ),
+        "fingerprints",
+    )
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
-    roots = groups_of(prints).select("code", "root")
+    links = near_links(prints.select("code").distinct(), radius)
+    if alike is not None:
+        links = stored(links, "near-links")
+        grouped = groups_of(prints, links).select("code", "root")
+        placed = prints.select(F.col("text_key").alias("key"), "code").distinct().join(grouped, "code").select("key", "root")
+        texts = docs.select(F.xxhash64("text").alias("key"), "text")
+        links = links.unionByName(alike_links(texts, stored(placed, "text-roots"), alike))
+    roots = groups_of(prints, links).select("code", "root")
     classes = prints.groupBy("code").agg(F.min(order).alias("first"))
     kept = classes.join(roots, "code").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias(key))
     # Rows that repeat an id and a text have one key, and one of them stays.

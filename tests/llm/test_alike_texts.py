@@ -1,0 +1,63 @@
+import random
+
+import pytest
+
+import corpus_pipeline
+from meterflow.llm import alike_texts as at
+from meterflow.llm import simhash_dedup as sd
+from tests.llm.conftest import prose
+
+
+def plain_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_alike(a, b):
+    a, b = plain_set(a), plain_set(b)
+    return bool(a and b) and 5 * len(a & b) >= 4 * len(a | b)
+
+
+def edited_rows():
+    """Families of texts with a few words changed, over a passage that many share."""
+    rng, passage, rows = random.Random(11), prose(900, 30), []
+    for family in range(25):
+        words = prose(family, rng.randint(20, 300)).split()
+        for _ in range(rng.randint(1, 5)):
+            copy = list(words)
+            for _ in range(rng.randint(0, 4)):
+                copy[rng.randrange(len(copy))] = f"w{rng.random()}"
+            rows.append((len(rows), " ".join(copy) + (" " + passage if family % 2 else ""), "en", "a"))
+    return rows + [(len(rows), "Two words", "en", "a"), (len(rows) + 1, "two  WORDS", "en", "a"), (len(rows) + 2, None, "en", "a")]
+
+
+@pytest.mark.parametrize("size", range(1, 60))
+def test_reach_is_what_similar_sets_must_share(size):
+    assert at.Alike().reach(size) == size - -(-4 * size // 5) + 1
+
+
+def test_stage_leaves_no_two_alike(spark, table, monkeypatch):
+    """Also if no shingle, or only a few, counts as common."""
+    rows = edited_rows()
+    far = [
+        (a, b) for a in rows for b in rows
+        if a[0] < b[0] and plain_alike(a[1], b[1]) and (sd.fingerprint(a[1]) ^ sd.fingerprint(b[1])).bit_count() > 3
+    ]
+    assert len(far) > 10
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    codes = [sd.fingerprint(r[1] or "") for r in rows]
+    for i, a in enumerate(rows):
+        for j in range(i):
+            if (codes[i] ^ codes[j]).bit_count() <= 3 or plain_alike(a[1], rows[j][1]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    for most in (at.MOST_COMMON, 5):
+        monkeypatch.setattr(at, "MOST_COMMON", most)
+        kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, table(rows), "").collect()}
+        assert kept == {i for i in range(len(rows)) if find(i) == i}
