@@ -229,8 +229,7 @@ def hot_and_cold(x: Inputs) -> DataFrame:
     """One day archived, the others hot, and late rows of the archived day hot as well: every row once."""
     root = scratch_path(x.spark, "history")
     table = _hot_zones(x, root)
-    first = dt.date(2024, 1, 1)
-    days = [first + dt.timedelta(days=n) for n in range(30)]
+    days = sorted({*table.days(dt.date.max), ARCHIVE_DAY})
     both = archive.history_union(table, "zip_aggregations", days, f"{root}/cold")
     return both.select("window_start", "zip_code", "load_mw", "meter_count", "peak_load_kw")
 
@@ -268,7 +267,9 @@ def _predicted(x: Inputs) -> jobs.PredictionTables:
     root = scratch_path(x.spark, "predictions")
     tables = jobs.PredictionTables(f"{root}/out")
     needed = x.readings.select("event_time", "zip_code", "power_kw")
-    edges = [dt.datetime(2024, 1, 1) + dt.timedelta(days=10 * n) for n in range(ARRIVALS)] + [dt.datetime(2025, 1, 1)]
+    first, last = needed.agg(F.min("event_time"), F.max("event_time")).first()
+    cuts = [] if first is None else [first + (last - first) * n / ARRIVALS for n in range(1, ARRIVALS)]
+    edges = [None, *cuts, None]
     for begin, end in zip(edges, edges[1:]):
         loads.in_range(needed, None, begin, end, "event_time").write.mode("append").parquet(f"{root}/in")
         stream = source.with_stream_time(x.spark.readStream.schema(ARRIVING).parquet(f"{root}/in"))
