@@ -44,9 +44,7 @@ class WordTokens:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(self.definition)
-        tokenizer.encode_special_tokens = True  # their names are ordinary text in a document
-        return tokenizer
+        return Tokenizer.from_str(self.definition)
 
     @cached_property
     def merges(self):
@@ -61,7 +59,9 @@ class WordTokens:
 
     @cached_property
     def _odd(self):
-        return re.compile(f"[^{PLAIN}]").search
+        """Finds what only the library treats rightly: signs that are not plain, and names of added tokens in any case."""
+        added = [re.escape(token.content) for token in self.library.get_added_tokens_decoder().values()]
+        return re.compile("|".join([f"[^{PLAIN}]", *(f"(?i:{name})" for name in added)])).search
 
     @cached_property
     def _letters(self) -> dict[int, str]:

@@ -73,3 +73,14 @@ def test_dictionary_of_many_and_of_few_samples():
 def test_empty_table(table, tokens):
     manifest = ts.write_store(table([]).limit(0), tokens, 2)
     assert manifest.count() == 0 and ts.read_store(manifest).count() == 0
+
+
+def test_names_of_added_tokens_as_the_plain_library(tokens):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
+    texts = ["hello <|endoftext|> world", "<|startoftext|>a", "A<|EndOfText|>b", "x <|endoftext|", "é <|endoftext|> 中"]
+    texts += [content.join("ab") for content in (t.content for t in plain.get_added_tokens_decoder().values())]
+    for text, ids in zip(texts, tokens.encode(texts)):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    assert 49407 in next(iter(tokens.encode(texts[:1])))
