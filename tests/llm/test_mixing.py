@@ -106,3 +106,36 @@ def test_no_words_and_no_rows(table):
 def test_main_path_is_native(table):
     plan = mixing.mixed_documents(table(rows_for({"a": 3})))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_query_returns_due_times_in_order(spark):
+    """Against bisection on the integral of the schedules, source by source."""
+    import hashlib
+
+    from meterflow.llm.queries import op3_mixing_sources
+    from tests.conftest import SMALL
+
+    rows = op3_mixing_sources(spark, SMALL).collect()
+    found = {r.doc_id: r for r in rows}
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "source").collect()
+    assert len(rows) == len(docs) == len(found)
+    sources = sorted({d.source for d in docs}, key=str.encode)
+    for place, source in enumerate(sources):
+        begin, end = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))[place % 3]
+        ids = [d.doc_id for d in docs if d.source == source]
+        before = 0
+        for doc_id in sorted(ids, key=lambda i: hashlib.md5(str(i).encode()).hexdigest()):
+            r = found[doc_id]
+            for n, due in enumerate((r.due_1, r.due_2)):
+                start = before + n * r.source_size
+                assert (due is not None) == (start < round(r.target) and r.size > 0)
+                if due is not None:
+                    low, high = 0.0, 1.0
+                    for _ in range(60):
+                        t = (low + high) / 2
+                        done = (begin * t + (end - begin) * t * t / 2) / ((begin + end) / 2)
+                        low, high = (t, high) if done < start / r.target else (low, t)
+                    assert due == pytest.approx(low, abs=1e-6)
+            before += r.size
+    order = [(r.due_1 is None, r.due_1 or 0.0, r.doc_id) for r in rows]
+    assert order == sorted(order)
