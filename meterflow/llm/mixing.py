@@ -1,7 +1,7 @@
 """Mixing sources to target weights along a time-varying curriculum. DataFrame functions only.
 
 Each source's documents form a stream in a fixed pseudo-random order, run through up to
-`MAX_PASSES` times and cut where the source's target is reached. Every source has a weight
+`MAX_PASSES` times and ended at the document end nearest to the source's target. Every source has a weight
 schedule over training time; its integral is the demand for the source's words up to a
 time, so inverting the integral at a document's place in the stream gives the time at
 which that document is due. Sorting by that time is the mixture.
@@ -98,12 +98,22 @@ def _due(fraction: Column, begin: Column, end: Column) -> Column:
     return 2.0 * area / (begin + F.sqrt(begin * begin + 2.0 * (end - begin) * area))
 
 
+def _digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def _identity(digest: Column) -> Column:
+    """128 bits that stand for a document's id, source and text."""
+    return F.md5(F.to_json(F.struct("doc_id", "source", digest.alias("digest"))).cast("binary"))
+
+
 def mix_plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """One row per document with its size, its source's size and target, and the words taken in each pass.
 
     `taken_1`, `taken_2` are the words of the first and second pass, `due_1`, `due_2` the
-    training times in [0, 1]; a pass that takes nothing is due never (null). Per source the
-    words taken sum to its target, rounded; at most one document a pass is cut.
+    training times in [0, 1]; a pass that takes nothing is due never (null). Documents are
+    taken whole: the one in which a source's target lies is taken if at least half of it is
+    ahead of the target, so a source's taken words miss its target by half a document at most.
 
     Null texts have size 0 and are not taken; null sources form one source, ordered last;
     a null id sorts before others with the same hash; equal rows are taken one after the
@@ -116,7 +126,7 @@ def mix_plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
             "source",
             word_count(F.col("text")).alias("size"),
             shuffled.alias("shuffled"),
-            F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("digest"),
+            _digest(F.col("text")).alias("digest"),
         ).withColumn("range", (F.conv(F.substring("shuffled", 1, 8), 16, 10).cast("long") * RANGES / (1 << 32)).cast("int")),
         "mix",
     )
@@ -128,7 +138,7 @@ def mix_plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     end = _pick(tuple(e for _, e in mix.schedules), F.col("place"))
     for number in range(1, MAX_PASSES + 1):
         start = F.col("before") + F.col("source_size") * (number - 1)
-        taken = F.least(F.greatest(budget - start, F.lit(0)), F.col("size"))
+        taken = F.when((budget - start) * 2 >= F.col("size"), F.col("size")).otherwise(F.lit(0))
         due = _due(start / F.nullif(F.col("target"), F.lit(0.0)), begin, end)
         placed = placed.withColumn(f"taken_{number}", taken)
         placed = placed.withColumn(f"due_{number}", F.when(F.col(f"taken_{number}") > 0, due))
@@ -142,35 +152,21 @@ def mix_plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mixture itself: a row for each time that a document is due, in training order.
 
-    Documents left out disappear, others appear once or twice. Rows that agree in id,
-    source and text are one document here, due as often as all of them together. Where a
-    source's target is reached inside a document, that occurrence keeps its first words
-    only, joined by single spaces, and `n_chars` (if there is such a column) follows.
+    Documents left out disappear, others appear once or twice, whole and unchanged. Rows
+    that agree in id, source and text are one document here, due as often as all of them
+    together.
     """
-    key, due, words, size, nth = fresh(docs, "_mix_key", "_mix_due", "_mix_words", "_mix_size", "_mix_nth")
+    key, due = fresh(docs, "_mix_key", "_mix_due")
     passes = [F.struct(F.col(f"taken_{n}").alias("words"), F.col(f"due_{n}").alias("due")) for n in range(1, MAX_PASSES + 1)]
     slots = (
         mix_plan(docs, mix)
         .filter(F.col("taken") > 0)
-        .select(F.xxhash64("doc_id", "source", "digest").alias(key), F.col("size").alias(size), F.explode(F.array(*passes)).alias("slot"))
-        .select(key, size, F.col("slot.words").alias(words), F.col("slot.due").alias(due))
-        .filter(F.col(words) > 0)
-    )
-    digest = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    once = (
-        docs.withColumn(key, F.xxhash64("doc_id", "source", digest))
-        .withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key)))
-        .filter(F.col(nth) == 1)
+        .select(_identity(F.col("digest")).alias(key), F.explode(F.array(*passes)).alias("slot"))
+        .filter(F.col("slot.words") > 0)
+        .select(key, F.col("slot.due").alias(due))
     )
-    cut = F.col(words) < F.col(size)
-    pieces = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    first_words = F.array_join(F.slice(pieces, 1, F.col(words).cast("int")), " ")
-    occurrences = once.join(slots, key).withColumn("text", F.when(cut, first_words).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        shown = F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        occurrences = occurrences.withColumn("n_chars", shown)
-    ordered = occurrences.repartitionByRange(F.col(due), F.col("doc_id")).sortWithinPartitions(due, "doc_id")
+    once = docs.withColumn(key, _identity(_digest(F.col("text")))).dropDuplicates([key])
+    ordered = once.join(slots, key).repartitionByRange(F.col(due), F.col("doc_id")).sortWithinPartitions(due, "doc_id")
     return ordered.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
@@ -182,7 +178,9 @@ WITH slim AS (
 ranked AS (
     SELECT source, sum(size)::BIGINT AS source_size,
            CASE (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3
-                WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
+                WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight,
+           1.5::DOUBLE - 0.5::DOUBLE * ((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3) AS schedule_begin,
+           0.5::DOUBLE + 0.5::DOUBLE * ((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3) AS schedule_end
     FROM slim GROUP BY source),
 levels AS (
     SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2.0::DOUBLE * source_size) OVER ahead, 0))
@@ -191,16 +189,26 @@ levels AS (
     WINDOW ahead AS (ORDER BY 2.0::DOUBLE * source_size / weight, encode(source) NULLS LAST
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 targets AS (
-    SELECT source, source_size,
+    SELECT source, source_size, schedule_begin, schedule_end,
            least(2.0::DOUBLE * source_size,
                  weight * (SELECT max(level_here) FROM levels WHERE level_here <= 2.0::DOUBLE * source_size / weight)) AS target
     FROM levels),
 streams AS (
-    SELECT s.doc_id, s.size, t.source_size, t.target, round(t.target)::BIGINT AS budget,
+    SELECT s.doc_id, s.size, t.source_size, t.target, round(t.target)::BIGINT AS budget, t.schedule_begin, t.schedule_end,
            coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.shuffled, s.doc_id NULLS FIRST, s.digest
                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
-    FROM slim s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, round(target, 6) AS target,
-       (least(greatest(budget - before, 0), size) + least(greatest(budget - before - source_size, 0), size))::BIGINT AS taken
-FROM streams
+    FROM slim s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+areas AS (
+    SELECT *,
+           before::DOUBLE / nullif(target, 0) * (schedule_begin + schedule_end) / 2.0::DOUBLE AS area_1,
+           (before + source_size)::DOUBLE / nullif(target, 0) * (schedule_begin + schedule_end) / 2.0::DOUBLE AS area_2,
+           CASE WHEN 2 * (budget - before) >= size THEN size ELSE 0 END AS taken_1,
+           CASE WHEN 2 * (budget - before - source_size) >= size THEN size ELSE 0 END AS taken_2
+    FROM streams)
+SELECT doc_id, size, source_size, round(target, 6) AS target, (taken_1 + taken_2)::BIGINT AS taken,
+       CASE WHEN taken_1 > 0 THEN round(2.0::DOUBLE * area_1 / (schedule_begin + sqrt(
+            schedule_begin * schedule_begin + 2.0::DOUBLE * (schedule_end - schedule_begin) * area_1)), 6) END AS due_1,
+       CASE WHEN taken_2 > 0 THEN round(2.0::DOUBLE * area_2 / (schedule_begin + sqrt(
+            schedule_begin * schedule_begin + 2.0::DOUBLE * (schedule_end - schedule_begin) * area_2)), 6) END AS due_2
+FROM areas
 """

@@ -37,10 +37,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(read_table(spark, sf_dir, "documents"))
-    due = [f"due_{n}" for n in range(1, mixing.MAX_PASSES + 1)]
-    shown = plan.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", *due)
+    due = [F.round(f"due_{n}", 6).alias(f"due_{n}") for n in range(1, mixing.MAX_PASSES + 1)]
     # In training order; a later pass is due after the first, and what is never due comes last.
-    return shown.orderBy(F.col(due[0]).asc_nulls_last(), "doc_id")
+    ordered = plan.orderBy(F.col("due_1").asc_nulls_last(), "doc_id")
+    return ordered.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", *due)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,11 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from meterflow.llm.alike_texts import Alike, alike_links
 from meterflow.llm.common import empty_if_null, fresh, stored
 from meterflow.llm.components import components
 from meterflow.llm.gray_index import GrayIndex
@@ -167,14 +166,10 @@ def near_links(codes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return ordered.mapInArrow(search, "a long, b long")
 
 
-def groups_of(prints: DataFrame, links: DataFrame | None = None) -> DataFrame:
-    """`(code, root, component_id)` for each distinct fingerprint of `prints` (`doc_id`, `code`).
-
-    `links` between fingerprints replace those of the near ones.
-    """
+def groups_of(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """`(code, root, component_id)` for each distinct fingerprint of `prints` (`doc_id`, `code`)."""
     classes = prints.groupBy("code").agg(F.min("doc_id").alias("first_id"))
-    links = near_links(classes.select("code")) if links is None else links
-    roots = components(links).withColumnRenamed("node", "code")
+    roots = components(near_links(classes.select("code"), radius)).withColumnRenamed("node", "code")
     rooted = classes.join(roots, "code", "left").withColumn("root", F.coalesce("root", "code"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return rooted.join(least, "root").select("code", "root", "component_id")
@@ -195,41 +190,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each_group(
-    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, alike: Alike | None = None
-) -> DataFrame:
-    """The documents, less all but one of every component: the one with the smallest id (nulls last) stays.
-
-    With `alike`, documents whose shingle sets are that alike are linked too, however far
-    apart their fingerprints are.
-    """
-    key, nth = fresh(docs, "_dedup_key", "_dedup_nth")
-    identity = F.xxhash64("doc_id", "text")
+def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The documents, less all but one of every component: the one with the smallest id (nulls last) stays."""
+    (key,) = fresh(docs, "_dedup_key")
+    parts = (F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("text").isNull().cast("string"), F.col("text"))
+    identity = F.md5(F.concat_ws(":", *parts).cast("binary"))
     prints = stored(
-        docs.select(
-            "doc_id",
-            identity.alias("key"),
-            F.xxhash64("text").alias("text_key"),
-            fingerprint_of("text", shingle).alias("code"),
-        ),
-        "fingerprints",
+        docs.select("doc_id", identity.alias("key"), fingerprint_of("text", shingle).alias("code")), "fingerprints"
     )
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
-    links = near_links(prints.select("code").distinct(), radius)
-    if alike is not None:
-        links = stored(links, "near-links")
-        grouped = groups_of(prints, links).select("code", "root")
-        placed = prints.select(F.col("text_key").alias("key"), "code").distinct().join(grouped, "code").select("key", "root")
-        texts = docs.select(F.xxhash64("text").alias("key"), "text")
-        links = links.unionByName(alike_links(texts, stored(placed, "text-roots"), alike))
-    roots = groups_of(prints, links).select("code", "root")
+    roots = groups_of(prints, radius).select("code", "root")
     classes = prints.groupBy("code").agg(F.min(order).alias("first"))
     kept = classes.join(roots, "code").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias(key))
-    # Rows that repeat an id and a text have one key, and one of them stays.
+    # Rows that repeat an id and a text have one key; one of them stays, and most go before the shuffle.
     return (
         docs.withColumn(key, identity)
         .join(kept, key)
-        .withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key)))
-        .filter(F.col(nth) == 1)
+        .dropDuplicates([key])
         .select(*[F.col(f"`{name}`") for name in docs.columns])
     )
