@@ -11,7 +11,9 @@ import public_tokenizers
 
 from meterflow.llm import (
     bpe,
+    conversations,
     doc_fingerprints,
+    hard_negatives,
     language_id,
     license_scan,
     mixing,
@@ -19,6 +21,7 @@ from meterflow.llm import (
     repetition,
     simhash_dedup,
     token_store,
+    toxicity,
     warc,
 )
 from meterflow.llm.common import read_table
@@ -77,6 +80,22 @@ def op10_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    repairs = conversations.conversation_repairs(conversations.damaged(rows))
+    return conversations.with_every_conversation(repairs, rows)
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -90,7 +109,15 @@ QUERIES: dict[str, Query] = {
         op8_license_scan,
         op9_document_fingerprints,
         op10_repetition_rules,
+        op11_hard_negatives,
+        op12_conversation_repair,
+        op13_toxicity,
     )
 }
 
-SQL: dict[str, str] = {"op3_mixing_sources": mixing.SQL, "op6_warc": warc.SQL}
+SQL: dict[str, str] = {
+    "op3_mixing_sources": mixing.SQL,
+    "op6_warc": warc.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
+    "op12_conversation_repair": conversations.SQL,
+}

@@ -1,0 +1,115 @@
+import math
+import random
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+
+from meterflow.llm import hard_negatives as hn
+from meterflow.llm import queries
+from meterflow.llm.common import prepare
+from meterflow.llm.strassen import product
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int, score double, q string, anchor bigint, block int"
+
+
+@pytest.mark.parametrize("shape", [(1, 1, 1), (40, 64, 70), (130, 257, 99), (33, 1, 200), (0, 5, 3), (3, 0, 2), (200, 200, 200)])
+@pytest.mark.parametrize("largest", [300, 1 << 29])
+def test_product_is_exact(shape, largest):
+    rng = np.random.default_rng(sum(shape))
+    n, k, m = shape
+    a, b = rng.integers(-largest, largest, (n, k)), rng.integers(-largest, largest, (k, m))
+    want = [[sum(int(x) * int(y) for x, y in zip(row, column)) for column in b.T] for row in a]
+    assert product(a, b).tolist() == want
+
+
+def test_product_beyond_64_bits_is_refused():
+    huge = np.full((2, 4), 1 << 31)
+    with pytest.raises(OverflowError):
+        product(huge, huge.T * 2)
+    opposite = np.array([[1 << 31, 1 << 31]])
+    assert product(opposite * 2, np.array([[1 << 31], [-(1 << 31)]])).tolist() == [[0]]
+
+
+def plain(rows):
+    """Every anchor against every row."""
+    taking = []
+    for vec_id, vector, label, *_ in rows:
+        if label is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        moved = (label + 1) % 10 if vec_id is not None and vec_id % 7 == 0 else label
+        taking.append((vec_id, moved, tuple(math.floor(256 * x) for x in vector)))
+    taking = set(taking)
+    out = Counter()
+    key = lambda found: (-found[0], found[1] is None, found[1] or 0)
+    for anchor, label, q in taking:
+        if anchor is None or anchor % 100:
+            continue
+        scored = {(sum(x * y for x, y in zip(q, other)), i, kind) for i, kind, other in taking if (i, kind, other) != (anchor, label, q)}
+        positives = sorted({(s, i) for s, i, kind in scored if kind == label and i != anchor}, key=key)[:5]
+        for s, i in positives:
+            fits = {(n, j) for n, j, kind in scored if kind != label and 30 * s <= 100 * n <= 90 * s}
+            for rank, (n, j) in enumerate(sorted(fits, key=key)[:10], 1):
+                out[(anchor, i, rank, j, s, n)] += 1
+    return out
+
+
+def mixed_rows():
+    rng = random.Random(11)
+    rows = []
+    for i in range(1, 900):
+        center = [1.0, 0.5, -0.5, 0.25][i % 4]
+        vector = [round(rng.gauss(center, 0.4), 3) for _ in range(6)]
+        rows.append((i * 5, vector, rng.choice([0, 0, 0, 1, 2, 9])))
+    same = [0.5] * 6
+    rows += [(i, same, i % 3) for i in range(5000, 5200)]
+    rows += [
+        (None, same, 1), (None, same, 2), (None, None, None), (6000, None, 1), (6100, same, None), (6200, [None] * 6, 1),
+        (6300, [0.5, float("nan"), 0.0, 0.0, 0.0, 0.0], 1), (6400, [float("inf")] + [0.0] * 5, 0), (6500, [], 1), (6600, [0.5, 0.5], 2),
+        (6700, [0.0] * 6, 0), (6800, [-1.0] * 6, 0), (5100, same, 0), (5100, same, 0), (5000, same, 5000 % 3), (6900, [0.4] * 9, 1),
+    ]
+    return [(*row, 0.5, "q", 1, 2) for row in rows]
+
+
+def test_against_every_pair(spark, tmp_path, monkeypatch):
+    """With blocks, tiles and files so small that everything meets in parts."""
+    prepare(spark)
+    rows = mixed_rows()
+    spark.createDataFrame(rows, SCHEMA).repartition(5).write.parquet(f"{tmp_path}/embeddings.parquet")
+    monkeypatch.setattr(hn, "FILE_ROWS", 100)
+    found = Counter(map(tuple, queries.op11_hard_negatives(spark, str(tmp_path)).collect()))
+    assert found == plain(rows) and len(found) > 1000
+
+
+def test_same_as_sql(spark):
+    from tests.conftest import SMALL
+
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SMALL}/embeddings.parquet')")
+    want = connection.execute(queries.SQL["op11_hard_negatives"])
+    names = [column[0] for column in want.description]
+    found = queries.op11_hard_negatives(spark, SMALL)
+    assert Counter(map(tuple, found.select(*names).collect())) == Counter(want.fetchall())
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+
+
+@pytest.mark.parametrize("rows", [[], [(100, None, 1)], [(1, [0.5], 1), (2, [0.5], 1)], [(100, [0.5], 1)]])
+def test_nothing_to_mine(spark, tmp_path, rows):
+    spark.createDataFrame([(*row, 0.5, "q", 1, 2) for row in rows], SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert queries.op11_hard_negatives(spark, str(tmp_path)).collect() == []
+
+
+def test_heap_keeps_the_best():
+    best = hn.Best(np.array([0, 5]), 3)
+    rng = np.random.default_rng(1)
+    offered = set()
+    for _ in range(20):
+        row, score, ids = rng.integers(0, 2, 30), rng.integers(0, 12, 30), rng.integers(0, 40, 30)
+        fits = score >= best.floor[row]
+        offered |= {(int(r), int(s), int(i)) for r, s, i in zip(row, score, ids) if s >= (0, 5)[r]}
+        best.offer(row[fits], score[fits], ids[fits], np.zeros(fits.sum(), bool))
+    for r in (0, 1):
+        want = sorted(((s, i) for q, s, i in offered if q == r), key=lambda e: (-e[0], e[1]))[:3]
+        at = best.row == r
+        assert list(zip(best.score[at].tolist(), best.id[at].tolist())) == want
