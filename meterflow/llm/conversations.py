@@ -247,13 +247,13 @@ SQL = rf"""
 WITH RECURSIVE keyed AS (
     SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
            list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
-                          x -> ascii(x)::BIGINT) AS bytes
+                          lambda x: ascii(x)::BIGINT) AS bytes
     FROM conversations),
 kinds AS (
     SELECT conv_id, turn, role, text,
-           xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), (c, b) -> list_reduce(
+           xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: list_reduce(
                list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
-               (x, y) -> xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) % 20 AS kind
+               lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) % 20 AS kind
     FROM keyed),
 damaged AS (
     SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
@@ -270,7 +270,7 @@ lines AS (
                 WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
            row_number() OVER in_order AS n, lag(substr(role, 1, 1)) OVER in_order AS initial_before
     FROM trimmed
-    WINDOW in_order AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+    WINDOW in_order AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, occurrence)),
 priced AS (
     SELECT *, fault IN ('blank', 'duplicate') AS must_go, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM lines),
 counted AS (

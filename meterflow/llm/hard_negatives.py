@@ -248,14 +248,14 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, mining: Mining = Mining()
     )
 
 
-SQL = """
+SQL = r"""
 WITH slim AS (
     SELECT DISTINCT vec_id::BIGINT AS vec_id,
            CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END::BIGINT AS label,
-           list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
     FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 scored AS (
     SELECT DISTINCT a.vec_id AS anchor_id, a.label = c.label AS alike, c.vec_id AS id,
            list_inner_product(a.q, c.q)::BIGINT AS score
@@ -268,6 +268,6 @@ SELECT p.anchor_id, p.positive_id, n.id AS negative_id, p.positive_score, n.scor
        (row_number() OVER best)::INTEGER AS rank
 FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.alike
      AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
-QUALIFY row_number() OVER best <= 10
 WINDOW best AS (PARTITION BY p.anchor_id, p.positive_id, p.positive_score ORDER BY n.score DESC, n.id NULLS LAST)
+QUALIFY row_number() OVER best <= 10
 """
