@@ -71,6 +71,15 @@ STEPS = {
                CAST(sum(CAST(power_kw AS DECIMAL(18,2))) AS DOUBLE) / 10.0 AS grid_load_mw,
                avg(temperature_f) > 55 AS heatwave_active
         FROM readings GROUP BY 1, 2""",
+    "gaps": f"""
+        SELECT zip_code, event_time AS last_seen, next_time, {_bucket("next_time", 3600)} + INTERVAL 1 HOUR AS returned_window_end
+        FROM (SELECT zip_code, event_time, lead(event_time) OVER (PARTITION BY zip_code ORDER BY event_time) AS next_time
+              FROM readings)
+        WHERE next_time IS NULL OR next_time > event_time + INTERVAL 3 HOUR""",
+    "silences": """
+        SELECT zip_code, 'SILENT' AS status, last_seen + INTERVAL 3 HOUR AS changed_at, last_seen, returned_window_end FROM gaps
+        UNION ALL
+        SELECT zip_code, 'RETURNED', next_time, last_seen, returned_window_end FROM gaps WHERE next_time IS NOT NULL""",
     "minute_recent": """
         SELECT * FROM minute WHERE window_start >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 5 DAY""",
     "minute_surge_recent": """
@@ -568,6 +577,18 @@ QUERIES = {
         WHERE window_end <= {_WM.format(30)}""",
     "s_grid_wide": f"SELECT {_GRID} FROM grid WHERE window_end <= {_WM.format(6)}",
     "s_predictions": f"SELECT {_SCORED} FROM predicted WHERE window_end <= {_WM.format(30)}",
+    "s_predictions_stateful": f"SELECT {_SCORED} FROM predicted WHERE window_end <= {_WM.format(30)}",
+    "s_alerts_stateful": f"SELECT {_PAYLOAD} FROM alerts WHERE window_end <= {_WM.format(30)}",
+    "s_correlated_surge": f"""
+        SELECT * FROM ({_surge("trends")}) WHERE window_start + INTERVAL 6 HOUR <= {_WM.format(30)}""",
+    "s_stale_zones": f"""
+        SELECT zip_code, status, changed_at, last_seen FROM silences
+        WHERE returned_window_end <= {_WM.format(3)}
+           OR (status = 'SILENT' AND changed_at + INTERVAL 1 HOUR <= {_WM.format(3)})""",
+    "silences": """
+        SELECT zip_code, status, changed_at, last_seen FROM silences
+        WHERE returned_window_end IS NOT NULL OR changed_at <= TIMESTAMP '2024-01-31 00:00:00'""",
+    "s_unique_readings": "SELECT DISTINCT meter_id, event_time, zip_code FROM readings",
     "s_late_data": f"""
         SELECT window_start, window_end, zip_code, {_r("minute_load_kw")} FROM minute
         WHERE window_start >= TIMESTAMP '2024-01-16 00:00:00' AND window_end <= {_WM.format(30)}""",

@@ -17,7 +17,7 @@ from meterflow.session import scratch_path, stored
 from meterflow.sources import dimensions
 from meterflow.sources import readings as source
 from meterflow.sources.tables import FolderTable, write_dated
-from meterflow.streaming import jobs
+from meterflow.streaming import jobs, stateful
 
 AS_OF = dt.datetime(2024, 1, 31)
 ARCHIVE_RUN = dt.date(2024, 2, 9)
@@ -266,12 +266,8 @@ ARRIVALS = 3
 def _predicted(x: Inputs) -> jobs.PredictionTables:
     root = scratch_path(x.spark, "predictions")
     tables = jobs.PredictionTables(f"{root}/out")
-    needed = x.readings.select("event_time", "zip_code", "power_kw")
-    first, last = needed.agg(F.min("event_time"), F.max("event_time")).first()
-    cuts = [] if first is None else [first + (last - first) * n / ARRIVALS for n in range(1, ARRIVALS)]
-    edges = [None, *cuts, None]
-    for begin, end in zip(edges, edges[1:]):
-        loads.in_range(needed, None, begin, end, "event_time").write.mode("append").parquet(f"{root}/in")
+    for arrival in in_order(x):
+        arrival.write.mode("append").parquet(f"{root}/in")
         stream = source.with_stream_time(x.spark.readStream.schema(ARRIVING).parquet(f"{root}/in"))
         jobs.start_predictions(stream, tables, f"{root}/checkpoint", CFG, availableNow=True).awaitTermination()
     return tables
@@ -280,6 +276,37 @@ def _predicted(x: Inputs) -> jobs.PredictionTables:
 ARRIVING = "event_time TIMESTAMP_NTZ, zip_code STRING, power_kw DOUBLE"
 
 
+def _arriving(x: Inputs, arrivals: list[DataFrame], live: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Deliver frames of readings one after the other, each to a query that resumes from the same checkpoint."""
+    root = scratch_path(x.spark, "arrivals")
+    for arrival in arrivals:
+        arrival.write.mode("append").parquet(f"{root}/in")
+        stream = source.with_stream_time(x.spark.readStream.schema(arrival.schema).parquet(f"{root}/in"))
+        query = jobs.append_to_path(live(stream), f"{root}/out", f"{root}/checkpoint", availableNow=True)
+        query.awaitTermination()
+    return x.spark.read.parquet(f"{root}/out")
+
+
+def in_order(x: Inputs) -> list[DataFrame]:
+    """The readings in a few arrivals, in the order of time; those without a time come last."""
+    needed = x.readings.select("event_time", "zip_code", "power_kw")
+    first, last = needed.agg(F.min("event_time"), F.max("event_time")).first()
+    cuts = [] if first is None else [first + (last - first) * n / ARRIVALS for n in range(1, ARRIVALS)]
+    edges = [None, *cuts, None]
+    return [loads.in_range(needed, None, begin, end, "event_time") for begin, end in zip(edges, edges[1:])]
+
+
+def sent_twice(x: Inputs) -> DataFrame:
+    """Every reading twice at once, then the newest ones and some that are long closed again."""
+    readings = x.readings.select("meter_id", "event_time", "zip_code")
+    newest = readings.agg(F.max("event_time")).first()[0]
+    again = readings if newest is None else readings.filter(
+        (F.col("event_time") >= F.lit(newest - dt.timedelta(hours=5))) | (F.col("event_time") < F.lit(newest - dt.timedelta(days=20)))
+    )
+    arrivals = [readings.unionByName(readings), again]
+    return _arriving(x, arrivals, lambda stream: source.unique_readings(stream, CFG.grid_watermark))
+
+
 def late_data(x: Inputs) -> DataFrame:
     """Deliver the younger half of the readings first; of the older half only rows the watermark still admits count."""
     root = scratch_path(x.spark, "late")
@@ -357,6 +384,7 @@ REGISTRY: dict[str, Query] = {
     "grid_header": lambda x: status.grid_header(
         x.rolled.grid, x.rolled.zones, renewables.renewable_balance(x.aligned_state, CFG), x.capacity, CFG
     ),
+    "silences": lambda x: status.silences(x.readings, CFG, F.lit(AS_OF)),
     "stale_zones": lambda x: status.stale_zones(x.readings, F.lit(AS_OF), CFG),
     "prediction_history": lambda x: status.prediction_history(x.predictions),
     "prediction_history_zone": lambda x: status.prediction_history(x.predictions, DETAIL_ZONE, *SOME_DAYS),
@@ -396,6 +424,13 @@ REGISTRY: dict[str, Query] = {
     "s_grid_wide": lambda x: _streamed(x, jobs.grid_wide_stream(x.stream(), CFG)),
     "s_predictions": lambda x: _predicted(x).read(x.spark, "overload_predictions"),
     "s_alerts": lambda x: parsed_payload(_predicted(x).read(x.spark, "alerts")),
+    "s_predictions_stateful": lambda x: _arriving(x, in_order(x), lambda s: stateful.predictions_stream(s, CFG)),
+    "s_alerts_stateful": lambda x: parsed_payload(_arriving(x, in_order(x), lambda s: stateful.alerts_stream(s, CFG))),
+    "s_correlated_surge": lambda x: joined_zips(
+        _arriving(x, in_order(x), lambda s: stateful.correlated_surge_stream(s, CFG))
+    ),
+    "s_stale_zones": lambda x: _arriving(x, in_order(x), lambda s: stateful.silence_stream(s, CFG)),
+    "s_unique_readings": sent_twice,
     "s_late_data": late_data,
 }
 

@@ -92,7 +92,11 @@ def trend_forecast(minute: DataFrame, cfg: GridConfig, bounded: bool = False) ->
             "load_trend_slope": (load - _lag(cfg.slope_lag, w)) / float(cfg.slope_lag),
         }
 
-    rows = over_history(minute, columns, cfg, back=forecast_reach(cfg), bounded=bounded)
+    return with_forecasts(over_history(minute, columns, cfg, back=forecast_reach(cfg), bounded=bounded), cfg)
+
+
+def with_forecasts(rows: DataFrame, cfg: GridConfig) -> DataFrame:
+    """Loads ahead, if the slope holds."""
     load, slope = F.col(LOAD), F.col("load_trend_slope")
     return rows.withColumns(
         {
@@ -137,7 +141,11 @@ def overload_predictions(
     minute: DataFrame, cfg: GridConfig, capacity: DataFrame | None = None, bounded: bool = False
 ) -> DataFrame:
     """The prediction row: forecast, risk score, alert level, action, minutes left."""
-    rows = trend_forecast(minute, cfg, bounded)
+    return with_risk(trend_forecast(minute, cfg, bounded), cfg, capacity)
+
+
+def with_risk(rows: DataFrame, cfg: GridConfig, capacity: DataFrame | None = None) -> DataFrame:
+    """Score rows that have their forecasts."""
     if capacity is None:
         risk_limit, overload_limit = F.lit(cfg.risk_capacity_kw), F.lit(cfg.overload_capacity_kw)
     else:

@@ -102,10 +102,11 @@ def grid_wide_of(parts: DataFrame, cfg: GridConfig) -> DataFrame:
     return _grid_columns(grouped, edges, cfg)
 
 
-def minute_load(readings: DataFrame, cfg: GridConfig) -> DataFrame:
+def minute_load(readings: DataFrame, cfg: GridConfig, *also: Column) -> DataFrame:
+    """Load per zone and minute. A stream may ask for further columns of its `window`."""
     windows, edges = _by_window(_measured(readings, cfg), cfg.minute_window_s, "zip_code")
     grouped = windows.agg(exact_total("power_kw", cfg.load_decimals).alias("minute_load_kw"))
-    return grouped.select(*edges, "zip_code", "minute_load_kw")
+    return grouped.select(*edges, "zip_code", "minute_load_kw", *also)
 
 
 def grid_wide(readings: DataFrame, cfg: GridConfig) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from meterflow.config import GridConfig
@@ -30,31 +30,34 @@ def zip_trend(minute: DataFrame, cfg: GridConfig, bounded: bool = False) -> Data
 def surging_zones(minute: DataFrame, cfg: GridConfig, bounded: bool = False) -> DataFrame:
     rate = F.col("roc_3min")
     return (
-        zip_trend(minute, cfg, bounded)
-        .filter(rate > cfg.surge_significant_kw)
+        significant(zip_trend(minute, cfg, bounded), cfg)
         .select("window_start", "zip_code", "roc_3min", (rate > cfg.surge_surging_kw).cast("int").alias("is_surging"))
     )
 
 
+def significant(rows: DataFrame, cfg: GridConfig) -> DataFrame:
+    return rows.filter(F.col("roc_3min") > cfg.surge_significant_kw)
+
+
 def correlated_surge(
     minute: DataFrame, cfg: GridConfig, as_of: Column | None = None, ordered: bool = True
 ) -> DataFrame:
     """Windows in which several zones surge at once. A window has one row per zone, so counting rows counts zones."""
     recent = since(minute, as_of, cfg.surge_history_s)
-    together = (
-        surging_zones(recent, cfg, bounded=as_of is not None)
-        .groupBy("window_start")
-        .agg(
-            F.count(F.lit(1)).alias("surging_zones"),
-            F.sum("roc_3min").alias("total_kw"),
-            F.sort_array(F.collect_list("zip_code")).alias("affected_zips"),
-        )
-        .filter(F.col("surging_zones") >= cfg.surge_min_zones)
-    )
-    if ordered:
-        together = together.orderBy(F.col("window_start").desc())
+    zones = surging_zones(recent, cfg, bounded=as_of is not None)
+    together = joint_surges(zones.groupBy("window_start"), F.col("window_start"), cfg)
+    return together.orderBy(F.col("window_start").desc()) if ordered else together
+
+
+def joint_surges(zones: GroupedData, window_start: Column, cfg: GridConfig) -> DataFrame:
+    """Surging zones grouped by window: the windows with enough of them, and what that amounts to."""
+    together = zones.agg(
+        F.count(F.lit(1)).alias("surging_zones"),
+        F.sum("roc_3min").alias("total_kw"),
+        F.sort_array(F.collect_list("zip_code")).alias("affected_zips"),
+    ).filter(F.col("surging_zones") >= cfg.surge_min_zones)
     return together.select(
-        "window_start",
+        window_start.alias("window_start"),
         "surging_zones",
         to_mw(F.col("total_kw"), cfg).alias("total_surge_mw"),
         "affected_zips",

@@ -9,6 +9,7 @@ from meterflow.config import GridConfig
 from meterflow.functions import labels
 from meterflow.functions.exact import exact_total, percent
 from meterflow.operators.forecast import forecast_reach, trend_forecast, with_capacity
+from meterflow.operators.history import over_history
 from meterflow.operators.loads import in_range
 
 
@@ -100,6 +101,48 @@ def stale_zones(readings: DataFrame, as_of: Column, cfg: GridConfig) -> DataFram
     return newest.withColumn("is_stale", F.col("last_update") < limit)
 
 
+SILENT, RETURNED = "SILENT", "RETURNED"
+
+
+def seen_windows(readings: DataFrame, cfg: GridConfig, *also: Column) -> DataFrame:
+    """First and last event time per zone and short window: all that a search for gaps needs of the readings."""
+    if cfg.zip_window_s > cfg.stale_after_s:
+        raise ValueError("a zone may fall silent inside one window")
+    window = F.window("event_time", f"{cfg.zip_window_s} seconds")
+    return (
+        readings.groupBy(window, "zip_code")
+        .agg(F.min("event_time").alias("first_seen"), F.max("event_time").alias("last_seen"))
+        .select(F.col("window.start").alias("window_start"), "zip_code", "first_seen", "last_seen", *also)
+    )
+
+
+def silences(readings: DataFrame, cfg: GridConfig, as_of: Column | None = None) -> DataFrame:
+    """When zones fell silent, `stale_after_s` after a last reading, and when they returned.
+
+    `zip_code, status, changed_at, last_seen`. A zone that never returns is silent if its limit lies
+    before `as_of` (without it, always). Rows without a time count for nothing; readings
+    without a zone are one zone.
+    """
+    rows = over_history(
+        seen_windows(readings, cfg),
+        lambda w: {"before": F.lag("last_seen").over(w), "after": F.lead("first_seen").over(w)},
+        cfg,
+        back=1,
+        ahead=1,
+    )
+    limit = F.make_dt_interval(secs=F.lit(cfg.stale_after_s))
+    silent = rows.withColumn("changed_at", F.col("last_seen") + limit).filter(
+        (F.col("after") > F.col("changed_at"))
+        | F.col("after").isNull() & (F.lit(True) if as_of is None else F.col("changed_at") <= as_of)
+    )
+    returned = rows.filter(F.col("first_seen") > F.col("before") + limit)
+    return silent.select("zip_code", F.lit(SILENT).alias("status"), "changed_at", "last_seen").unionByName(
+        returned.select(
+            "zip_code", F.lit(RETURNED).alias("status"), F.col("first_seen").alias("changed_at"), F.col("before").alias("last_seen")
+        )
+    )
+
+
 def prediction_history(predictions: DataFrame, zone: str | None = None, start=None, end=None) -> DataFrame:
     return in_range(predictions, zone, start, end).select(
         "zip_code",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,27 @@ def apply_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not share the driver's folders or its import path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    # Spark serves the file from the driver, so a folder of the driver's own is right for it.
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="package-")), "package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors, as named in `spark.checkpoint.dir`.
 

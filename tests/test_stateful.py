@@ -1,0 +1,108 @@
+"""Streams that keep state per zone, against the batch operators; every slice is a restart from the checkpoint."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from meterflow import REFERENCE
+from meterflow.operators import forecast, loads, surge
+from meterflow.plans import status
+from meterflow.streaming import jobs, stateful
+from tests.conftest import START
+from tests.test_streams import Feed, at, readings_of, run_slices, three_hours
+
+CFG = REFERENCE.with_(history_chunk_s=600)
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path)
+
+
+def streamed(spark, feed, tmp_path, live, rows, count=4):
+    out = str(tmp_path / "out")
+
+    def start():
+        return jobs.append_to_path(live(feed.stream()), out, str(tmp_path / "checkpoint"), partitions=2, availableNow=True)
+
+    run_slices(feed, start, rows, count)
+    return spark.read.parquet(out)
+
+
+def same(ours, theirs):
+    return sorted(map(repr, ours.select(*theirs.columns).collect())) == sorted(map(repr, theirs.collect()))
+
+
+def test_predictions(spark, feed, tmp_path):
+    """Also with readings of no credible load, which give minutes without one."""
+    rows = three_hours()
+    rows = [(m, z, t, float("nan") if i % 37 < 5 else kw, f) for i, (m, z, t, kw, f) in enumerate(rows)]
+    found = streamed(spark, feed, tmp_path, lambda s: stateful.predictions_stream(s, CFG), rows)
+    batch = forecast.overload_predictions(loads.minute_load(readings_of(spark, rows), CFG), CFG)
+    assert batch.filter("minute_load_kw IS NULL").count() > 3
+    assert same(found, batch)
+    assert not (tmp_path / "out" / "carry").exists()
+
+
+def test_joint_surges(spark, feed, tmp_path):
+    rows = three_hours(seed=5)
+    found = streamed(spark, feed, tmp_path, lambda s: stateful.correlated_surge_stream(s, CFG), rows, count=3)
+    batch = surge.correlated_surge(loads.minute_load(readings_of(spark, rows), CFG), CFG)
+    assert batch.count() > 5
+    assert same(found, batch)
+
+
+def plain_silences(rows, until):
+    """Every gap of every zone."""
+    limit = dt.timedelta(seconds=CFG.stale_after_s)
+    times, out = {}, []
+    for _, zone, time, *_ in rows:
+        times.setdefault(zone, set()).add(time)
+    for zone, seen in times.items():
+        seen = sorted(seen)
+        for last, after in zip(seen, [*seen[1:], None]):
+            if after is None and last + limit <= until or after is not None and after - last > limit:
+                out.append((zone, "SILENT", last + limit, last))
+            if after is not None and after - last > limit:
+                out.append((zone, "RETURNED", after, last))
+    return sorted(out)
+
+
+def with_gaps():
+    """Zones that report every ten seconds, with gaps of all lengths around the limit; one falls silent for good."""
+    rows = []
+    for zone, every in (("a", 17), ("b", 5), ("c", 29), (None, 11)):
+        s = n = 0
+        while s < 3_000:
+            rows.append(("m", zone, at(s), 1.0, 80.0))
+            n += 1
+            s += 10 if n % every else 25 + 7 * (n % 5)
+    rows += [("m", "gone", at(s), 1.0, 80.0) for s in range(0, 600, 30)]
+    rows += [("m", "edge", at(s), 1.0, 80.0) for s in (0, 30, 60, 91, 121, 200)]
+    return sorted(rows, key=lambda row: row[2])
+
+
+def test_silences(spark, feed, tmp_path):
+    rows = with_gaps()
+    found = streamed(spark, feed, tmp_path, lambda s: stateful.silence_stream(s, CFG), rows, count=5)
+    events = sorted(
+        (r.zip_code, r.status, r.changed_at, r.last_seen) for r in found.filter("zip_code <=> NULL OR zip_code <> 'later'").collect()
+        if r.zip_code is not None
+    )
+    want = plain_silences([row for row in rows if row[1] is not None], START + dt.timedelta(days=1))
+    assert events == want and len(want) > 40
+    unnamed = [r for r in found.collect() if r.zip_code is None]
+    assert len(unnamed) == len(plain_silences([("m", "x", *row[2:]) for row in rows if row[1] is None], START + dt.timedelta(days=1)))
+
+
+def test_silences_in_a_batch(spark):
+    rows = with_gaps()
+    until = at(3_000)
+    found = status.silences(readings_of(spark, rows), CFG, F.lit(until)).filter("zip_code IS NOT NULL").collect()
+    assert sorted(map(tuple, found)) == plain_silences([row for row in rows if row[1] is not None], until)
+
+
+def test_windows_longer_than_the_limit_are_refused(spark):
+    with pytest.raises(ValueError, match="inside one window"):
+        status.silences(readings_of(spark, []), CFG.with_(zip_window_s=60))
