@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.session import scratch_path
+from meterflow.session import scratch_path, ship_package
 
 #: A word is a run of characters other than ASCII white space. `bytes.split()` splits the same way.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,27 +14,6 @@ BATCH_ROWS = "1000"
 BATCH_BYTES = str(16 << 20)
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, which need not share the driver's folders or its import path."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    # Spark serves the file from the driver, so a folder of the driver's own is right for it.
-    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="package-")), "package.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for folder, _, names in os.walk(package):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)
-
-
 def prepare(spark: SparkSession) -> None:
     """Make ready for Python work: the package on all workers, and small batches, since one document may be long."""
     ship_package(spark)

@@ -20,16 +20,16 @@ from pyspark.sql import functions as F
 from meterflow.llm.common import crc_remainder, empty_if_null, fresh
 from meterflow.llm.suffix_automaton import parse_table, phrases
 
-#: What a language is learned from: so many documents, the first characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 40, 1_000
+#: What a language is learned from: so many distinct texts, and of each so many pieces of so many characters.
+SAMPLE_DOCS, PIECES, PIECE_CHARS = 40, 4, 250
 #: Letters with a symbol of their own; others share a few by code block.
 LETTERS, SHARED = 90, 8
 SPACE, FIRST = 1, 2
 HOLDOUT = 5
 UNKNOWN = "und"
-#: Evidence beyond so many symbols makes no verdict surer.
+#: A score counts the evidence of so many symbols at most, else every longer text would score 1. It changes no verdict.
 SURE_AFTER = 50
-#: Texts of at least `LEAST` symbols that cost more bits per symbol resemble no learned language.
+#: By default, texts of at least `LEAST` characters that cost more bits per symbol resemble no learned language.
 LEAST, MOST_BITS = 100, 5.0
 
 
@@ -102,15 +102,26 @@ def model_from(samples: dict[str, list[str]]) -> LanguageModel:
     return model
 
 
+def sample_pieces(text: Column, h: Column) -> Column:
+    """Pieces of a text, joined: one from a hashed place in each of as many equal parts. Short texts are taken whole."""
+    width = F.length(text) / PIECES
+    spare = F.greatest(width - PIECE_CHARS, F.lit(0.0))
+    pieces = []
+    for n in range(PIECES):
+        shift = spare * F.pmod(F.xxhash64(h, F.lit(n)), F.lit(1_000)) / 1_000.0
+        pieces.append(F.substring(text, (F.floor(width * n + shift) + 1).cast("int"), F.lit(PIECE_CHARS)))
+    return F.when(F.length(text) <= PIECES * PIECE_CHARS, text).otherwise(F.concat_ws(" ", *pieces))
+
+
 def learn(docs: DataFrame) -> LanguageModel:
-    """Learn from the documents that aren't held out: per language those with the smallest hashes of their ids.
+    """Learn from the documents that aren't held out: per language the distinct texts with the smallest hashes.
 
-    The sample is bounded by `SAMPLE_DOCS` and `SAMPLE_CHARS` per language. Rows with a null
-    id, text or language teach nothing.
+    The sample is bounded by `SAMPLE_DOCS`, `PIECES` and `PIECE_CHARS` per language. Rows with
+    a null id or language, or without a letter, teach nothing; copies of a text count once.
     """
     known = docs.filter(
-        (crc_remainder(F.col("doc_id"), HOLDOUT) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()
-    ).select("lang", F.xxhash64("doc_id").alias("h"), "text")
+        (crc_remainder(F.col("doc_id"), HOLDOUT) != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
+    ).select("lang", F.xxhash64("text").alias("h"), "text")
     first = Window.partitionBy("lang").orderBy("h")
     lowest = known.select("lang", "h").distinct().withColumn("nth", F.row_number().over(first))
     bounds = lowest.filter(F.col("nth") <= SAMPLE_DOCS).groupBy("lang").agg(F.max("h").alias("bound")).collect()
@@ -118,7 +129,7 @@ def learn(docs: DataFrame) -> LanguageModel:
         return model_from({})
     limits = F.create_map(*[F.lit(part) for row in bounds for part in (row.lang, row.bound)])
     chosen = known.filter(F.col("h") <= F.element_at(limits, F.col("lang")))
-    texts = chosen.groupBy("lang", "h").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+    texts = chosen.groupBy("lang", "h").agg(F.min(sample_pieces(F.col("text"), F.col("h"))).alias("text"))
     samples: dict[str, list[str]] = {row.lang: [] for row in bounds}
     for row in sorted(texts.collect(), key=lambda row: (row.lang, row.h)):
         samples[row.lang].append(row.text)
@@ -152,9 +163,14 @@ def predicted_languages(docs: DataFrame) -> DataFrame:
     )
 
 
-def in_known_language(docs: DataFrame) -> DataFrame:
-    """The documents in a learned language: not those undetermined, nor longer ones that resemble no language."""
+def in_known_language(docs: DataFrame, least: int = LEAST, most_bits: float = MOST_BITS) -> DataFrame:
+    """The documents in a learned language: not those undetermined, nor longer ones that resemble no language.
+
+    Null texts and those without a letter go. Each row is judged by itself, so rows that
+    repeat an id or a text share its fate, and null ids don't matter; ties between languages
+    reject nothing. Without any labelled text all go. An empty table gives no rows.
+    """
     (verdict,) = fresh(docs, "_language")
     found = docs.withColumn(verdict, prediction(docs.sparkSession, learn(docs))(F.col("text")))
-    alien = (F.col(verdict)["n"] >= LEAST) & (F.col(verdict)["bits"] > MOST_BITS)
+    alien = (F.col(verdict)["n"] >= least) & (F.col(verdict)["bits"] > most_bits)
     return found.filter((F.col(verdict)["lang_pred"] != UNKNOWN) & ~alien).drop(verdict)

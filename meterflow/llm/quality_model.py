@@ -76,7 +76,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents with an accepted score."""
+    """The documents with an accepted score; exactly `ACCEPT` is accepted.
+
+    Null and empty texts are scored like any text without words. Each row is judged by
+    itself, so repeated rows share a fate and null ids don't matter. Without labels all stay.
+    """
     (mark,) = fresh(docs, "_quality")
     found = docs.withColumn(mark, score(docs.sparkSession, learn(docs, labels))(F.col("text")))
     return found.filter(F.col(mark) >= ACCEPT).drop(mark)

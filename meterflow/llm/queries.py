@@ -69,7 +69,7 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.license_scan(read_table(spark, sf_dir, "documents")).drop("spans")
+    return license_scan.license_scan(read_table(spark, sf_dir, "documents"))
 
 
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

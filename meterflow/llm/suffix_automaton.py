@@ -6,10 +6,10 @@ import numpy as np
 
 #: Fills up a piece: changes no state and ends no phrase.
 PAD = 0
-#: Symbols parsed in one go. A phrase never runs over the end of a piece.
-PIECE = 512
-#: Pieces walked side by side.
-ABREAST = 8_192
+#: Texts are walked in pieces of so many symbols, so many side by side.
+PIECE, ABREAST = 512, 8_192
+#: Symbols after which pieces that are walked again are looked through for those that are done.
+LOOK = 32
 
 
 def transitions(symbols: list[int]) -> list[dict[int, int]]:
@@ -63,25 +63,73 @@ def parse_table(symbols: list[int], width: int, base: int) -> np.ndarray:
 
 
 def phrases(table: np.ndarray, roots: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
-    """Number of phrases of each text (rows) in each language (columns; `roots` are their rows in the table)."""
+    """Number of phrases of each text (rows) in each language (columns; `roots` are their rows in the table).
+
+    Pieces of texts are walked side by side, each from the root. A phrase may run over the
+    end of a piece, so a piece whose predecessor did not end at the root is walked again from
+    where that ended, until it meets its first walk: from there on both are the same. If a
+    piece ends elsewhere by that, its successor is walked again too.
+    """
     counts = np.array([-(-len(text) // PIECE) for text in texts], np.int64)
     owner = np.repeat(np.arange(len(texts)), counts)
-    total = np.zeros((len(texts), len(roots)), np.int64)
     padded = np.full((int(counts.sum()), PIECE), PAD, np.uint8)
     at = 0
     for text, n in zip(texts, counts.tolist()):
         padded[at : at + n].reshape(-1)[: len(text)] = text
         at += n
-    for begin in range(0, len(padded), ABREAST):
-        pieces = np.ascontiguousarray(padded[begin : begin + ABREAST].T)
-        state = np.repeat(roots[:, None], pieces.shape[1], axis=1).astype(np.int32)
-        ended = np.zeros(state.shape, np.int32)
-        for symbols in pieces:
-            state += symbols
-            step = table[state]
-            sign = step >> 31
-            ended -= sign
-            state = step ^ sign
-        ended += state != roots[:, None]
-        np.add.at(total, owner[begin : begin + ABREAST], ended.T)
+    begin = np.repeat(roots[None, :].astype(np.int32), len(padded), axis=0)
+    end, ended = np.empty_like(begin), np.zeros(begin.shape, np.int64)
+    for first in range(0, len(padded), ABREAST):
+        part = slice(first, first + ABREAST)
+        end[part], ended[part] = _walk(table, padded[part], begin[part])
+    later = np.flatnonzero(owner[1:] == owner[:-1]) + 1  # pieces that continue a text
+    moved = later
+    while len(moved):
+        moved = moved[(begin[moved] != end[moved - 1]).any(axis=1)]
+        before = end[moved].copy()
+        for first in range(0, len(moved), ABREAST):
+            part = moved[first : first + ABREAST]
+            _walk_again(table, padded, part, begin, end, ended, end[part - 1])
+        changed = moved[(before != end[moved]).any(axis=1)]
+        moved = np.intersect1d(changed + 1, later)
+    total = np.zeros((len(texts), len(roots)), np.int64)
+    np.add.at(total, owner, ended)
+    last = np.cumsum(counts)[counts > 0] - 1
+    total[counts > 0] += end[last] != roots
     return total
+
+
+def _step(table: np.ndarray, state: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """States after a symbol each, and -1 where that ended a phrase."""
+    step = table[state + symbols]
+    sign = step >> 31
+    return step ^ sign, sign
+
+
+def _walk(table: np.ndarray, pieces: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where pieces end that begin in some states, and the phrases that ended in them."""
+    state, ended = np.ascontiguousarray(begin.T), np.zeros(begin.T.shape, np.int32)
+    for symbols in np.ascontiguousarray(pieces.T):
+        state, sign = _step(table, state, symbols)
+        ended -= sign
+    return state.T, ended.T
+
+
+def _walk_again(table, padded, part, begin, end, ended, carried) -> None:
+    """Begin pieces in the states carried into them instead; corrects `begin`, `end` and `ended`."""
+    old, new = np.ascontiguousarray(begin[part].T), np.ascontiguousarray(carried.T)
+    begin[part] = carried
+    left = np.arange(len(part))
+    more = np.zeros(new.shape, np.int64)
+    for at in range(0, PIECE, LOOK):
+        pieces = np.ascontiguousarray(padded[part[left], at : at + LOOK].T)
+        for symbols in pieces:
+            old, sign_old = _step(table, old, symbols)
+            new, sign_new = _step(table, new, symbols)
+            more[:, left] += sign_old - sign_new
+        apart = (old != new).any(axis=0)
+        old, new, left = old[:, apart], new[:, apart], left[apart]
+        if not len(left):
+            break
+    ended[part] += more.T
+    end[part[left]] = new.T

@@ -10,8 +10,8 @@ one range of ids, in ascending order:
     number of documents, place of the index    (2 * uint64) + "MTOK"
 
 All integers are little-endian. To read one document, read its index entry and its frame.
-The dictionary is trained on the serialised ids of a bounded sample and travels in the
-manifest; a reader compares its hash with each shard's.
+The dictionary is trained on the serialised ids of a bounded sample and stored once, in a
+table of one row beside the manifest; a reader compares its hash with each shard's.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +37,11 @@ from meterflow.session import scratch_path
 MAGIC, VERSION = b"MTOK", 1
 HEADER, FOOTER = struct.Struct("<4sBB32s"), struct.Struct("<QQ4s")
 INDEX_ENTRY = 8 + 1 + 8 + 8
-#: The dictionary: its size, and the documents and characters of each that it is trained on.
+#: The dictionary: its size, and the documents and characters of each (from a hashed place on) that it is trained on.
 DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_CHARS = 32_768, 2_000, 4_000
 LEVEL = 3
-#: Documents that one task reads at a time.
-SLICE_DOCS = 20_000
+#: Documents that are read in one go, and tasks at most for them; beyond, a task reads several slices.
+SLICE_DOCS, MOST_TASKS = 20_000, 20_000
 
 
 @dataclass(frozen=True)
@@ -62,6 +63,17 @@ class Layout:
         return zstandard.ZstdCompressionDict(self.dictionary) if self.dictionary else None
 
 
+class Store(NamedTuple):
+    """A manifest with a row per shard, and the one row that all shards share."""
+
+    manifest: DataFrame
+    dictionary: DataFrame
+
+    def layout(self) -> Layout:
+        row = self.dictionary.first()
+        return Layout(row.id_bytes, bytes(row.dictionary))
+
+
 def train_dictionary(samples: list[bytes]) -> bytes:
     """A dictionary for such samples; too few of them give none (empty)."""
     try:
@@ -73,7 +85,9 @@ def train_dictionary(samples: list[bytes]) -> bytes:
 def layout_for(docs: DataFrame, tokens: WordTokens, end: int) -> Layout:
     """Train the dictionary on the documents with the smallest hashes of their ids."""
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    rows = docs.join(chosen, "doc_id").groupBy("doc_id").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+    spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
+    piece = F.substring(F.col("text"), (F.pmod(F.xxhash64("doc_id"), spare) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    rows = docs.join(chosen, "doc_id").groupBy("doc_id").agg(F.min(piece).alias("text"))
     texts = [row.text or "" for row in sorted(rows.collect(), key=lambda row: row.doc_id)]
     width = 2 if max(tokens.library.get_vocab_size(), end + 1) <= 1 << 16 else 4
     samples = [np.append(ids, end).astype(f"<u{width}").tobytes() for ids in tokens.encode(texts)]
@@ -110,11 +124,11 @@ def _write_shard(path_of, rows, layout: Layout, tokens: WordTokens, end: int) ->
     return path, len(ids_), int(index[3].sum()), at + INDEX_ENTRY * len(ids_) + FOOTER.size
 
 
-MANIFEST = "shard int, path string, docs bigint, ids bigint, bytes bigint, id_bytes int, dictionary binary"
+MANIFEST = "shard int, path string, docs bigint, ids bigint, bytes bigint"
 
 
-def write_store(docs: DataFrame, tokens: WordTokens, end: int) -> DataFrame:
-    """Encode all documents and write them in the order of their ids; returns the manifest, one row per shard.
+def write_store(docs: DataFrame, tokens: WordTokens, end: int) -> Store:
+    """Encode all documents and write them in the order of their ids.
 
     Null texts are empty ones; null ids come last; rows with equal ids are ordered by the
     hashes of their texts. An empty table gives no shards.
@@ -130,14 +144,16 @@ def write_store(docs: DataFrame, tokens: WordTokens, end: int) -> DataFrame:
         layout, tokens = shared.value
         done = _write_shard(lambda: open_for_writing(folder, ".mtok"), batches, layout, tokens, end)
         if done:
-            row = (TaskContext.get().partitionId(), *done, layout.id_bytes, layout.dictionary)
-            kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            row = (TaskContext.get().partitionId(), *done)
+            kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             names = [field.split()[0] for field in MANIFEST.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     placed = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
-    return stored(placed.mapInArrow(write, MANIFEST), "token-manifest")
+    manifest = stored(placed.mapInArrow(write, MANIFEST), "token-manifest")
+    common = spark.createDataFrame([(layout.id_bytes, bytearray(layout.dictionary))], "id_bytes int, dictionary binary")
+    return Store(manifest, stored(common, "token-dictionary"))
 
 
 def _read_slice(path: str, first: int, last: int, layout: Layout) -> Iterator[tuple[int | None, bytes]]:
@@ -171,24 +187,31 @@ def read_document(path: str, place: int, layout: Layout) -> np.ndarray:
     return np.frombuffer(packed, layout.kind)
 
 
-def read_store(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
-    """`doc_id`, `start`, `n_tokens`, `ids_crc32` (and `ids`) of every document in a store's files."""
+def read_store(store: Store, with_ids: bool = False) -> DataFrame:
+    """`doc_id`, `start`, `n_tokens`, `ids_crc32` (and `ids`) of every document in a store's files.
+
+    Slices of shards are dealt out by a number of tasks that grows with them. Only a shard's
+    number and its count of ids meet in one place, to be summed up.
+    """
+    manifest = store.manifest
     ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    starts = manifest.select("shard", F.coalesce(F.sum("ids").over(ahead), F.lit(0)).alias("start"))
     slices = F.explode(F.sequence(F.lit(0).cast("long"), F.col("docs") - 1, F.lit(SLICE_DOCS).cast("long")))
+    number = manifest.agg(F.sum(F.ceil(F.col("docs") / SLICE_DOCS))).first()[0] or 1
     work = (
-        manifest.withColumn("start", F.coalesce(F.sum("ids").over(ahead), F.lit(0)))
+        manifest.join(starts, "shard")
         .withColumn("first", slices)
         .withColumn("last", F.least(F.col("first") + SLICE_DOCS, F.col("docs")))
-        .repartition("path", "first")
+        .repartitionByRange(min(number, MOST_TASKS), "shard", "first")
     )
+    shared = manifest.sparkSession.sparkContext.broadcast(store.layout())
     names = ["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int32())] * with_ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for task in batch.to_pylist():
-                layout = Layout(task["id_bytes"], task["dictionary"])
-                yield from _rows(task, layout)
+                yield from _rows(task, shared.value)
 
     def _rows(task: dict, layout: Layout) -> Iterator[pa.RecordBatch]:
         start = task["start"] + _ids_before(task["path"], task["first"])

@@ -22,15 +22,14 @@ from meterflow.session import scratch_path
 
 #: Payloads shorter than this are stored each time.
 LEAST_SHARED = 100
-SPLIT_BYTES = 32 << 20
+#: Bytes of one range, and tasks at most for the ranges; beyond, a task reads several.
+SPLIT_BYTES, MOST_TASKS = 32 << 20, 20_000
 READ_BYTES = 1 << 18
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1"
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_ID = "urn:x-page:"
-#: The longest header that a reader accepts.
-MOST_HEADER = 1 << 20
 END = b"\r\n\r\n"
 
 
@@ -72,8 +71,14 @@ def record(page_id: int | None, url: str | None, html: str, original: int | None
     return "\r\n".join(header).encode() + END + block + END
 
 
-def write_archives(pages: DataFrame) -> DataFrame:
-    """Write every page into archives, one per task; returns the manifest (`path`, `bytes`, `records`).
+MANIFEST = "path string, bytes bigint, records bigint, split_bytes bigint, starts array<int>"
+
+
+def write_archives(pages: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Write every page into archives, one per task; returns the manifest.
+
+    Besides an archive's bytes and records it states how many records start in each range of
+    `split_bytes`, so that a reader can tell whether it found them all.
 
     A null html is an empty payload and a null url an empty target. Rows that repeat an id
     are written each time: those with the smallest id of a payload all as responses. A
@@ -83,7 +88,7 @@ def write_archives(pages: DataFrame) -> DataFrame:
     folder = scratch_path(pages.sparkSession, "warc")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path, out, size, records = None, None, 0, 0
+        path, out, size, starts = None, None, 0, []
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
@@ -91,14 +96,16 @@ def write_archives(pages: DataFrame) -> DataFrame:
                 packer = zlib.compressobj(wbits=31)
                 member = packer.compress(record(row["page_id"], row["url"], row["html"], row["original"])) + packer.flush()
                 out.write(member)
+                starts += [0] * (size // split_bytes + 1 - len(starts))
+                starts[-1] += 1
                 size += len(member)
-                records += 1
         if out is not None:
             out.close()
-            yield pa.RecordBatch.from_pydict({"path": [path], "bytes": [size], "records": [records]})
+            starts += [0] * (-(-size // split_bytes) - len(starts))
+            entry = {"path": [path], "bytes": [size], "records": [sum(starts)], "split_bytes": [split_bytes]}
+            yield pa.RecordBatch.from_pydict(entry | {"starts": pa.array([starts], pa.list_(pa.int32()))})
 
-    written = with_originals(pages).mapInArrow(write, "path string, bytes bigint, records bigint")
-    return stored(written, "warc-manifest")
+    return stored(with_originals(pages).mapInArrow(write, MANIFEST), "warc-manifest")
 
 
 class _Source:
@@ -145,7 +152,8 @@ def _read_record(source: _Source) -> dict:
     """Read the member at the source's place and go past it.
 
     The payload is hashed while it is inflated, so a record of any length takes one piece
-    of memory. Raises NotARecord, with the place unchanged, if no header can be decoded.
+    of memory besides its header. What does not begin with a version line raises NotARecord,
+    with the place unchanged; what does is read as a record, however long its header is.
     """
     inflate = zlib.decompressobj(wbits=31)
     start = source.held
@@ -156,7 +164,7 @@ def _read_record(source: _Source) -> dict:
             head += inflate.decompress(packed, READ_BYTES)
         except zlib.error as error:
             raise NotARecord from error
-        if not VERSION.startswith(head[: len(VERSION)]) or len(head) > MOST_HEADER:
+        if not (VERSION + b"\r\n").startswith(head[: len(VERSION) + 2]):
             raise NotARecord
         packed = inflate.unconsumed_tail
         if END not in head and not packed:
@@ -226,32 +234,41 @@ def _page(found: dict) -> tuple:
     return int(own) if own else None, size, digest, kind, int(refers) if refers else None
 
 
-def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """`page_id`, `payload_bytes`, `payload_digest`, `record_type`, `refers_to` of every record in the archives."""
-    begins = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long")))
-    ranges = manifest.select("path", "bytes", begins.alias("begin")).repartition("path", "begin")
+def read_archives(manifest: DataFrame) -> DataFrame:
+    """`page_id`, `payload_bytes`, `payload_digest`, `record_type`, `refers_to` of every record in the archives.
+
+    Ranges are dealt out by a number of tasks that grows with them. A range that does not
+    hold as many records as the manifest states raises an error.
+    """
+    ranges = manifest.select("path", "bytes", "split_bytes", F.posexplode("starts").alias("place", "records"))
+    number = manifest.agg(F.sum(F.size("starts"))).first()[0] or 1
+    dealt = ranges.repartitionByRange(min(number, MOST_TASKS), "path", "place")
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for task in batch.to_pylist():
+                begin = task["place"] * task["split_bytes"]
+                end = min(begin + task["split_bytes"], task["bytes"])
                 with open_for_reading(task["path"]) as file:
-                    end = min(task["begin"] + split_bytes, task["bytes"])
-                    rows = []
-                    for found in records_in(file, task["begin"], end):
+                    rows, n = [], 0
+                    for found in records_in(file, begin, end):
                         rows.append(_page(found))
+                        n += 1
                         if len(rows) == int(BATCH_ROWS):
                             yield _batch(rows)
                             rows = []
                     yield _batch(rows)
+                if n != task["records"]:
+                    raise ValueError(f"{task['path']} from {begin} on: {n} records of {task['records']}")
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows)) or [[]] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     ddl = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
-    return ranges.mapInArrow(read, ddl)
+    return dealt.mapInArrow(read, ddl)
 
 
 SQL = """

@@ -14,20 +14,16 @@ def text_of(lang, seed, words=80):
 
 
 def plain_phrases(sample: list[int], text: list[int]) -> int:
-    """Greedy parse of every piece into longest substrings of the sample; an unknown symbol ends its phrase."""
+    """Greedy parse of a whole text into longest substrings of the sample; an unknown symbol ends its phrase."""
     joined = "".join(map(chr, sample))
-    total = 0
-    for at in range(0, len(text), sa.PIECE):
-        piece = "".join(map(chr, text[at : at + sa.PIECE]))
-        current = ""
-        for symbol in piece:
-            if current + symbol in joined:
-                current += symbol
-            else:
-                total += 1
-                current = symbol if symbol in joined else ""
-        total += bool(current)
-    return total
+    total, current = 0, ""
+    for symbol in "".join(map(chr, text)):
+        if current + symbol in joined:
+            current += symbol
+        else:
+            total += 1
+            current = symbol if symbol in joined else ""
+    return total + bool(current)
 
 
 def test_parse_against_substring_search():
@@ -41,10 +37,27 @@ def test_parse_against_substring_search():
     import numpy as np
 
     texts = [[rng.randint(1, 5) for _ in range(n)] for n in (0, 1, 5, 511, 512, 513, 1500)]
+    # Phrases that run over the ends of several pieces, and texts whose pieces never meet their first walk.
+    texts += [samples[0][:200] * 9, [1] * 2000, ([1, 2] * 300 + [3]) * 4, samples[1] * 30]
     found = sa.phrases(np.concatenate(tables), np.array(roots, np.int32), [np.array(t, np.uint8) for t in texts])
     assert found.tolist() == [[plain_phrases(s, t) for s in samples] for t in texts]
 
 
+@pytest.mark.parametrize("piece", [1, 2, 7, 64])
+def test_pieces_do_not_matter(piece, monkeypatch):
+    import numpy as np
+
+    rng = random.Random(piece)
+    sample = [rng.randint(1, 3) for _ in range(400)]
+    table, roots = sa.parse_table(sample, 5, 0), np.zeros(1, np.int32)
+    texts = [[rng.randint(1, 4) if rng.random() < 0.05 else sample[(i + k) % 400] for i in range(k * 13)] for k in range(40)]
+    texts = [np.array(t, np.uint8) for t in texts]
+    monkeypatch.setattr(sa, "PIECE", piece)
+    monkeypatch.setattr(sa, "ABREAST", 5)
+    monkeypatch.setattr(sa, "LOOK", 3)
+    assert sa.phrases(table, roots, texts)[:, 0].tolist() == [plain_phrases(sample, t.tolist()) for t in texts]
+
+
 def test_automaton_accepts_exactly_the_substrings():
     word = [1, 2, 1, 1, 2, 2, 1, 2, 1]
     after = sa.transitions(word)
@@ -116,3 +129,13 @@ def test_nothing_to_learn_from(table):
     rows = li.predicted_languages(table([(1, "some text", None, None)])).collect()
     assert [(r.lang_pred, r.score) for r in rows] == [("und", 0.0)]
     assert li.predicted_languages(table([]).limit(0)).count() == 0
+
+
+def test_texts_that_begin_alike(table):
+    """Languages whose texts share their first 1,100 characters differ only further on; copies take no one's place."""
+    shared = text_of("xx", 1, 400)[:1100]
+    rows = [(i, shared + " " + text_of(lang, i, 150), lang, "s") for i, lang in enumerate(["yy", "zz"] * 100)]
+    rows += [(1000 + i, shared, "yy", "s") for i in range(300)] + [(2000 + i, "12 34", "zz", "s") for i in range(300)]
+    found = {r.doc_id: r for r in li.predicted_languages(table(rows)).collect()}
+    held = [row for row in rows[:200] if found[row[0]].held_out]
+    assert len(held) > 25 and all(found[i].lang_pred == lang for i, _, lang, _ in held)

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from meterflow.llm import token_store as ts
 from meterflow.llm.word_tokens import WordTokens
@@ -30,8 +31,8 @@ def test_ids_as_the_library(tokens):
 
 def test_round_trip_of_odd_rows(table, odd_rows, tokens):
     docs = table(odd_rows + [(1000 - i, prose(i, 40)) for i in range(300)])
-    manifest = ts.write_store(docs, tokens, 2)
-    rows = sorted(ts.read_store(manifest, with_ids=True).collect(), key=lambda r: r.start)
+    store = ts.write_store(docs, tokens, 2)
+    rows = sorted(ts.read_store(store, with_ids=True).collect(), key=lambda r: r.start)
     start = 0
     ids_of = {}
     for doc_id, text in ((r.doc_id, r.text) for r in docs.collect()):
@@ -41,26 +42,30 @@ def test_round_trip_of_odd_rows(table, odd_rows, tokens):
         assert r.start == start and r.n_tokens == len(r.ids) and r.ids in ids_of[r.doc_id]
         assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
         start += r.n_tokens
-    assert sum(r.ids for r in manifest.collect()) == start
+    assert sum(r.ids for r in store.manifest.collect()) == start
 
 
 def test_slices_and_single_documents(table, tokens, monkeypatch):
     monkeypatch.setattr(ts, "SLICE_DOCS", 7)
     docs = table([(i, prose(i, i % 9)) for i in range(100)])
-    manifest = ts.write_store(docs, tokens, 2)
-    rows = sorted(ts.read_store(manifest).collect())
+    store = ts.write_store(docs, tokens, 2)
+    rows = sorted(ts.read_store(store).collect())
     assert [r.doc_id for r in rows] == list(range(100))
     assert [r.start for r in rows] == np.cumsum([0] + [r.n_tokens for r in rows])[:-1].tolist()
-    shard = min(manifest.collect(), key=lambda r: r.shard)
-    layout = ts.Layout(shard.id_bytes, shard.dictionary)
+    shard = min(store.manifest.collect(), key=lambda r: r.shard)
+    layout = store.layout()
+    slices = sum(-(-r.docs // 7) for r in store.manifest.collect())
+    tasks = ts.read_store(store).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert slices >= 14 and tasks >= slices / 2
     for place in (0, shard.docs - 1):
         assert ts.read_document(shard.path, place, layout).tolist() == library_ids(tokens, prose(place, place % 9)) + [2]
 
 
 def test_other_dictionary_is_refused(table, tokens):
-    shard = ts.write_store(table([(1, "a b c")]), tokens, 2).first()
+    store = ts.write_store(table([(1, "a b c")]), tokens, 2)
+    shard = store.manifest.first()
     with pytest.raises(ValueError, match="not a shard"):
-        ts.read_document(shard.path, 0, ts.Layout(shard.id_bytes, b"another"))
+        ts.read_document(shard.path, 0, ts.Layout(store.layout().id_bytes, b"another"))
 
 
 def test_dictionary_of_many_and_of_few_samples():
@@ -71,8 +76,8 @@ def test_dictionary_of_many_and_of_few_samples():
 
 
 def test_empty_table(table, tokens):
-    manifest = ts.write_store(table([]).limit(0), tokens, 2)
-    assert manifest.count() == 0 and ts.read_store(manifest).count() == 0
+    store = ts.write_store(table([]).limit(0), tokens, 2)
+    assert store.manifest.count() == 0 and ts.read_store(store).count() == 0
 
 
 def test_names_of_added_tokens_as_the_plain_library(tokens):

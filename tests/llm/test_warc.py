@@ -43,7 +43,7 @@ ROWS = [
 
 
 def test_round_trip_same_as_sql(pages):
-    found = warc.read_archives(warc.write_archives(pages(ROWS)), split_bytes=100).collect()
+    found = warc.read_archives(warc.write_archives(pages(ROWS), split_bytes=100)).collect()
     frame = pd.DataFrame(ROWS, columns=["page_id", "url", "html"])
     connection = duckdb.connect()
     connection.register("pages", frame)
@@ -106,3 +106,34 @@ def test_damage_is_reported():
     data = packer.compress(warc.record(1, "u", os.urandom(40_000).hex(), None)) + packer.flush()
     with pytest.raises(ValueError, match="cut off"):
         list(warc.records_in(io.BytesIO(data[:-5000]), 0, len(data)))
+
+
+def tasks_with_rows(df):
+    from pyspark.sql import functions as F
+
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_ranges_are_read_by_many_tasks(pages):
+    rows = [(i, "u", random.Random(i).randbytes(1500).hex()) for i in range(400)]
+    manifest = warc.write_archives(pages(rows), split_bytes=16_000)
+    ranges = sum(len(row.starts) for row in manifest.collect())
+    found = warc.read_archives(manifest)
+    assert ranges > 30 and tasks_with_rows(found) >= ranges / 2
+    assert Counter(r.page_id for r in found.collect()) == Counter(range(400))
+
+
+def test_header_of_any_length(pages):
+    rows = [(1, "u", "a" * 200), (2, "x" * 2_000_000, "b" * 200), (3, "u", "c" * 200)]
+    for split in (100, 1 << 20):
+        found = warc.read_archives(warc.write_archives(pages(rows).coalesce(1), split_bytes=split)).collect()
+        assert sorted((r.page_id, r.payload_bytes) for r in found) == [(1, 200), (2, 200), (3, 200)]
+
+
+def test_missing_records_are_reported(pages):
+    from pyspark.sql import functions as F
+
+    manifest = warc.write_archives(pages(ROWS).coalesce(1))
+    claimed = manifest.withColumn("starts", F.transform("starts", lambda n: n + 1))
+    with pytest.raises(Exception, match="records of"):
+        warc.read_archives(claimed).collect()
