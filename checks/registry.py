@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow import FIXTURE as CFG
@@ -25,6 +25,7 @@ ARCHIVE_DAY = dt.date(2024, 1, 10)
 DETAIL_ZONE = "00007"
 SOME_DAYS = (dt.datetime(2024, 1, 5, 6), dt.datetime(2024, 1, 20))
 SOME_WEEK = (dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 12))
+SOME_DATES = (dt.date(2024, 1, 6), dt.date(2024, 1, 21))
 PLACES = 6
 
 Query = Callable[["Inputs"], DataFrame]
@@ -120,9 +121,12 @@ class Inputs:
         }
 
     def counted_tables(self) -> dict[str, archive.DatedTable]:
-        """The same to count only: there is a prediction for every minute row, so the day's minutes are enough."""
-        of_day = archive.day_slice(self.readings, ARCHIVE_DAY, "event_time")
-        return self.day_tables() | {"predictions": archive.DatedTable(loads.minute_load(of_day, CFG))}
+        """The same to count only: the day's predictions need the readings that their frames reach back to."""
+        reach = dt.timedelta(seconds=forecast.forecast_reach(CFG) * CFG.minute_window_s)
+        day = dt.datetime.combine(ARCHIVE_DAY, dt.time())
+        near = loads.in_range(self.readings, None, day - reach, day + dt.timedelta(days=1), "event_time")
+        predictions = forecast.overload_predictions(loads.minute_load(near, CFG), CFG, bounded=True)
+        return self.day_tables() | {"predictions": archive.DatedTable(predictions)}
 
 
 def as_messages(readings: DataFrame) -> DataFrame:
@@ -200,12 +204,12 @@ def export_day(x: Inputs) -> DataFrame:
     )
 
 
-def compacted(x: Inputs) -> DataFrame:
+def compacted(x: Inputs, layout: str = "zone") -> DataFrame:
     root = scratch_path(x.spark, "compact")
     return _union(
         [
             archive.compact_day(
-                _stored_day(x, root, name, table), f"{root}/staging", name, ARCHIVE_DAY, CFG, table.time
+                _stored_day(x, root, name, table), f"{root}/staging", name, ARCHIVE_DAY, CFG, table.time, layout
             )
             for name, table in x.day_tables().items()
         ]
@@ -225,6 +229,84 @@ def _hot_zones(x: Inputs, root: str) -> FolderTable:
     return table
 
 
+#: Days that are exported one by one where a query works on several segments.
+SEGMENT_DAYS = [ARCHIVE_DAY + dt.timedelta(days=n) for n in range(3)]
+
+
+def _segments(x: Inputs, root: str, name: str, rows: DataFrame, layout: str = "zone") -> DataFrame:
+    """Export some days of a table as segments; returns its rows as they were stored before."""
+    kept = stored(rows, "segment-rows")
+    for day in SEGMENT_DAYS:
+        archive.export_segment(archive.day_slice(kept, day), root, name, day, 0, CFG, "window_start", layout=layout)
+    return kept
+
+
+def archived_zone_history(x: Inputs) -> DataFrame:
+    """One zone's load history from the archive alone, from the files that may hold it."""
+    root = scratch_path(x.spark, "archived")
+    schema = _segments(x, root, "minute_loads", x.minute, "zorder").schema.toDDL()
+    begin = dt.datetime.combine(SEGMENT_DAYS[0], dt.time(6))
+    end = dt.datetime.combine(SEGMENT_DAYS[-1], dt.time(12))
+    found = archive.archived_rows(x.spark, root, "minute_loads", schema, DETAIL_ZONE, begin, end)
+    return loads.load_history(found, CFG, 86_400)
+
+
+LIFE = CFG.with_(hot_days=5, warm_days=10, archive_days=15, delete_days=20)
+
+
+def planned_lifecycle(x: Inputs) -> DataFrame:
+    """What would be due if every day of readings were a segment of a table that was archived at once."""
+    days = x.readings.filter("event_time IS NOT NULL").select(F.to_date("event_time").alias("archive_date")).distinct()
+    rows = days.select(F.lit("raw_readings").alias("table_name"), "archive_date", F.lit(0).alias("run"), F.lit("warm").alias("tier"))
+    return archive.lifecycle_plan(rows, AS_OF.date(), LIFE)
+
+
+def lived(x: Inputs) -> DataFrame:
+    """Three segments of which one is young, one moves to the archive class and the oldest is deleted: what stays readable."""
+    root = scratch_path(x.spark, "lifecycle")
+    _segments(x, root, "zip_aggregations", x.zones)
+    cfg = CFG.with_(hot_days=18, warm_days=18, archive_days=19, delete_days=20)
+    archive.lifecycle(x.spark, {"zip_aggregations": "window_start"}, root, AS_OF.date(), cfg)
+    left = archive.segments(x.spark, root, "zip_aggregations")
+    homes = [
+        x.spark.read.parquet(s.path).select(F.lit(s.tier).alias("tier"), F.lit(s.day).alias("archive_date"), "zip_code", "meter_count")
+        for s in left
+        if s.path is not None
+    ]
+    return _union(homes)
+
+
+def archive_volume(x: Inputs) -> DataFrame:
+    """Rows and measured volume of an archived day; a file's bytes are the writer's, so only the price per GB is compared."""
+    root = scratch_path(x.spark, "volume")
+    day = stored(archive.day_slice(x.zones, ARCHIVE_DAY), "volume-day")
+    archive.export_segment(day, root, "zip_aggregations", ARCHIVE_DAY, 0, CFG, "window_start")
+    found = archive.stored_bytes(x.spark, root, "zip_aggregations", ARCHIVE_DAY)
+    return found.select("rows", "segments", (F.col("gb") > 0).alias("measured"), (F.col("monthly_savings") / F.col("gb")).alias("saved_per_gb"))
+
+
+def _dated(x: Inputs, rows: DataFrame, purpose: str) -> FolderTable:
+    root = scratch_path(x.spark, purpose)
+    write_dated(rows, root, "window_start", 0)
+    return FolderTable(x.spark, root, rows.schema.toDDL())
+
+
+def sketched(x: Inputs) -> DataFrame:
+    """Quantiles of response times from daily sketches, and whether their ranks are as near as the sketch promises."""
+    responses = stored(x.responses, "responses")
+    found = reports.response_time_quantiles(stored(reports.daily_sketches(responses), "sketches"))
+    exact = responses.filter("response_seconds IS NOT NULL").select(F.col("alert_level").alias("level"), "response_seconds")
+    ranked = found.join(exact, F.col("alert_level") == F.col("level"), "left").groupBy("alert_level", "alerts", "answered")
+
+    def near(name: str, q: float) -> Column:
+        """The share of values up to the found one, and of those below it, lie around the quantile."""
+        share = lambda test: F.count_if(test) / F.nullif(F.count("response_seconds"), F.lit(0))
+        upto, below = share(F.col("response_seconds") <= F.col(name)), share(F.col("response_seconds") < F.col(name))
+        return ((upto >= q - reports.SKETCH_ERROR) & (below <= q + reports.SKETCH_ERROR)).alias(f"{name}_near")
+
+    return ranked.agg(near("median_seconds", 0.5), near("p95_seconds", 0.95))
+
+
 def hot_and_cold(x: Inputs) -> DataFrame:
     """One day archived, the others hot, and late rows of the archived day hot as well: every row once."""
     root = scratch_path(x.spark, "history")
@@ -392,6 +474,8 @@ REGISTRY: dict[str, Query] = {
     "alert_history_zone": lambda x: status.alert_history(x.predictions, *SOME_DAYS, "HIGH", DETAIL_ZONE),
     "recent_alerts": lambda x: status.recent_alerts(x.predictions, CFG),
     "grid_tail": lambda x: status.grid_tail(x.grid, CFG),
+    "recent_alerts_dated": lambda x: status.recent_alerts_of(_dated(x, x.predictions, "dated-predictions"), CFG),
+    "grid_tail_dated": lambda x: status.grid_tail_of(_dated(x, x.grid, "dated-grid"), CFG),
     "zone_detail": lambda x: status.zone_detail(x.minute, DETAIL_ZONE, CFG),
     # reports
     "prediction_accuracy": lambda x: reports.prediction_accuracy(x.predictions, x.minute, CFG),
@@ -403,12 +487,24 @@ REGISTRY: dict[str, Query] = {
     "action_rate": lambda x: reports.action_rate(x.actions, CFG),
     "period_profile": lambda x: reports.period_profile(x.readings),
     "temp_correlation": lambda x: reports.temp_correlation(x.zones),
+    "temp_correlation_range": lambda x: reports.temp_correlation_range(
+        stored(reports.daily_moments(x.zones), "moments"), *map(F.lit, SOME_DATES)
+    ),
+    "prediction_accuracy_range": lambda x: reports.prediction_accuracy_range(
+        stored(reports.daily_errors(x.predictions, x.minute, CFG), "errors"), *map(F.lit, SOME_DATES)
+    ),
+    "response_time_quantiles": sketched,
     "report_csv": accuracy_csv,
     # archive
     "archive_date": archive_dates,
     "archive_slice": lambda x: archive.day_slice(x.readings, ARCHIVE_DAY, "event_time"),
     "archive_validate": lambda x: archive.archive_validate(x.counted_tables(), ARCHIVE_DAY, CFG),
     "compact_day": compacted,
+    "compact_day_zorder": lambda x: compacted(x, "zorder"),
+    "archived_zone_history": archived_zone_history,
+    "lifecycle_plan": planned_lifecycle,
+    "lifecycle_run": lived,
+    "archive_volume": archive_volume,
     "archive_export": export_day,
     "archive_late_rows": late_segments,
     "purge_retained": lambda x: archive.purge_retained(x.zones, ARCHIVE_DAY).select(

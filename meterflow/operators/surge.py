@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from meterflow.config import GridConfig
@@ -80,17 +80,18 @@ def heatwave_windows(grid: DataFrame, cfg: GridConfig) -> DataFrame:
     return numbered.withColumn("run", F.floor(seconds / cfg.grid_window_s) - F.col("place")).drop("place")
 
 
+def _event() -> dict[str, Column]:
+    """What is told of a run of hot windows."""
+    return {
+        "event_start": F.min("window_start"),
+        "event_end": F.max("window_end"),
+        "hot_windows": F.count(F.lit(1)),
+        "max_temp_f": F.max("avg_temp_f"),
+    }
+
+
 def heatwave_runs(grid: DataFrame, cfg: GridConfig) -> DataFrame:
-    return (
-        heatwave_windows(grid, cfg)
-        .groupBy("run")
-        .agg(
-            F.min("window_start").alias("event_start"),
-            F.max("window_end").alias("event_end"),
-            F.count(F.lit(1)).alias("hot_windows"),
-            F.max("avg_temp_f").alias("max_temp_f"),
-        )
-    )
+    return heatwave_windows(grid, cfg).groupBy("run").agg(*[column.alias(name) for name, column in _event().items()])
 
 
 def event_replay(
@@ -99,15 +100,12 @@ def event_replay(
     """Every minute row in which a heatwave was on, under the event it belongs to; or those of one event.
 
     Hot windows name the minute they fall into, so the lookup is an equality join. A
-    minute that touches two events is replayed in both.
+    minute that touches two events is replayed in both. Events are summed up beside their
+    windows, so the grid is gone through once.
     """
-    windows = heatwave_windows(grid, cfg)
-    runs = heatwave_runs(grid, cfg)
+    whole = Window.partitionBy("run")
+    windows = heatwave_windows(grid, cfg).withColumns({name: column.over(whole) for name, column in _event().items()})
     if event_start is not None:
-        runs = runs.filter(F.col("event_start") == F.lit(event_start))
-    minutes = windows.select("run", _bucket_start("window_start", cfg.minute_window_s).alias("window_start")).distinct()
-    return (
-        minutes.join(runs, "run")
-        .join(minute, "window_start")
-        .select("event_start", "event_end", "hot_windows", "max_temp_f", "window_start", "zip_code", LOAD)
-    )
+        windows = windows.filter(F.col("event_start") == F.lit(event_start))
+    minutes = windows.select("run", *_event(), _bucket_start("window_start", cfg.minute_window_s).alias("window_start"))
+    return minutes.distinct().join(minute, "window_start").select(*_event(), "window_start", "zip_code", LOAD)

@@ -29,9 +29,14 @@ def prediction_accuracy(
 ) -> DataFrame:
     """Mean accuracy in percent per zone and, under `ALL`, for the whole grid."""
     compared = since(forecast_against_actual(predictions, minute, cfg), as_of, days * 86_400)
-    by_zone = compared.groupBy("zip_code").agg(
-        F.count("relative_error").alias("forecasts"), F.sum("relative_error").alias("error")
+    return _accuracy(
+        compared.groupBy("zip_code").agg(
+            F.count("relative_error").alias("forecasts"), F.sum("relative_error").alias("error")
+        )
     )
+
+
+def _accuracy(by_zone: DataFrame) -> DataFrame:
     overall = by_zone.agg(
         F.lit(WHOLE_GRID).alias("zip_code"),
         F.coalesce(F.sum("forecasts"), F.lit(0)).alias("forecasts"),
@@ -140,6 +145,107 @@ def temp_correlation(loads: DataFrame) -> DataFrame:
     )
 
 
+def daily_moments(loads: DataFrame) -> DataFrame:
+    """Per day and zone what a correlation of load and temperature needs: counts, means and sums of squared differences.
+
+    Stored once per day, they answer for any range of days without its rows.
+    """
+    x, y = F.col("load_mw"), F.col("avg_temp_f")
+    both = x.isNotNull() & y.isNotNull()
+    a, b = F.when(both, x), F.when(both, y)
+    return loads.groupBy(F.to_date("window_start").alias("day"), "zip_code").agg(
+        F.count(F.lit(1)).alias("points"),
+        F.count(a).alias("n"),
+        F.avg(a).alias("mean_x"),
+        F.avg(b).alias("mean_y"),
+        (F.var_pop(a) * F.count(a)).alias("square_x"),
+        (F.var_pop(b) * F.count(a)).alias("square_y"),
+        (F.covar_pop(a, b) * F.count(a)).alias("cross"),
+    )
+
+
+_MOMENTS = ("mean_x", "mean_y", "square_x", "square_y", "cross")
+
+
+def _merged(a: Column, d: Column) -> Column:
+    """Moments of two sets of points, from those of each: what differs between the sets is added, nothing cancels."""
+    n = a["n"] + d["n"]
+    dx, dy, weight = d["mean_x"] - a["mean_x"], d["mean_y"] - a["mean_y"], a["n"] * d["n"] / n
+    return F.struct(
+        n.alias("n"),
+        (a["mean_x"] + dx * d["n"] / n).alias("mean_x"),
+        (a["mean_y"] + dy * d["n"] / n).alias("mean_y"),
+        (a["square_x"] + d["square_x"] + dx * dx * weight).alias("square_x"),
+        (a["square_y"] + d["square_y"] + dy * dy * weight).alias("square_y"),
+        (a["cross"] + d["cross"] + dx * dy * weight).alias("cross"),
+    )
+
+
+def _days_between(daily: DataFrame, start: Column | None, end: Column | None) -> DataFrame:
+    if start is not None:
+        daily = daily.filter(F.col("day") >= start)
+    return daily if end is None else daily.filter(F.col("day") < end)
+
+
+def temp_correlation_range(daily: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """`temp_correlation` of the days from `start` up to `end`, from their moments, merged in the order of days.
+
+    A zone has one small row per day. Zones whose load or temperature never changes have none.
+    """
+    days = F.sort_array(F.collect_list(F.when(F.col("n") > 0, F.struct("day", "n", *_MOMENTS))))
+    zero = F.struct(F.lit(0).cast("long").alias("n"), *[F.lit(0.0).alias(name) for name in _MOMENTS])
+    zones = _days_between(daily, start, end).groupBy("zip_code").agg(F.sum("points").alias("points"), days.alias("days"))
+    whole = zones.withColumn("m", F.aggregate("days", zero, _merged))
+    spread = F.nullif(F.sqrt(F.col("m.square_x") * F.col("m.square_y")), F.lit(0.0))
+    return whole.select("zip_code", "points", (F.col("m.cross") / spread).alias("temp_correlation"))
+
+
+def daily_errors(predictions: DataFrame, minute: DataFrame, cfg: GridConfig) -> DataFrame:
+    """Per day and zone the number of forecasts that came due and their summed relative error."""
+    compared = forecast_against_actual(predictions, minute, cfg)
+    return compared.groupBy(F.to_date("window_start").alias("day"), "zip_code").agg(
+        F.count("relative_error").alias("forecasts"), F.sum("relative_error").alias("error")
+    )
+
+
+def prediction_accuracy_range(daily: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """`prediction_accuracy` of the forecasts due from `start` up to `end`, from daily sums."""
+    return _accuracy(
+        _days_between(daily, start, end)
+        .groupBy("zip_code")
+        .agg(F.sum("forecasts").alias("forecasts"), F.sum("error").alias("error"))
+    )
+
+
+#: A merged sketch misses a quantile's rank by this share of all values at most, with 99 % confidence.
+SKETCH_SIZE, SKETCH_ERROR = 400, 0.0085
+
+
+def daily_sketches(responses: DataFrame) -> DataFrame:
+    """Per day and alert level the number of alerts and a sketch of the response times, in microseconds."""
+    micros = F.round(F.col("response_seconds") * 1e6).cast("long")
+    return responses.groupBy(F.to_date("alert_time").alias("day"), "alert_level").agg(
+        F.count(F.lit(1)).alias("alerts"),
+        F.count(micros).alias("answered"),
+        F.kll_sketch_agg_bigint(micros, F.lit(SKETCH_SIZE)).alias("sketch"),
+    )
+
+
+def response_time_quantiles(daily: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """Median and 95th percentile of the response times of a range of days, from their sketches alone."""
+    levels = _days_between(daily, start, end).groupBy("alert_level").agg(
+        F.sum("alerts").alias("alerts"),
+        F.sum("answered").alias("answered"),
+        F.kll_merge_agg_bigint(F.when(F.col("answered") > 0, F.col("sketch"))).alias("sketch"),
+    )
+    quantile = lambda q: F.when(
+        F.col("answered") > 0, F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)) / F.lit(1e6)
+    )
+    return levels.select(
+        "alert_level", "alerts", "answered", quantile(0.5).alias("median_seconds"), quantile(0.95).alias("p95_seconds")
+    )
+
+
 def write_csv(report: DataFrame, path: str) -> None:
     """Export a report as CSV with a header, one file per task of its plan."""
     report.write.mode("overwrite").option("header", True).csv(path)

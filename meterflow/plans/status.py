@@ -11,6 +11,7 @@ from meterflow.functions.exact import exact_total, percent
 from meterflow.operators.forecast import forecast_reach, trend_forecast, with_capacity
 from meterflow.operators.history import over_history
 from meterflow.operators.loads import in_range
+from meterflow.sources.tables import HotTable, newest_rows
 
 
 def _latest(df: DataFrame, measures: list[str]) -> DataFrame:
@@ -169,10 +170,19 @@ def alert_history(
     return rows.filter(F.col("alert_level").isin(wanted)).select(*ALERT_FIELDS)
 
 
+def published(predictions: DataFrame) -> DataFrame:
+    return predictions.filter(F.col("alert_level").isin(*labels.PUBLISHED_LEVELS))
+
+
 def recent_alerts(predictions: DataFrame, cfg: GridConfig) -> DataFrame:
     """The newest published alerts."""
-    severe = predictions.filter(F.col("alert_level").isin(*labels.PUBLISHED_LEVELS))
-    return severe.orderBy(F.col("window_end").desc(), "zip_code").limit(cfg.recent_alerts).select(*ALERT_FIELDS)
+    newest = published(predictions).orderBy(F.col("window_end").desc(), "zip_code")
+    return newest.limit(cfg.recent_alerts).select(*ALERT_FIELDS)
+
+
+def recent_alerts_of(table: HotTable, cfg: GridConfig) -> DataFrame:
+    """The same from stored predictions, reading back only as many days as hold them."""
+    return recent_alerts(newest_rows(table, published, cfg.recent_alerts), cfg)
 
 
 def grid_tail(grid: DataFrame, cfg: GridConfig) -> DataFrame:
@@ -184,6 +194,11 @@ def grid_tail(grid: DataFrame, cfg: GridConfig) -> DataFrame:
     )
 
 
+def grid_tail_of(table: HotTable, cfg: GridConfig) -> DataFrame:
+    """The same from stored grid totals, reading back only as many days as hold them."""
+    return grid_tail(newest_rows(table, lambda rows: rows, cfg.tail_points), cfg)
+
+
 def zone_detail(minute: DataFrame, zone: str, cfg: GridConfig) -> DataFrame:
     """The trend arithmetic behind one zone's newest forecasts.
 

@@ -7,6 +7,7 @@ remove exactly those, so rows that arrive in between are never touched.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,9 @@ class HotTable(Protocol):
     def files(self, day: dt.date) -> list[str]:
         """The data files of one day."""
 
+    def files_by_day(self) -> dict[dt.date, list[str]]:
+        """The data files of all days that have any, by one listing."""
+
     def home(self, day: dt.date) -> str:
         """The folder that new files of a day go to."""
 
@@ -45,6 +49,14 @@ class _ByFiles:
     def rows(self, day: dt.date) -> DataFrame:
         return self.read(self.files(day))
 
+    def files_by_day(self) -> dict[dt.date, list[str]]:
+        found: dict[dt.date, list[str]] = {}
+        for path in self._all_files():
+            days = [day for part in path.split("/") if (day := dates_in(part)) is not None]
+            if days:
+                found.setdefault(days[0], []).append(path)
+        return found
+
     def read(self, files: list[str]) -> DataFrame:
         if not files:
             return self.spark.createDataFrame([], self._stored_schema())
@@ -72,6 +84,10 @@ class CatalogTable(_ByFiles):
         self.changed()
         return sorted(self.spark.table(self.name).filter(F.col(DATE) == F.lit(day)).inputFiles())
 
+    def _all_files(self) -> list[str]:
+        self.changed()
+        return sorted(self.spark.table(self.name).inputFiles())
+
     def home(self, day: dt.date) -> str:
         root = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").filter("col_name = 'Location'").first().data_type
         return f"{root}/{DATE}={day.isoformat()}"
@@ -110,6 +126,9 @@ class FolderTable(_ByFiles):
     def files(self, day: dt.date) -> list[str]:
         return files_below(self.spark, f"{self.path}/{DATE}={day.isoformat()}")
 
+    def _all_files(self) -> list[str]:
+        return files_below(self.spark, self.path)
+
     def home(self, day: dt.date) -> str:
         return f"{self.path}/{DATE}={day.isoformat()}/{BATCH}={self.COMPACTED}"
 
@@ -117,6 +136,24 @@ class FolderTable(_ByFiles):
         pass
 
 
+def newest_rows(table: HotTable, wanted: Callable[[DataFrame], DataFrame], limit: int) -> DataFrame:
+    """Rows of the newest days of a table, as many days as hold `limit` wanted rows; of all days if they hold fewer.
+
+    Every row of a later day is newer than any of an earlier one, so what is newest among
+    these rows is newest in the table. The number of days doubles until they suffice.
+    """
+    days = table.days(dt.date.max)[::-1]
+    files: list[str] = []
+    begin, width = 0, 1
+    while True:
+        files += [path for day in days[begin : begin + width] for path in table.files(day)]
+        begin += width
+        rows = table.read(files)
+        if begin >= len(days) or wanted(rows).limit(limit).count() >= limit:
+            return rows
+        width = begin
+
+
 def dates_in(partition: str) -> dt.date | None:
     """The day that a partition's name states; None for other names and for rows without a date."""
     key, _, value = partition.partition("=")
@@ -157,16 +194,29 @@ def listed(spark: SparkSession, folder: str) -> list:
 
 def files_below(spark: SparkSession, folder: str) -> list[str]:
     """Data files at any depth; hidden ones and markers don't count."""
-    found = []
-    for status in listed(spark, folder):
-        path, name = status.getPath().toString(), status.getPath().getName()
-        if status.isDirectory():
-            found += files_below(spark, path)
-        elif not name.startswith(("_", ".")):
+    found, top = [], hadoop_path(spark, folder)
+    if not exists(spark, folder):
+        return found
+    prefix = len(file_system(spark, folder).getFileStatus(top).getPath().toString())
+    files = file_system(spark, folder).listFiles(top, True)
+    while files.hasNext():
+        path = files.next().getPath().toString()
+        if not any(part.startswith(("_", ".")) for part in path[prefix:].split("/")):
             found.append(path)
     return sorted(found)
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern matches."""
+    found = file_system(spark, pattern).globStatus(hadoop_path(spark, pattern))
+    return sorted(status.getPath().toString() for status in found or [])
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file, and the folders above it."""
+    file_system(spark, path).create(hadoop_path(spark, path), True).close()
+
+
 def bytes_of(spark: SparkSession, files: list[str]) -> int:
     return sum(file_system(spark, path).getFileStatus(hadoop_path(spark, path)).getLen() for path in files)
 
