@@ -87,3 +87,50 @@ def test_odd_rows(table, odd_rows):
     assert Counter((r.doc_id, *base_of(r)) for r in rows) == Counter((row[0], *plain(row[1])) for row in odd_rows)
     assert all(0 <= r.score <= 1 for r in rows)
     assert ls.license_scan(table([]).limit(0)).count() == 0
+
+
+def distance_anywhere(notice, text):
+    """Fewest edits that turn the notice into any part of the text, by the whole table of prefixes."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(notice, 1):
+        above, row = row, [i]
+        for j, b in enumerate(text, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (a != b)))
+    return min(row)
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        above, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_found_exactly_if_some_place_is_near_enough(scanner):
+    """Planted notices with fewer and more edits than the bound, against an edit distance over all places."""
+    rng = random.Random(9)
+    found_any = missed_any = 0
+    for number, (_, notice) in enumerate(scanner.notices):
+        for _ in range(12):
+            planted = edited(rng, notice, rng.randint(0, scanner.edits(notice) + 3))
+            joined = " ".join(f"{prose(rng.random(), 4)} {planted} {prose(rng.random(), 4)}".split())
+            spans = {n: (begin, end, edits) for n, begin, end, edits in scanner._fuzzy(joined)}
+            least = distance_anywhere(notice, joined)
+            assert (number in spans) == (least <= scanner.edits(notice)), (notice, joined)
+            if number in spans:
+                begin, end, edits = spans[number]
+                assert least <= distance(notice, joined[begin:end]) <= edits <= scanner.edits(notice)
+                found_any += 1
+            else:
+                missed_any += 1
+    assert found_any > 100 and missed_any > 30
+
+
+def test_notices_are_a_parameter(table):
+    scanner = ls.Scanner(notices={"beer": ("as long as you retain this notice you can do whatever you want",)})
+    docs = table([(1, "x As long as you retain this notice, you can do whatver you want. y"), (2, "released under the mit license")])
+    rows = {r.doc_id: r for r in ls.license_scan(docs, scanner).collect()}
+    assert rows[1].labels == "beer" and [(s.first_word, s.words, s.edits) for s in rows[1].spans] == [(1, 13, 1)]
+    assert rows[2].labels == "mit" and rows[2].spans == []

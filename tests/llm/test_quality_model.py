@@ -87,3 +87,30 @@ def test_statistics_by_hand():
     assert s["all_upper"] == pytest.approx(0.2) and s["adjacent"] == pytest.approx(0.2)
     assert s["repeated_lines"] == pytest.approx(0.5) and s["barred"] == pytest.approx(0.2)
     assert s["distinct"] == pytest.approx(0.4) and s["upper"] == pytest.approx(4 / 30)
+
+
+def test_splits_are_the_best_of_all():
+    """The first tree's root against every feature and threshold, the sums taken row by row."""
+    from meterflow.llm.boosted_trees import Boosting, edges_of, train
+
+    how = Boosting(trees=1, depth=1, bins=16, least=1.0)
+    for seed in range(25):
+        rng = np.random.default_rng(seed)
+        x = np.round(rng.normal(size=(120, 4)), 1).astype(np.float32)
+        y = (x[:, seed % 4] + rng.normal(scale=0.7, size=120) > 0.3).astype(float)
+        trees = train(x, y, how)
+        p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        slope, curve = y - p, np.full(120, p * (1 - p))
+
+        def gain(left):
+            if curve[left].sum() < how.least or curve[~left].sum() < how.least:
+                return 0.0
+            part = lambda rows: slope[rows].sum() ** 2 / (curve[rows].sum() + how.shrink)
+            return part(left) + part(~left) - part(np.ones(120, bool))
+
+        best = max(gain(x[:, f] <= t) for f in range(4) for t in edges_of(x[:, f], how.bins))
+        chosen = x[:, trees.feature[0, 0]] <= trees.threshold[0, 0]
+        assert gain(chosen) == pytest.approx(best, rel=1e-6)
+        for leaf, rows in ((0, chosen), (1, ~chosen)):
+            want = how.rate * slope[rows].sum() / (curve[rows].sum() + how.shrink)
+            assert trees.leaf[0, leaf] == pytest.approx(want)
