@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from hashlib import sha256
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -15,16 +17,19 @@ from pyspark.sql.types import IntegerType
 from meterflow.llm.common import BATCH_ROWS, stored
 
 BITS, RADIUS = 64, 3
-BLOCKS = RADIUS + 1
-BLOCK = BITS // BLOCKS
+#: Fingerprints are cut into so many blocks, up to so many fingerprints; the more there are, the longer keys have to be.
+BLOCKS = ((1 << 22, 4), (1 << 30, 5), (1 << 62, 6))
+#: Leading bits by which the tables' entries are dealt out.
+DEALT = 16
 #: A term is so many neighbouring words; one that occurs t times weighs SCALE * (1 + log2 t), rounded.
 TERM, SCALE = 2, 16
 #: Terms whose votes are counted at once, and fingerprint pairs compared at once.
 VOTES, PAIRS = 65_536, 1 << 20
 #: A table's entries under one key are dealt out in parts of about so many.
 PART = 100_000
-#: Ids are cut into so many ranges per shuffle partition, and at most into so many.
-RANGES, MOST_RANGES = 2, 10_000
+#: Ids are cut into ranges of about so many bytes of text, at least so many per shuffle partition. A range is a row on
+#: the driver; beyond the last number (some 6 TB of text) they grow instead.
+RANGE_BYTES, RANGES, MOST_RANGES = 64 << 20, 2, 100_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,8 +72,10 @@ def edited(text: str, following: str) -> str:
 
 
 def _ranges(docs: DataFrame) -> np.ndarray:
-    """Ids that cut the table into ranges of about equal size."""
-    wanted = min(MOST_RANGES, RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Ids that cut the table into ranges of about equal size, as many as its bytes ask for."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MOST_RANGES, max(least, size // RANGE_BYTES))
     cuts = docs.approxQuantile("doc_id", [i / wanted for i in range(1, wanted)], 0.2 / wanted)
     return np.unique(np.array(cuts, np.float64))
 
@@ -166,24 +173,71 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     return beside_next(docs).mapInArrow(compare, ddl)
 
 
-def _rotated(code: Column, bits: int) -> Column:
-    return code if not bits else F.shiftleft(code, bits).bitwiseOR(F.shiftrightunsigned(code, BITS - bits))
+@dataclass(frozen=True)
+class Layout:
+    """Tables of fingerprints cut into blocks: one table per choice of the blocks that lead.
+
+    Fingerprints within the radius differ in at most RADIUS blocks, so they agree in all the
+    leading blocks of some table. The first such blocks name the one table that counts the pair.
+    """
+
+    blocks: int
+
+    @property
+    def tables(self) -> list[tuple[int, ...]]:
+        return list(combinations(range(self.blocks), self.blocks - RADIUS))
+
+    def block(self, number: int) -> tuple[int, int]:
+        """Lowest bit and width of a block, the first one highest."""
+        high, low = (BITS * (self.blocks - n) // self.blocks for n in (number, number + 1))
+        return low, high - low
+
+    def places(self, table: int) -> dict[int, int]:
+        """Lowest bit of each block once the table's leading blocks stand in front."""
+        lead = self.tables[table]
+        at, found = BITS, {}
+        for number in [*lead, *(n for n in range(self.blocks) if n not in lead)]:
+            at -= self.block(number)[1]
+            found[number] = at
+        return found
+
+    def key_bits(self, table: int) -> int:
+        return sum(self.block(number)[1] for number in self.tables[table])
+
+    def permuted(self, code: Column, table: int) -> Column:
+        out = F.lit(0).cast("long")
+        for number, place in self.places(table).items():
+            low, width = self.block(number)
+            part = F.shiftrightunsigned(code, low).bitwiseAND(F.lit((1 << width) - 1))
+            out = out.bitwiseOR(F.shiftleft(part, place))
+        return out
+
+    def differing(self, table: int) -> list[tuple[np.uint64, np.uint64]]:
+        """Shift and mask of the permuted blocks in which a pair must differ, or an earlier table counts it."""
+        lead, places = self.tables[table], self.places(table)
+        others = [n for n in range(max(lead)) if n not in lead]
+        return [(np.uint64(places[n]), np.uint64((1 << self.block(n)[1]) - 1)) for n in others]
+
+
+def layout_for(codes: int) -> Layout:
+    return Layout(next(blocks for most, blocks in BLOCKS if codes <= most))
 
 
-def block_tables(codes: DataFrame) -> DataFrame:
-    """One entry per fingerprint and table: table t holds them permuted so that block t leads, and is keyed by that block."""
+def block_tables(codes: DataFrame, layout: Layout) -> DataFrame:
+    """One entry per fingerprint and table, permuted so that the table's blocks lead; `key` are the first bits of that."""
     entries = [
-        F.struct(F.lit(t).alias("table"), _rotated(F.col("code"), t * BLOCK).alias("permuted")) for t in range(BLOCKS)
+        F.struct(F.lit(t).alias("table"), layout.permuted(F.col("code"), t).alias("permuted"))
+        for t in range(len(layout.tables))
     ]
     return (
         codes.withColumn("e", F.explode(F.array(*entries)))
         .select("*", "e.*")
         .drop("e")
-        .withColumn("key", F.shiftrightunsigned("permuted", BITS - BLOCK))
+        .withColumn("key", F.shiftrightunsigned("permuted", BITS - DEALT))
     )
 
 
-def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _matches(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[pa.RecordBatch]:
     """Per searched fingerprint: the documents whose fingerprints lie within the radius, among those under its keys."""
     group, queries, permuted = None, None, None
     for batch in batches:
@@ -202,41 +256,50 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             elif cut > a:
                 queries, permuted = np.append(queries, codes[a:cut]), np.append(permuted, places[a:cut])
             if len(queries) and cut < b:
-                found.append((queries, _counts(permuted, places[cut:b], weight[cut:b], int(here[0]))))
+                found.append((queries, _counts(permuted, places[cut:b], weight[cut:b], layout, int(here[0]))))
         if found:
             all_queries, counts = (np.concatenate(column) for column in zip(*found))
             yield pa.RecordBatch.from_arrays([pa.array(all_queries), pa.array(counts)], ["code", "n_near"])
 
 
-def _counts(queries: np.ndarray, targets: np.ndarray, weight: np.ndarray, table: int) -> np.ndarray:
-    """Documents near each query. A pair that agrees in an earlier table's block too was counted there."""
+def _counts(queries: np.ndarray, targets: np.ndarray, weight: np.ndarray, layout: Layout, table: int) -> np.ndarray:
+    """Documents near each query. Targets are sorted, so those under a query's key are found by binary search."""
+    rest = np.uint64(BITS - layout.key_bits(table))
+    lowest = queries >> rest << rest
+    begin = np.searchsorted(targets, lowest, side="left")
+    sizes = np.searchsorted(targets, lowest | ((np.uint64(1) << rest) - np.uint64(1)), side="right") - begin
     counts = np.zeros(len(queries), np.int64)
-    step = max(1, PAIRS // len(targets))
-    for at in range(0, len(queries), step):
-        apart = queries[at : at + step, None] ^ targets[None, :]
+    ends, at = np.cumsum(sizes), 0
+    while at < len(queries):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + PAIRS, side="right")))
+        n = sizes[at:stop]
+        query = np.repeat(np.arange(at, stop), n)
+        target = np.arange(len(query)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[at:stop], n)
+        apart = queries[query] ^ targets[target]
         near = np.bitwise_count(apart) <= RADIUS
-        for earlier in range(table):
-            # Rotated left by `table` blocks, block t leads; the earlier ones come last, block 0 at BLOCK * (table - 1).
-            shift = np.uint64(BLOCK * (table - 1 - earlier))
-            near &= (apart >> shift & np.uint64((1 << BLOCK) - 1)) != 0
-        counts[at : at + step] = near @ weight
+        for shift, mask in layout.differing(table):
+            near &= (apart >> shift & mask) != 0
+        np.add.at(counts, query[near], weight[target[near]])
+        at = stop
     return counts
 
 
 def near_counts(codes: DataFrame, queries: DataFrame) -> DataFrame:
     """`(code, n_near)`: for each fingerprint of `queries`, the documents within the radius, itself included.
 
-    `codes` holds distinct fingerprints and their numbers of documents `n`. Keys with very
-    many fingerprints are dealt out in parts, to each of which the key's queries go.
+    `codes` holds distinct fingerprints and their numbers of documents `n`. Tables and the
+    length of their keys follow the number of fingerprints. First bits that very many share
+    are dealt out in parts, to each of which the queries with these bits go.
     """
-    targets = block_tables(codes)
+    layout = layout_for(codes.count())
+    targets = block_tables(codes, layout)
     sizes = targets.groupBy("table", "key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > PART)
     parts = sizes.select("table", "key", F.ceil(F.col("size") / PART).cast("int").alias("parts"))
     dealt = targets.join(parts, ["table", "key"], "left").withColumn(
         "part", F.pmod(F.xxhash64("code"), F.coalesce("parts", F.lit(1))).cast("int")
     )
     asked = (
-        block_tables(queries.select("code").distinct().withColumn("n", F.lit(0).cast("long")))
+        block_tables(queries.select("code").distinct().withColumn("n", F.lit(0).cast("long")), layout)
         .join(parts, ["table", "key"], "left")
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
     )
@@ -244,8 +307,9 @@ def near_counts(codes: DataFrame, queries: DataFrame) -> DataFrame:
     both = asked.select(*columns, F.lit(False).alias("target")).unionByName(
         dealt.select(*columns, F.lit(True).alias("target"))
     )
-    placed = both.repartition("table", "key", "part").sortWithinPartitions("table", "key", "part", "target")
-    found = placed.mapInArrow(_matches, "code bigint, n_near bigint")
+    placed = both.repartition("table", "key", "part").sortWithinPartitions("table", "key", "part", "target", "permuted")
+    # Entries of one key agree in their sign, so they are sorted as unsigned numbers too.
+    found = placed.mapInArrow(lambda batches: _matches(batches, layout), "code bigint, n_near bigint")
     return found.groupBy("code").agg(F.sum("n_near").alias("n_near"))
 
 
@@ -263,7 +327,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     are ignored.
     """
     rows = stored(compared_with_next(docs.select("doc_id", "text")), "fingerprints")
-    codes = rows.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    codes = stored(rows.groupBy("code").agg(F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
     asked = F.col("doc_id") % SEARCHED == 0
     near = near_counts(codes, rows.filter(asked))
     return rows.join(near, "code", "left").select(

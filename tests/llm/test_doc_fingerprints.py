@@ -50,6 +50,13 @@ def test_repeated_rows_follow_each_other(table):
     assert sorted(r.near_next == 1.0 for r in rows) == [False, False, True, True, True, True]
 
 
+def test_one_id_for_most_rows(table):
+    docs = [(7, prose(i, 4)) for i in range(200)] + [(i, prose(i, 5)) for i in range(10)]
+    found = df.document_fingerprints(table(docs).repartition(5)).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in docs)
+    assert Counter(r.n_chars for r in found) == Counter(len(text) for _, text in docs)
+
+
 def test_likeness_follows_the_text(table):
     docs = [(i, prose(i, 300)) for i in range(40)]
     rows = df.document_fingerprints(table(docs)).collect()
@@ -64,10 +71,37 @@ def test_frequent_terms_weigh_more():
     )
 
 
-@pytest.mark.parametrize("part", [3, 100_000])
-def test_search_counts_all_neighbours_once(spark, monkeypatch, part):
-    """Brute force over all pairs, also with keys dealt out in small parts."""
+@pytest.mark.parametrize("blocks", [4, 5, 6])
+def test_every_near_pair_meets_in_one_table_only(blocks):
+    """The table that counts a pair is the only one in which it agrees in the key and differs where it has to."""
+    layout = df.Layout(blocks)
+    rng = random.Random(blocks)
+    assert sum(layout.block(n)[1] for n in range(blocks)) == 64
+
+    def permuted(code, table):
+        out = 0
+        for number, place in layout.places(table).items():
+            low, width = layout.block(number)
+            out |= (code >> low & (1 << width) - 1) << place
+        return out
+
+    for _ in range(300):
+        a = rng.getrandbits(64)
+        b = a ^ sum(1 << bit for bit in rng.sample(range(64), rng.randint(0, 3)))
+        tables = []
+        for t in range(len(layout.tables)):
+            apart = permuted(a, t) ^ permuted(b, t)
+            if apart >> 64 - layout.key_bits(t) == 0 and all(apart >> int(s) & int(m) for s, m in layout.differing(t)):
+                tables.append(t)
+        assert len(tables) == 1
+
+
+@pytest.mark.parametrize(("part", "blocks"), [(3, 4), (100_000, 4), (3, 5), (100_000, 6)])
+def test_search_counts_all_neighbours_once(spark, monkeypatch, part, blocks):
+    """Brute force over all pairs, also with keys dealt out in small parts and with the tables of larger corpora."""
     monkeypatch.setattr(df, "PART", part)
+    monkeypatch.setattr(df, "BLOCKS", ((1 << 62, blocks),))
+    monkeypatch.setattr(df, "PAIRS", 50)
     rng = random.Random(6)
     center = rng.getrandbits(64)
     codes = {center ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(300)}
