@@ -138,6 +138,21 @@ STEPS = {
                p.p15 / 10.0 AS predicted_load_mw, a.solar_generation_mw, a.wind_generation_mw, a.battery_soc_pct,
                greatest(0.0, a.solar_generation_mw + a.wind_generation_mw - l.load_mw) AS renewable_surplus_mw
         FROM zone_loads l JOIN predicted p USING (zip_code, window_start) LEFT JOIN assets a USING (zip_code)""",
+    "predicted_recent": """
+        SELECT *, CASE WHEN score > 80 THEN 'CRITICAL' WHEN score > 60 THEN 'HIGH' WHEN score > 40 THEN 'MEDIUM'
+                       ELSE 'LOW' END AS alert_level
+        FROM (SELECT *, CASE WHEN slope > 20 THEN least(100.0, p15 / 2200.0 * 100) ELSE 0.0 END AS score
+              FROM (SELECT *, minute_load_kw + slope * 15 AS p15
+                    FROM (SELECT *, (minute_load_kw - lag(minute_load_kw, 5) OVER w) / 5.0 AS slope,
+                                 minute_load_kw - lag(minute_load_kw, 1) OVER w AS diff
+                          FROM minute
+                          WHERE window_start >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 102 HOUR
+                          WINDOW w AS (PARTITION BY zip_code ORDER BY window_start))))""",
+    "state_recent": """
+        SELECT l.window_start, l.zip_code, l.load_mw, l.avg_temp_f, p.score AS overload_risk_score,
+               p.p15 / 10.0 AS predicted_load_mw, a.solar_generation_mw, a.wind_generation_mw, a.battery_soc_pct,
+               greatest(0.0, a.solar_generation_mw + a.wind_generation_mw - l.load_mw) AS renewable_surplus_mw
+        FROM zone_loads l JOIN predicted_recent p USING (zip_code, window_start) LEFT JOIN assets a USING (zip_code)""",
     "aligned_state": """
         SELECT l.window_start, l.zip_code, l.load_mw, l.avg_temp_f, p.score AS overload_risk_score,
                p.p15 / 10.0 AS predicted_load_mw,
@@ -261,6 +276,23 @@ def _imminent(source: str) -> str:
         FROM {source} WHERE minutes < 60"""
 
 
+def _cards(loads: str, predicted: str) -> str:
+    return f"""
+        SELECT l.zip_code, l.window_start AS last_update, {_r("l.load_mw", "current_load_mw")},
+               {_r("l.load_mw * 10.0 / c.capacity_kw * 100", "capacity_utilization_pct")},
+               {_r("l.avg_temp_f", "avg_temp_f")}, l.meter_count,
+               CASE WHEN p.diff > 0 THEN 'UP' WHEN p.diff < 0 THEN 'DOWN' ELSE 'STABLE' END AS trend, p.alert_level,
+               CASE WHEN l.load_mw * 10.0 / c.capacity_kw * 100 > 95 THEN 'critical'
+                    WHEN l.load_mw * 10.0 / c.capacity_kw * 100 > 80 THEN 'high'
+                    WHEN l.load_mw * 10.0 / c.capacity_kw * 100 > 60 THEN 'elevated' ELSE 'normal' END AS capacity_band,
+               CASE WHEN l.avg_temp_f > 95 THEN 'hot' WHEN l.avg_temp_f >= 85 THEN 'warm' ELSE 'cool' END AS temp_band
+        FROM (SELECT *, row_number() OVER (PARTITION BY zip_code ORDER BY window_start DESC) AS n FROM {loads}) l
+             JOIN capacity c USING (zip_code)
+             LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY zip_code ORDER BY window_start DESC) AS n
+                        FROM {predicted}) p ON p.zip_code = l.zip_code AND p.n = 1
+        WHERE l.n = 1"""
+
+
 def _surge(source: str) -> str:
     return f"""
         SELECT window_start, count(*) AS surging_zones, {_r("sum(roc) / 10.0", "total_surge_mw")},
@@ -415,7 +447,7 @@ QUERIES = {
     + " FROM state",
     "reallocation_plan": _plan("state"),
     "reallocation_plan_recent": _plan(
-        "state", "window_start >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 12 HOUR"
+        "state_recent", "window_start >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 12 HOUR"
     ),
     "reallocation_plan_aligned": _plan("aligned_state"),
     "renewable_balance": f"""
@@ -451,20 +483,10 @@ QUERIES = {
         SELECT zip_code, window_start, {_r("minute_load_kw")}, {_r("capacity_kw")},
                {_r("minute_load_kw / 6.0 / capacity_kw * 100", "capacity_pct")}
         FROM minute JOIN capacity USING (zip_code) WHERE minute_load_kw / 6.0 / capacity_kw * 100 > 15""",
-    "zone_status": f"""
-        SELECT l.zip_code, l.window_start AS last_update, {_r("l.load_mw", "current_load_mw")},
-               {_r("l.load_mw * 10.0 / c.capacity_kw * 100", "capacity_utilization_pct")},
-               {_r("l.avg_temp_f", "avg_temp_f")}, l.meter_count,
-               CASE WHEN p.diff > 0 THEN 'UP' WHEN p.diff < 0 THEN 'DOWN' ELSE 'STABLE' END AS trend, p.alert_level,
-               CASE WHEN l.load_mw * 10.0 / c.capacity_kw * 100 > 95 THEN 'critical'
-                    WHEN l.load_mw * 10.0 / c.capacity_kw * 100 > 80 THEN 'high'
-                    WHEN l.load_mw * 10.0 / c.capacity_kw * 100 > 60 THEN 'elevated' ELSE 'normal' END AS capacity_band,
-               CASE WHEN l.avg_temp_f > 95 THEN 'hot' WHEN l.avg_temp_f >= 85 THEN 'warm' ELSE 'cool' END AS temp_band
-        FROM (SELECT *, row_number() OVER (PARTITION BY zip_code ORDER BY window_start DESC) AS n FROM zone_loads) l
-             JOIN capacity c USING (zip_code)
-             LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY zip_code ORDER BY window_start DESC) AS n
-                        FROM predicted) p ON p.zip_code = l.zip_code AND p.n = 1
-        WHERE l.n = 1""",
+    "zone_status": _cards("zone_loads", "predicted"),
+    "zone_status_recent": _cards(
+        "zone_loads WHERE window_start >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 102 HOUR", "predicted_recent"
+    ),
     "grid_header": f"""
         SELECT g.window_start, {_r("grid_load_mw", "total_grid_load_mw")}, active_meters, {_r("single_peak_kw")},
                {_r("g.avg_temp_f", "avg_temp_f")}, heatwave_active,
@@ -616,6 +638,9 @@ QUERIES = {
     "s_minute_load": f"""
         SELECT window_start, window_end, zip_code, {_r("minute_load_kw")} FROM minute
         WHERE window_end <= {_WM.format(30)}""",
+    "s_minute_load_table": f"""
+        SELECT window_start, window_end, zip_code, {_r("minute_load_kw")} FROM minute
+        WHERE window_end <= {_WM.format(30)}""",
     "s_grid_wide": f"SELECT {_GRID} FROM grid WHERE window_end <= {_WM.format(6)}",
     "s_predictions": f"SELECT {_SCORED} FROM predicted WHERE window_end <= {_WM.format(30)}",
     "s_predictions_stateful": f"SELECT {_SCORED} FROM predicted WHERE window_end <= {_WM.format(30)}",

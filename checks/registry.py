@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from meterflow import FIXTURE as CFG
 from meterflow.operators import forecast, loads, renewables, surge
 from meterflow.plans import archive, reports, status
-from meterflow.plans.live import LiveFrames, rolled_up
+from meterflow.plans.live import LiveFrames, live_frames, rolled_up
 from meterflow.session import scratch_path, stored
 from meterflow.sources import dimensions
 from meterflow.sources import readings as source
@@ -325,6 +326,18 @@ def late_segments(x: Inputs) -> DataFrame:
     return found.select("table_name", "archive_date", "run", "source_count", "exported_count")
 
 
+def _live(x: Inputs) -> LiveFrames:
+    """Over a look-back that is longer than the plan's by what a trend frame reaches back."""
+    seconds = CFG.renewable_recent_s + CFG.frame_rows * CFG.minute_window_s
+    return live_frames(x.readings, CFG, F.lit(AS_OF), seconds)
+
+
+def recent_plan(x: Inputs) -> DataFrame:
+    live = _live(x)
+    state = renewables.renewable_state(live.zones, live.predictions, x.assets, CFG, as_of=F.lit(AS_OF))
+    return renewables.reallocation_plan(state, CFG)
+
+
 def accuracy_csv(x: Inputs) -> DataFrame:
     path = scratch_path(x.spark, "report")
     report = reports.prediction_accuracy(x.predictions, x.minute, CFG)
@@ -341,6 +354,14 @@ def _streamed(x: Inputs, stream: DataFrame) -> DataFrame:
     return x.spark.read.parquet(f"{root}/out")
 
 
+def _into_table(x: Inputs, stream: DataFrame) -> DataFrame:
+    """The same into a table of the catalog."""
+    table = f"live_{uuid.uuid4().hex[:12]}"
+    checkpoint = scratch_path(x.spark, "table-stream")
+    jobs.append_to_table(stream, table, checkpoint, availableNow=True).awaitTermination()
+    return x.spark.table(table)
+
+
 #: The prediction stream gets the readings in this many arrivals, in the order of time.
 ARRIVALS = 3
 
@@ -450,9 +471,7 @@ REGISTRY: dict[str, Query] = {
     "load_prediction_join": lambda x: renewables.load_prediction_join(x.zones, x.predictions, CFG),
     "renewable_state": lambda x: x.state,
     "reallocation_plan": lambda x: renewables.reallocation_plan(x.state, CFG),
-    "reallocation_plan_recent": lambda x: renewables.reallocation_plan(
-        renewables.renewable_state(x.rolled.zones, x.rolled.predictions, x.assets, CFG, as_of=F.lit(AS_OF)), CFG
-    ),
+    "reallocation_plan_recent": recent_plan,
     "reallocation_plan_aligned": lambda x: renewables.reallocation_plan(x.aligned_state, CFG),
     "renewable_balance": lambda x: renewables.renewable_balance(x.aligned_state, CFG),
     "renewable_utilization": lambda x: renewables.renewable_utilization(x.zones, x.assets),
@@ -463,6 +482,7 @@ REGISTRY: dict[str, Query] = {
     "zone_capacity_pct": lambda x: status.zone_capacity_pct(x.minute, x.capacity, CFG),
     "critical_zones": lambda x: status.critical_zones(x.minute, x.capacity, CFG),
     "zone_status": lambda x: status.zone_status(x.rolled.zones, x.rolled.predictions, x.capacity, CFG),
+    "zone_status_recent": lambda x: status.zone_status(_live(x).zones, _live(x).predictions, x.capacity, CFG),
     "grid_header": lambda x: status.grid_header(
         x.rolled.grid, x.rolled.zones, renewables.renewable_balance(x.aligned_state, CFG), x.capacity, CFG
     ),
@@ -517,6 +537,7 @@ REGISTRY: dict[str, Query] = {
     "s_readings": lambda x: _streamed(x, source.parse_readings(as_messages(x.stream()))),
     "s_zip_load": lambda x: _streamed(x, jobs.zip_load_stream(x.stream(), CFG)),
     "s_minute_load": lambda x: _streamed(x, jobs.minute_load_stream(x.stream(), CFG)),
+    "s_minute_load_table": lambda x: _into_table(x, jobs.minute_load_stream(x.stream(), CFG)),
     "s_grid_wide": lambda x: _streamed(x, jobs.grid_wide_stream(x.stream(), CFG)),
     "s_predictions": lambda x: _predicted(x).read(x.spark, "overload_predictions"),
     "s_alerts": lambda x: parsed_payload(_predicted(x).read(x.spark, "alerts")),

@@ -26,6 +26,8 @@ class GridConfig:
     # sums them as decimals that keep all digits.
     kw_per_mw: float = 1000.0
     load_decimals: int | None = None
+    # A reading from here on is no load of a meter: it is left out of every measure and counted by `rejected_readings`.
+    largest_load_kw: float = 1e9
     reading_interval_s: int = 10
 
     # Row frames of the trend queries. They count rows, not minutes.

@@ -10,18 +10,15 @@ from meterflow.config import GridConfig
 
 #: Sums of doubles are kept with so many decimals, which leaves room for totals up to 1e28.
 SUM_TYPE = "decimal(38,10)"
-#: Readings from here on are no loads of a meter; the smaller one is for totals in scaled whole numbers.
-LARGEST, LARGEST_SCALED = 1e20, 1e9
 
 
-def valid(measure: str, decimals: int | None = None) -> Column:
+def valid(measure: str, cfg: GridConfig) -> Column:
     """The measure if it is a credible number, else null: not if infinite, not a number or too large to be a load.
 
     Every measure of a load is taken over the same valid readings.
     """
     value = F.col(measure)
-    largest = LARGEST if decimals is None else LARGEST_SCALED
-    return F.when(F.abs(value) < largest, value)  # a NaN is larger than any number
+    return F.when(F.abs(value) < cfg.largest_load_kw, value)  # a NaN is larger than any number
 
 
 def exact_total(measure: Column | str, decimals: int | None = None) -> Column:

@@ -177,10 +177,10 @@ PAYLOAD_FIELDS = (
 )
 
 
-def alert_payload(predictions: DataFrame) -> DataFrame:
-    """Zone-keyed JSON messages of the predictions severe enough to publish."""
+def alert_payload(predictions: DataFrame, *also: str) -> DataFrame:
+    """Zone-keyed JSON messages of the predictions severe enough to publish, with further columns to store them by."""
     severe = predictions.filter(F.col("alert_level").isin(*labels.PUBLISHED_LEVELS))
-    return severe.select(F.col("zip_code").alias("key"), F.to_json(F.struct(*PAYLOAD_FIELDS)).alias("value"))
+    return severe.select(F.col("zip_code").alias("key"), F.to_json(F.struct(*PAYLOAD_FIELDS)).alias("value"), *also)
 
 
 def imminent_overload(minute: DataFrame, cfg: GridConfig, as_of: Column | None = None, ordered: bool = True) -> DataFrame:

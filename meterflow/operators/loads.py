@@ -32,7 +32,7 @@ def _by_window(
 
 
 def _measured(readings: DataFrame, cfg: GridConfig) -> DataFrame:
-    return readings.withColumn("power_kw", valid("power_kw", cfg.load_decimals))
+    return readings.withColumn("power_kw", valid("power_kw", cfg))
 
 
 def zone_parts(readings: DataFrame, cfg: GridConfig) -> DataFrame:
@@ -138,7 +138,7 @@ def rejected_readings(readings: DataFrame, cfg: GridConfig) -> DataFrame:
     return windows.agg(
         F.count(F.lit(1)).alias("readings"),
         F.count_if(load.isNull()).alias("missing"),
-        F.count_if(load.isNotNull() & valid("power_kw", cfg.load_decimals).isNull()).alias("rejected"),
+        F.count_if(load.isNotNull() & valid("power_kw", cfg).isNull()).alias("rejected"),
     ).select(*edges, "zip_code", "readings", "missing", "rejected")
 
 

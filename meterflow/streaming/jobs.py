@@ -7,6 +7,7 @@ passed them; later readings for them are dropped and counted in the query's prog
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,7 +18,7 @@ from meterflow.config import GridConfig
 from meterflow.operators import loads
 from meterflow.operators.forecast import alert_payload, forecast_reach, overload_predictions
 from meterflow.session import ROCKSDB_PROVIDER, settings
-from meterflow.sources.tables import BATCH, DATE, delete, exists, file_system, hadoop_path, write_dated
+from meterflow.sources.tables import BATCH, DATE, delete, exists, write_dated
 
 # The tables of the prediction stream.
 MINUTE_SCHEMA = "window_start TIMESTAMP, window_end TIMESTAMP, zip_code STRING, minute_load_kw DOUBLE"
@@ -30,7 +31,7 @@ PREDICTION_SCHEMA = (
 TABLE_SCHEMAS = {
     "minute_loads": MINUTE_SCHEMA,
     "overload_predictions": PREDICTION_SCHEMA,
-    "alerts": "key STRING, value STRING",
+    "alerts": "window_start TIMESTAMP, key STRING, value STRING",
 }
 
 
@@ -95,7 +96,7 @@ def append_dated(
 
 
 class PredictionTables:
-    """Folders of the prediction stream: minute rows and predictions by date, alerts and carry by micro-batch.
+    """Folders of the prediction stream: minute rows, predictions and alerts by date, arrivals and carry by micro-batch.
 
     The carry holds each zone's newest rows, as many as a trend frame reaches back, so a
     batch reads one small folder instead of the history. A batch that is run again writes
@@ -108,13 +109,12 @@ class PredictionTables:
     def folder(self, table: str, batch: int | None = None) -> str:
         return f"{self.root}/{table}" if batch is None else f"{self.root}/{table}/{BATCH}={batch}"
 
-    def of_batch(self, spark: SparkSession, table: str, batch: int) -> DataFrame:
-        """The rows that one micro-batch stored in a dated table."""
+    def of_batch(self, spark: SparkSession, table: str, batch: int, days: list[dt.date]) -> DataFrame:
+        """The rows that one micro-batch stored in a dated table, on days that it may have written."""
         schema = TABLE_SCHEMAS[table]
-        pattern = f"{self.folder(table)}/{DATE}=*/{BATCH}={batch}"
-        if not file_system(spark, pattern).globStatus(hadoop_path(spark, pattern)):
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(pattern)
+        folders = [f"{self.folder(table)}/{DATE}={day.isoformat()}/{BATCH}={batch}" for day in days]
+        found = [folder for folder in folders if exists(spark, folder)]
+        return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         if not exists(spark, self.folder(table)):
@@ -122,17 +122,13 @@ class PredictionTables:
         return spark.read.schema(TABLE_SCHEMAS[table]).parquet(self.folder(table)).drop(BATCH, DATE)
 
 
-def to_files(payload: DataFrame, path: str) -> None:
-    payload.write.mode("overwrite").parquet(path)
-
-
-def to_kafka(servers: str, topic: str) -> Callable[[DataFrame, str], None]:
+def to_kafka(servers: str, topic: str) -> Callable[[DataFrame], None]:
     """Alert sink for a message topic. Needs the Kafka connector on the cluster's class path.
 
     A batch that is run again publishes its alerts again; they carry zone and window to tell repeats by.
     """
 
-    def publish(payload: DataFrame, _path: str) -> None:
+    def publish(payload: DataFrame) -> None:
         payload.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
     return publish
@@ -141,38 +137,45 @@ def to_kafka(servers: str, topic: str) -> Callable[[DataFrame, str], None]:
 def prediction_batch(
     tables: PredictionTables,
     cfg: GridConfig,
-    publish: Callable[[DataFrame, str], None] = to_files,
+    publish: Callable[[DataFrame], None] | None = None,
     bounded: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """The micro-batch function of the prediction stream.
 
     It runs the same transform as a batch job would, over the new minute rows and the
     carry. Every result is written before it is used again, which leaves no long lineage
-    to recompute when an executor is lost. `bounded` suits batches that hold few minutes.
+    to recompute when an executor is lost. Alerts are stored by date; `publish` gets their
+    keys and values besides. `bounded` suits batches that hold few minutes.
     """
     reach = forecast_reach(cfg)
 
     def process(new_minutes: DataFrame, batch: int) -> None:
         spark = new_minutes.sparkSession
-        write_dated(new_minutes, tables.folder("minute_loads"), "window_start", batch)
+        new_minutes.write.mode("overwrite").parquet(tables.folder("arrived", batch))
         # What follows reads files only. Adaptive planning, off for the stream itself, fits it to the batch's size.
         with settings(spark, spark__sql__adaptive__enabled="true"):
             _predict(spark, batch)
         # Only the batch before can still be asked for, by a rerun of this one.
-        delete(spark, tables.folder("carry", batch - 2))
+        for table in ("arrived", "carry"):
+            delete(spark, tables.folder(table, batch - 2))
 
     def _predict(spark: SparkSession, batch: int) -> None:
-        new = tables.of_batch(spark, "minute_loads", batch)
+        new = spark.read.schema(MINUTE_SCHEMA).parquet(tables.folder("arrived", batch))
+        found = new.select(F.to_date("window_start").alias("day")).distinct().collect()  # a batch spans few days
+        days = sorted(row.day for row in found if row.day is not None)
+        write_dated(new, tables.folder("minute_loads"), "window_start", batch)
         rows = new.withColumn("is_new", F.lit(True))
         if batch > 0:
             carried = spark.read.schema(MINUTE_SCHEMA).parquet(tables.folder("carry", batch - 1))
             rows = rows.unionByName(carried.withColumn("is_new", F.lit(False)))
 
-        if not new.isEmpty():
+        if days:
             predicted = overload_predictions(rows, cfg, bounded=bounded).filter("is_new").drop("is_new")
             write_dated(predicted, tables.folder("overload_predictions"), "window_start", batch)
-            stored = tables.of_batch(spark, "overload_predictions", batch)
-            publish(alert_payload(stored), tables.folder("alerts", batch))
+            stored = tables.of_batch(spark, "overload_predictions", batch, days)
+            write_dated(alert_payload(stored, "window_start"), tables.folder("alerts"), "window_start", batch)
+            if publish is not None:
+                publish(tables.of_batch(spark, "alerts", batch, days).select("key", "value"))
 
         # A rank limit is applied before the shuffle too, so at most `reach` rows per zone and task move.
         newest = Window.partitionBy("zip_code").orderBy(F.col("window_start").desc())
@@ -187,7 +190,7 @@ def start_predictions(
     tables: PredictionTables,
     checkpoint: str,
     cfg: GridConfig,
-    publish: Callable[[DataFrame, str], None] = to_files,
+    publish: Callable[[DataFrame], None] | None = None,
     bounded: bool = False,
     partitions: int | None = None,
     **trigger,

@@ -62,7 +62,7 @@ def test_day_slice_reaches_the_scan(x):
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts,2024-01-10T00:00\).*LessThan\(ts,2024-01-11T00:00\)", plan)
 
 
-@pytest.mark.parametrize("name", ["recent_window", "imminent_overload_recent", "correlated_surge_recent"])
+@pytest.mark.parametrize("name", ["recent_window", "imminent_overload_recent", "correlated_surge_recent", "reallocation_plan_recent", "zone_status_recent"])
 def test_look_backs_reach_the_scan(spark, name):
     plan = planned(registry.run(name, spark, SMALL))
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts,", plan)
