@@ -27,7 +27,9 @@ class GridConfig:
     kw_per_mw: float = 1000.0
     load_decimals: int | None = None
     # A reading from here on is no load of a meter: it is left out of every measure and counted by `rejected_readings`.
-    largest_load_kw: float = 1e9
+    # Totals in scaled integers have room for less.
+    largest_load_kw: float = 1e20
+    largest_scaled_load_kw: float = 1e9
     reading_interval_s: int = 10
 
     # Row frames of the trend queries. They count rows, not minutes.
@@ -109,6 +111,11 @@ class GridConfig:
         """Readings of one meter in a minute window; a minute load is their sum."""
         return self.minute_window_s / self.reading_interval_s
 
+    @property
+    def credible_below_kw(self) -> float:
+        """The limit that holds with this way of adding up."""
+        return self.largest_load_kw if self.load_decimals is None else self.largest_scaled_load_kw
+
     @property
     def mw_decimals(self) -> int | None:
         """Decimals of an exact load expressed in MW."""

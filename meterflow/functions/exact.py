@@ -18,7 +18,7 @@ def valid(measure: str, cfg: GridConfig) -> Column:
     Every measure of a load is taken over the same valid readings.
     """
     value = F.col(measure)
-    return F.when(F.abs(value) < cfg.largest_load_kw, value)  # a NaN is larger than any number
+    return F.when(F.abs(value) < cfg.credible_below_kw, value)  # a NaN is larger than any number
 
 
 def exact_total(measure: Column | str, decimals: int | None = None) -> Column:
