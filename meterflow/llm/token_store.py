@@ -106,7 +106,7 @@ def _write_shard(path_of, rows, layout: Layout, tokens: WordTokens, end: int) ->
             path, out = path_of()
             out.write(HEADER.pack(MAGIC, VERSION, layout.id_bytes, layout.digest))
             at = HEADER.size
-        for doc_id, ids in zip(batch["doc_id"].to_pylist(), tokens.encode(t or "" for t in batch["text"].to_pylist())):
+        for doc_id, ids in zip(batch["doc_id"].to_pylist(), tokens.encode_column(batch["text"])):
             frame = packer.compress(np.append(ids, end).astype(layout.kind).tobytes())
             out.write(frame)
             at += len(frame)

@@ -1,19 +1,24 @@
-"""Token ids by the tokenizers library, with each distinct pre-token encoded once per worker, as far as memory allows."""
+"""Token ids by the tokenizers library, with each distinct word encoded once per worker, as far as memory allows."""
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from meterflow.llm.memo import Memo
 
-#: Pre-tokens remembered, twice at most, if they are not longer.
+#: Words remembered, twice at most, if they are not longer.
 REMEMBERED, LONGEST_REMEMBERED = 500_000, 64
-TOGETHER = 500_000
+#: Bytes of text that are split together, or one text.
+TOGETHER = 4_000_000
 #: Latin text in which normalisation is lower-casing: no combining marks, no odd spaces, no letter that changes length.
 PLAIN = "\t\n\r\x20-\x7e\xa1-įı-ſ"
 LATIN = [chr(code) for code in (*range(0x20, 0x7F), *range(0xA1, 0x180))]
@@ -49,19 +54,17 @@ class WordTokens:
     @cached_property
     def merges(self):
         """The library's model alone, for text that is split and normalised already."""
-        from tokenizers import Tokenizer
-
-        return Tokenizer(self.library.model)
+        return self.library.model
 
     @cached_property
     def _split(self):
         return re.compile(PRE_TOKENS).findall
 
     @cached_property
-    def _odd(self):
+    def _odd(self) -> str:
         """Finds what only the library treats rightly: signs that are not plain, and names of added tokens in any case."""
         added = [re.escape(token.content) for token in self.library.get_added_tokens_decoder().values()]
-        return re.compile("|".join([f"[^{PLAIN}]", *(f"(?i:{name})" for name in added)])).search
+        return "|".join([f"[^{PLAIN}]", *(f"(?i:{name})" for name in added)])
 
     @cached_property
     def _letters(self) -> dict[int, str]:
@@ -71,32 +74,55 @@ class WordTokens:
     def _memo(self) -> Memo:
         return Memo(self._encode_new, REMEMBERED, LONGEST_REMEMBERED)
 
-    def _encode_new(self, pieces: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for at in range(0, len(pieces), 5_000):
-            some = [piece.encode().decode("latin-1").translate(self._letters) for piece in pieces[at : at + 5_000]]
-            found = self.merges.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, "<u4").tobytes()
-            cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1))).tolist()
-            out += [ids[a:b] for a, b in zip(cuts, cuts[1:])]
-        return out
+    def _encode_new(self, words: list[str]) -> list[bytes]:
+        """No pre-token holds white space, so those of a text are those of its words."""
+        split = list(map(self._split, words))
+        known = {piece: self._encode_piece(piece) for piece in set(chain.from_iterable(split))}.__getitem__
+        return [b"".join(map(known, pieces)) for pieces in split]
+
+    def _encode_piece(self, piece: str) -> bytes:
+        if not piece.isascii():  # signs of ASCII, blanks aside, stand for themselves
+            piece = piece.encode().decode("latin-1").translate(self._letters)
+        return array("I", [token.id for token in self.merges.tokenize(piece)]).tobytes()
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
-        held: list[list[str] | np.ndarray] = []
+        held: list[str] = []
         size = 0
         for text in texts:
-            held.append(self._whole(text) if self._odd(text) else self._split(text.lower()))
+            held.append(text)
             size += len(text)
             if size >= TOGETHER:
-                yield from self._encode_split(held)
+                yield from self._encode_some(pa.array(held, pa.string()))
                 held, size = [], 0
-        yield from self._encode_split(held)
+        yield from self._encode_some(pa.array(held, pa.string()))
+
+    def encode_column(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """As `encode`, from a column of texts; null texts are empty ones."""
+        texts = pc.fill_null(texts, "")
+        part = np.cumsum(pc.binary_length(texts).to_numpy(), dtype="i8") // TOGETHER
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+        for begin, stop in zip(cuts, cuts[1:]):
+            yield from self._encode_some(texts[begin:stop])
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _encode_split(self, texts: list) -> Iterator[np.ndarray]:
-        pieces = [piece for text in texts if isinstance(text, list) for piece in text]
-        known = self._memo.known(pieces).__getitem__
-        for text in texts:
-            yield np.frombuffer(b"".join(map(known, text)), "<u4") if isinstance(text, list) else text
+    def _encode_some(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        odd = pc.match_substring_regex(texts, self._odd)
+        ids, cuts = self._encode_plain(texts.filter(pc.invert(odd)))
+        wholes, spans = map(self._whole, texts.filter(odd).to_pylist()), zip(cuts, cuts[1:])
+        for is_odd in odd.to_pylist():
+            yield next(wholes) if is_odd else ids[slice(*next(spans))]
+
+    def _encode_plain(self, texts: pa.Array) -> tuple[np.ndarray, list[int]]:
+        """The ids of texts, end to end, and the places where texts begin and end."""
+        split = pc.ascii_split_whitespace(pc.utf8_lower(texts))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self._memo.known(words).__getitem__, words))
+        sizes = np.fromiter(map(len, found), "i8", len(found)) // 4
+        word = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[word])])
+        shift = (np.cumsum(sizes) - sizes)[word] - ends[:-1]
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(shift, sizes[word]) + np.arange(ends[-1])]
+        return ids, ends[split.offsets.to_numpy()].tolist()

@@ -3,10 +3,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from meterflow.llm import token_store as ts
+from meterflow.llm import word_tokens as wt
 from meterflow.llm.word_tokens import WordTokens
 from tests.llm.conftest import prose
 
@@ -89,3 +91,27 @@ def test_names_of_added_tokens_as_the_plain_library(tokens):
     for text, ids in zip(texts, tokens.encode(texts)):
         assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
     assert 49407 in next(iter(tokens.encode(texts[:1])))
+
+
+def test_a_repeated_word_is_split_once(tokens):
+    fresh, seen = WordTokens(tokens.definition), []
+    split = fresh._split
+    fresh.__dict__["_split"] = lambda text: seen.append(text) or split(text)
+    texts = [f"Don't panic, {prose(i % 10, 30)}\n\n{prose(i % 7, 30)}!" for i in range(300)]
+    for text, ids in zip(texts * 2, fresh.encode(texts * 2), strict=True):
+        assert ids.tolist() == library_ids(tokens, text)
+    assert sum(map(len, seen)) <= sum(map(len, {word for text in texts for word in text.lower().split()}))
+
+
+@pytest.mark.parametrize("together", [1, 50, 10**6])
+def test_columns_in_parts_as_the_library(tokens, monkeypatch, together):
+    monkeypatch.setattr(wt, "TOGETHER", together)
+    monkeypatch.setattr(wt, "REMEMBERED", 20)
+    few = WordTokens(tokens.definition)
+    odd = ["", None, " ", "\t\n\r", "x\x1cy", "a\x0bb", "a\xa0b", "a b", "é", "<|EndOfText|>a", "a''s'll'LL", "ŉ ſ ŀ ß", "x" * 70]
+    texts = [None, *odd, prose(1, 60), *odd[::-1], "ab1-é'" * 40, *[prose(i, 9).title() for i in range(30)]]
+    column = pa.array(["left out", *texts, "left out"])
+    for some in (column[1:-1], pa.array([None], pa.string()), pa.array([], pa.string()), pa.array(odd[8:10])):
+        want = [library_ids(tokens, text or "") for text in some.to_pylist()]
+        assert [ids.tolist() for ids in few.encode_column(some)] == want
+        assert [ids.tolist() for ids in few.encode(text or "" for text in some.to_pylist())] == want
